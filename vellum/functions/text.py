@@ -151,18 +151,21 @@ def primary_number(c) -> Column:
     return canonical_number(first_text(marked, document_number(text)))
 
 
-def _word(prefix: str) -> str:
-    return rf"(?iu)(?:^|[^\p{{L}}0-9_]){prefix}(?:[^\p{{L}}0-9_]|$)"
-
-
 def document_type(c, types: list[str] | None = None) -> Column:
-    """Type by title prefix, else by whole word anywhere, in list order."""
+    """Type by title prefix, else by whole word anywhere, in list order.
+
+    Each test is one pattern over all types, so the title stands in the plan twice only.
+    """
     types = types or L.DOC_TYPE_PREFIXES
-    title = F.regexp_replace(normalize_text(c), r"^\s*\d{1,4}\s*[.)\-:]\s*", "")
-    low = F.lower(title)
-    starts = [F.when(F.startswith(low, F.lit(t.lower())), F.lit(t)) for t in types]
-    words = [F.when(F.regexp_like(title, F.lit(_word(t))), F.lit(t)) for t in types]
-    return F.coalesce(*starts, *words, F.lit(""))
+    low = [t.lower() for t in types]
+    names, any_type = F.array(*[F.lit(t) for t in low]), "|".join(re.escape(t) for t in low)
+    title = F.lower(F.regexp_replace(normalize_text(c), r"^\s*\d{1,4}\s*[.)\-:]\s*", ""))
+    word = rf"(?:^|[^\p{{L}}0-9_])({any_type})(?=[^\p{{L}}0-9_]|$)"
+    by_prefix = F.nullif(F.array_position(names, F.regexp_extract(title, f"^({any_type})", 1)), F.lit(0))
+    found = F.regexp_extract_all(title, F.lit(word), F.lit(1))
+    by_word = F.array_min(F.transform(found, lambda t: F.array_position(names, t)))
+    place = F.coalesce(by_prefix, by_word).cast("int")
+    return F.coalesce(F.get(F.array(*[F.lit(t) for t in types]), place - 1), F.lit(""))
 
 
 def stable_id(number, url) -> Column:

@@ -87,7 +87,11 @@ def listing_numbering(df: DataFrame, field: list[str], order: str) -> DataFrame:
 
 
 # --- lines of one page (arrays in the page's own row, nothing is shuffled) ---------------
-def slice_between_markers(lines: Column, starts: list[str] | None = None, ends: list[str] | None = None) -> Column:
+# Each step is a column of its own, so that a step is worked out once per page and not
+# once per line that looks at it.
+def slice_between_markers(
+    pages: DataFrame, lines: str, out: str, starts: list[str] | None = None, ends: list[str] | None = None
+) -> DataFrame:
     """Lines after the first start marker and before the first end marker that follows."""
     if starts is None:
         is_start = lambda x: contains_any(x, L.LIST_START_MARKERS) | (
@@ -95,38 +99,39 @@ def slice_between_markers(lines: Column, starts: list[str] | None = None, ends:
         )
     else:
         is_start = lambda x: contains_any(x, starts)
-    ends = ends or L.LIST_END_MARKERS
-    start = F.array_position(F.transform(lines, is_start), True)
-    rest = F.slice(lines, (start + 1).cast("int"), F.greatest(F.size(lines) - start, F.lit(0)).cast("int"))
-    stop = F.array_position(F.transform(rest, lambda x: contains_any(x, ends)), True)
-    return F.when(stop > 0, F.slice(rest, F.lit(1), (stop - 1).cast("int"))).otherwise(rest)
+    found = pages.withColumn("_start", F.array_position(F.transform(lines, is_start), True).cast("int"))
+    rest = found.withColumn("_rest", F.slice(lines, F.col("_start") + 1, F.greatest(F.size(lines) - F.col("_start"), F.lit(0))))
+    stop = F.array_position(F.transform("_rest", lambda x: contains_any(x, ends or L.LIST_END_MARKERS)), True).cast("int")
+    cut = rest.withColumn("_stop", stop)
+    part = F.when(F.col("_stop") > 0, F.slice("_rest", F.lit(1), F.col("_stop") - 1)).otherwise(F.col("_rest"))
+    return cut.withColumn(out, part).drop("_start", "_rest", "_stop")
 
 
-def numbered_row_segments(lines: Column, markers: list[str] | None = None) -> Column:
-    """Numbered lines start a row; its title runs to the first stop marker or the next row.
-
-    Array of ``(number, title)``; rows without a title are left out.
-    """
+def numbered_rows(pages: DataFrame, lines: str, keep: list[str], markers: list[str] | None = None) -> DataFrame:
+    """One row per numbered line: its number and its title, which runs to the first stop
+    marker or the next numbered line.  Rows without a title are left out."""
     markers = markers or L.ROW_STOP_MARKERS
     begins = F.transform(lines, lambda x, i: F.when(F.regexp_like(x, F.lit(r"^\d{1,4}(?:\s+.+)?$")), i + 1))
-    starts = F.filter(begins, lambda p: p.isNotNull())
-    bounds = F.concat(starts, F.array(F.size(lines) + 1))
-
-    def cut(line: Column) -> Column:
-        at = [F.when(F.contains(line, F.lit(m)), F.substring_index(line, m, 1)) for m in markers]
-        return F.coalesce(*at, F.lit(""))
-
-    def segment(place: Column, i: Column) -> Column:
-        head = F.get(lines, place - 1)
-        body = F.slice(lines, place + 1, F.get(bounds, i + 1) - place - 1)
-        stop = F.array_position(F.transform(body, lambda x: contains_any(x, markers)), True).cast("int")
-        before = F.when(stop > 0, F.slice(body, F.lit(1), stop - 1)).otherwise(body)
-        last = F.when(stop > 0, F.array(cut(F.get(body, stop - 1)))).otherwise(F.array().cast("array<string>"))
-        texts = F.concat(F.array(F.regexp_extract(head, r"^\d{1,4}\s+(.+)$", 1)), before, last)
-        texts = F.filter(F.transform(texts, normalize_text), lambda x: x != "")
-        return F.struct(
-            F.regexp_extract(head, r"^(\d{1,4})", 1).cast("int").alias("number"),
-            normalize_text(F.array_join(texts, " ")).alias("title"),
-        )
-
-    return F.filter(F.transform(starts, segment), lambda r: r["title"] != "")
+    found = pages.select(*keep, F.col(lines).alias("_lines"), F.array_compact(begins).alias("_starts"))
+    bounded = found.withColumn("_bounds", F.concat("_starts", F.array(F.size("_lines") + 1)))
+    pieces = F.transform(
+        "_starts", lambda place, i: F.slice("_lines", place, F.get(F.col("_bounds"), i + 1) - place)
+    )
+    rows = bounded.select(*keep, F.explode(pieces).alias("_piece"))
+    head = F.get("_piece", F.lit(0))
+    stop = F.array_position(
+        F.transform("_piece", lambda x, i: (i > 0) & contains_any(x, markers)), True
+    ).cast("int")
+    rows = rows.withColumns({"_head": head, "_stop": stop})
+    last = F.get("_piece", F.col("_stop") - 1)
+    cut = F.coalesce(*[F.when(F.contains(last, F.lit(m)), F.substring_index(last, m, 1)) for m in markers], F.lit(""))
+    end = F.when(F.col("_stop") > 0, F.col("_stop") - 1).otherwise(F.size("_piece"))
+    texts = F.concat(
+        F.array(F.regexp_extract("_head", r"^\d{1,4}\s+(.+)$", 1)), F.slice("_piece", F.lit(2), F.greatest(end - 1, F.lit(0))),
+        F.when(F.col("_stop") > 0, F.array(cut)).otherwise(F.array().cast("array<string>")),
+    )
+    title = F.array_join(F.filter(F.transform(texts, normalize_text), lambda x: x != ""), " ")
+    named = rows.select(
+        *keep, F.regexp_extract("_head", r"^(\d{1,4})", 1).cast("int").alias("number"), normalize_text(title).alias("title")
+    )
+    return named.filter("title <> ''")

@@ -415,7 +415,8 @@ def _lines():
     WHERE title <> '' GROUP BY 1, 2, 3"""
 )
 def numbered_rows(spark, folder):
-    rows = table(spark, folder, "documents").select("doc_id", F.inline(S.numbered_row_segments(_lines(), _MARKERS)))
+    pages = table(spark, folder, "documents").select("doc_id", _lines().alias("lines"))
+    rows = S.numbered_rows(pages, "lines", ["doc_id"], _MARKERS)
     return rows.groupBy("doc_id", F.col("number").cast("string").alias("number"), F.md5("title").alias("title_digest")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -426,7 +427,8 @@ def numbered_rows(spark, folder):
     FROM (SELECT doc_id FROM documents) d LEFT JOIN lines USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id) GROUP BY 1"""
 )
 def marker_slices(spark, folder):
-    rows = table(spark, folder, "documents").select("doc_id", S.slice_between_markers(_lines(), ["tion"], ["that"]).alias("part"))
+    pages = table(spark, folder, "documents").select("doc_id", _lines().alias("lines"))
+    rows = S.slice_between_markers(pages, "lines", "part", ["tion"], ["that"])
     return rows.select("doc_id", F.md5(F.array_join("part", "|")).alias("digest"))
 
 
@@ -510,7 +512,8 @@ def document_fields(spark, folder):
 
 
 def _payloads(spark, folder):
-    rows = register(spark, folder).withColumns({"info": D.document_fields(_page_lines()), "doc_number": F.lower("number"), "mapped_field": F.col("field"), "_t": F.col("title")})
+    lined = register(spark, folder).withColumn("lines", _page_lines())
+    rows = lined.withColumns({"info": D.document_fields(F.col("lines")), "doc_number": F.lower("number"), "mapped_field": F.col("field"), "_t": F.col("title")})
     shaped = rows.withColumns(
         {
             "title": F.when(F.col("_row_number") % 2 == 0, F.col("title")).otherwise(F.lit("")),

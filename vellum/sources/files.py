@@ -237,9 +237,12 @@ def append_history(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def event_log_rows(df: DataFrame, stage: Column, data: Column, max_len: int = L.LOG_TEXT_MAX) -> DataFrame:
+def event_log_rows(
+    df: DataFrame, stage: Column, data: Column, max_len: int = L.LOG_TEXT_MAX, keep: list[str] | None = None
+) -> DataFrame:
     """Log rows: stage, document columns and redacted JSON cut to its limit."""
     return df.select(
+        *(keep or []),
         F.coalesce(stage, F.lit("")).alias("stage"),
         clean_text("number").alias("number"),
         clean_text("title").alias("title"),

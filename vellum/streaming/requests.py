@@ -47,13 +47,16 @@ def accepted_sights(valid: DataFrame, ttl: int = TTL_SECONDS) -> DataFrame:
     return sights.select("request_id", F.inline(taken))
 
 
-def request_audit(requests: DataFrame, ttl: int = TTL_SECONDS, skew: int = FUTURE_SKEW_SECONDS, max_bytes: int = MAX_BODY_BYTES) -> DataFrame:
+def request_audit(
+    requests: DataFrame, ttl: int = TTL_SECONDS, skew: int = FUTURE_SKEW_SECONDS, max_bytes: int = MAX_BODY_BYTES, replay_ttl: int | None = None
+) -> DataFrame:
     """``code`` per request of a batch; only requests without another fault are remembered.
 
-    ``arrival_s`` must be whole seconds (LONG).
+    ``arrival_s`` must be whole seconds (LONG).  Ids are remembered for ``replay_ttl``
+    seconds, by default as long as a timestamp is valid.
     """
     rows = requests.withColumn("code", static_code(ttl, skew, max_bytes))
-    accepted = accepted_sights(rows.filter("code = ''"), ttl).select(
+    accepted = accepted_sights(rows.filter("code = ''"), replay_ttl or ttl).select(
         "request_id", "arrival_s", F.col("ord").alias("_accepted")
     )
     joined = lookup_join(rows, accepted, ["request_id", "arrival_s"], ["ord"])
