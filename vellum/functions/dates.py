@@ -31,7 +31,7 @@ def _iso_local(text: Column, zone: str) -> Column:
     """ISO text to local wall clock: zoned text is shifted, other text is taken as it is."""
     instant = text.try_cast("timestamp").cast("timestamp_ntz")
     shifted = F.convert_timezone(F.current_timezone(), F.lit(zone), instant)
-    zoned = F.regexp_like(F.substring(text, F.lit(11), F.length(text)), F.lit(_ZONE_END))
+    zoned = F.endswith(text, F.lit("Z")) | F.regexp_like(F.substring(text, F.lit(11), F.length(text)), F.lit(_ZONE_END))
     return F.when(_is_iso(text), F.when(zoned, shifted).otherwise(text.try_cast("timestamp_ntz")))
 
 

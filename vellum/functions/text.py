@@ -133,15 +133,19 @@ def canonical_number(c) -> Column:
 
 def tracking_key(c) -> Column:
     """Key for following missing references between runs; keeps hyphens and accents."""
-    text = F.translate(F.upper(clean_text(c)), "Đđ\u2013\u2014\u2212\u2010", "Dd----")
-    return F.translate(text, " .", "")
+    return F.translate(F.upper(clean_text(c)), "Đđ\u2013\u2014\u2212\u2010 .", "Dd----")
+
+
+_MARKS = "".join(chr(c) for c in range(0x0300, 0x0370))
+_DROPPED = BLANKS + _MARKS + "-\u2010\u2011\u2012\u2013\u2014\u2212."
 
 
 def match_key(c) -> Column:
-    """Key for matching against the register: no accents, dashes, blanks or dots."""
-    text = F.translate(clean_text(c), ACCENTED, PLAIN)
-    text = F.upper(F.regexp_replace(text, r"[\u0300-\u036f]", ""))
-    return F.translate(text, BLANKS + "-\u2010\u2011\u2012\u2013\u2014\u2212.", "")
+    """Key for matching against the register: no accents, dashes, blanks or dots.
+
+    One translate pass: letters map to their base, characters without a target go.
+    """
+    return F.upper(F.translate(F.coalesce(col(c), F.lit("")), ACCENTED + _DROPPED, PLAIN))
 
 
 def primary_number(c) -> Column:

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum import labels as L
 from vellum.functions.dates import parse_cleanup_time, parse_date_value
 from vellum.functions.text import clean_text, match_key
-from vellum.operators.skew import first_by, lookup_join, position
+from vellum.operators.skew import key_counts, lookup_anti, lookup_join, position
 
 
 # --- lookups ------------------------------------------------------------------------------
@@ -34,7 +32,7 @@ def resolve_rows(targets: DataFrame, register: DataFrame, row: str = "_row_numbe
 
 def lookup_best(targets: DataFrame, register: DataFrame, spread: list[str]) -> DataFrame:
     """Row lookup for many targets: distinct numbers are resolved once, then handed back."""
-    numbers = targets.select("number").distinct()
+    numbers = key_counts(targets, ["number"]).select("number")
     return lookup_join(targets, resolve_rows(numbers, register), ["number"], spread)
 
 
@@ -245,20 +243,18 @@ def expired_cascade(register: DataFrame, expired: DataFrame, relation_columns: l
     columns = [c for c in (relation_columns or L.CLEANED_ON_EXPIRY) if c in register.columns]
     gone = expired.select(F.lower(clean_text("number")).alias("_gone")).filter("_gone <> ''").distinct()
     keyed = register.withColumn("_gone", F.lower(clean_text("number")))
-    flagged = lookup_join(keyed, gone.withColumn("_is_gone", F.lit(True)), ["_gone"], ["_row_number"])
-    kept = flagged.filter("_is_gone is null").drop("_gone", "_is_gone")
-    entries = reduce(
-        lambda a, b: a.unionByName(b),
-        [kept.select("_row_number", F.explode(F.array_distinct(F.transform(_entries(c), F.lower))).alias("_gone")) for c in columns],
-    )
-    hits = lookup_join(entries.distinct(), gone.withColumn("_hit", F.lit(True)), ["_gone"], ["_row_number"], "inner")
+    kept = lookup_anti(keyed, gone, ["_gone"], ["_row_number"]).drop("_gone")
+    listed = F.array_distinct(F.flatten(F.array(*[F.transform(_entries(c), F.lower) for c in columns])))
+    entries = register.select("_row_number", F.explode(listed).alias("_gone"))
+    hits = lookup_join(entries, gone.withColumn("_hit", F.lit(True)), ["_gone"], ["_row_number"], "inner")
     removed = hits.groupBy("_row_number").agg(F.collect_set("_gone").alias("_removed"))
     joined = kept.join(removed, "_row_number", "left")
 
     def cell(c: str) -> Column:
         items = _entries(c)
         left = F.filter(items, lambda v: ~F.array_contains("_removed", F.lower(v)))
-        return F.when(F.size(left) < F.size(items), F.array_join(left, ", ")).otherwise(F.col(c))
+        changed = F.col("_removed").isNotNull() & (F.size(left) < F.size(items))
+        return F.when(changed, F.array_join(left, ", ")).otherwise(F.col(c))
 
     return joined.withColumns({c: cell(c) for c in columns}).drop("_removed")
 

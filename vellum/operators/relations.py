@@ -11,7 +11,7 @@ from vellum.functions.text import (
     percent, primary_number, split_values, tracking_key, unique_list,
 )
 from vellum.operators.dedup import register_index
-from vellum.operators.skew import first_by, first_n_by, lookup_anti, lookup_join, parts
+from vellum.operators.skew import first_by, first_n_by, key_counts, lookup_join, parts
 
 MAX_DX = 240
 
@@ -89,21 +89,28 @@ def typed_edges(edges: DataFrame) -> DataFrame:
 def match_references(edges: DataFrame, register: DataFrame, spread: list[str]) -> DataFrame:
     """Each edge with the register row of its number, or NULLs.
 
-    The register side has one row per key; heavily cited numbers are split.
+    Every distinct spelling is keyed and matched once; the edges then take the answer by
+    their spelling, rows of heavily cited ones split.
     """
-    keyed = edges.withColumn("match_key", match_key("ref_number"))
-    return lookup_join(keyed, register_index(register), ["match_key"], spread).withColumn(
+    return lookup_join(edges, resolve_numbers(edges, register), ["ref_number"], spread).withColumn(
         "is_matched", F.col("matched_id").isNotNull()
     )
 
 
+def resolve_numbers(edges: DataFrame, register: DataFrame) -> DataFrame:
+    """Distinct spellings with key and register row (NULL when there is none)."""
+    spellings = key_counts(edges, ["ref_number"]).select("ref_number", match_key("ref_number").alias("match_key"))
+    return spellings.join(register_index(register), "match_key", "left")
+
+
 def reference_counts(edges: DataFrame, register: DataFrame, by: list[str]) -> DataFrame:
     """Edges per (``by``, key), matched once per key: for reports that only count.
 
-    Counting before the join leaves one row per key and group, so no key is heavy.
+    Counting by spelling before keys are built and joined leaves one row per spelling and
+    group, so no key is heavy and the key expression runs once per spelling.
     """
-    keyed = edges.filter(clean_text("ref_number") != "").withColumn("match_key", match_key("ref_number"))
-    counts = keyed.groupBy(*by, "match_key").agg(F.count(F.lit(1)).alias("n"))
+    named = edges.filter(clean_text("ref_number") != "").groupBy(*by, "ref_number").agg(F.count(F.lit(1)).alias("_n"))
+    counts = named.groupBy(*by, match_key("ref_number").alias("match_key")).agg(F.sum("_n").alias("n"))
     return counts.join(register_index(register), "match_key", "left")
 
 
@@ -114,8 +121,14 @@ def missing_references(edges: DataFrame, register: DataFrame, doc: list[str], or
     """
     tracked = edges.filter(F.col("heading").isin(headings or L.TRACKED_HEADINGS)).withColumn("number", clean_text("ref_number"))
     distinct = tracked.filter("number <> ''").groupBy(*doc, "number").agg(F.min(F.struct(*order)).alias("first_ord"))
-    keyed = distinct.withColumn("match_key", match_key("number")).filter("match_key <> ''")
-    return lookup_anti(keyed, register_index(register), ["match_key"], [*doc, "number"])
+    known = _unmatched(distinct.withColumnRenamed("number", "ref_number"), register, [*doc, "ref_number"])
+    return known.withColumnRenamed("ref_number", "number").filter("match_key <> ''")
+
+
+def _unmatched(rows: DataFrame, register: DataFrame, spread: list[str]) -> DataFrame:
+    """Rows whose spelling has no register row, with its match key."""
+    missing = resolve_numbers(rows, register).filter("matched_id is null").select("ref_number", "match_key")
+    return lookup_join(rows, missing, ["ref_number"], spread, "inner")
 
 
 def match_coverage(edges: DataFrame, register: DataFrame) -> DataFrame:
@@ -147,8 +160,7 @@ def document_match_summary(edges: DataFrame, register: DataFrame, doc: list[str]
 def missing_edges(edges: DataFrame, register: DataFrame, spread: list[str]) -> DataFrame:
     """Edges of the matcher's headings whose number has no register row, with tracking key."""
     official = edges.filter(F.col("heading").isin(list(L.OFFICIAL_COLUMN_BY_HEADING)))
-    keyed = official.withColumn("match_key", match_key("ref_number"))
-    missing = lookup_anti(keyed, register_index(register), ["match_key"], spread)
+    missing = _unmatched(official, register, spread)
     return missing.withColumn("number", clean_text("ref_number")).withColumn("key", tracking_key("ref_number")).filter("key <> ''")
 
 

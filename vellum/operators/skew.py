@@ -23,12 +23,18 @@ def first_n_by(df: DataFrame, keys: list[str], order: list, n: int, rank: str |
     return kept.withColumnRenamed("_rank", rank) if rank else kept.drop("_rank")
 
 
+def key_counts(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key, combined on the map side.  Used for the heavy keys and, where the
+    table side is derived from the keys themselves, for that too: Spark runs it once."""
+    return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def heavy_keys(facts: DataFrame, keys: list[str], rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
     """At most ``HOT_KEYS`` keys with more rows than one piece, and their number of pieces.
 
     Any key outside the list holds under ``1 / HOT_KEYS`` of the rows or under one piece.
     """
-    counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_piece)
+    counts = key_counts(facts, keys).filter(F.col("_n") > rows_per_piece)
     top = counts.orderBy(F.desc("_n")).limit(HOT_KEYS)
     return top.select(*keys, F.ceil(F.col("_n") / rows_per_piece).cast("int").alias("_pieces"))
 

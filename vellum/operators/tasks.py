@@ -224,8 +224,8 @@ def enrich_task(
     cleaned = tasks.withColumns(
         {"_pic": clean_text("current_pic"), "_step": clean_text("current_checkpoint"), "_due": clean_text("next_due")}
     )
-    pipes = F.length("_step") - F.length(F.translate("_step", "|", ""))
-    read = cleaned.withColumn("_cells", F.split(F.when(pipes >= 3, F.col("_step")).otherwise(F.col("_pic")), r"\|"))
+    split = cleaned.withColumns({"_a": F.split("_step", r"\|"), "_b": F.split("_pic", r"\|")})
+    read = split.withColumn("_cells", F.when(F.size("_a") >= 4, F.col("_a")).otherwise(F.col("_b"))).drop("_a", "_b")
     cell = lambda n: clean_text(F.get("_cells", F.lit(n)))
     parsed = F.size("_cells") >= 4
     can_split = (F.size("_cells") >= 2) if fallback_split else F.lit(False)
