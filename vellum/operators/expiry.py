@@ -72,7 +72,9 @@ def scan_expired(
         F.lit(False).alias("is_partial"), F.lit(-1).cast("long").alias("sentence_no"),
     )
     read = web.filter(clean_text("fetch_error") == "").select("number", "title", plain_text("html").alias("_text"))
-    block = read.select("number", "title", find_section("_text", sections).alias("_block")).filter("_block <> ''")
+    # no filter on the block: an empty one gives no sentence, and a filter would be pushed
+    # down and read the whole text a second time
+    block = read.select("number", "title", find_section("_text", sections).alias("_block"))
     rows = split_sentences(block, "_block", ["number", "title"])
     rows = rows.withColumn("reason", keyword_reason("sentence", strong)).filter("reason is not null")
     rows = rows.withColumns({"is_partial": is_partial("sentence", partial), "_latest": latest_date_text("sentence")})

@@ -122,12 +122,14 @@ def missing_references(edges: DataFrame, register: DataFrame, doc: list[str], or
     tracked = edges.filter(F.col("heading").isin(headings or L.TRACKED_HEADINGS)).withColumn("number", clean_text("ref_number"))
     distinct = tracked.filter("number <> ''").groupBy(*doc, "number").agg(F.min(F.struct(*order)).alias("first_ord"))
     known = _unmatched(distinct.withColumnRenamed("number", "ref_number"), register, [*doc, "ref_number"])
-    return known.withColumnRenamed("ref_number", "number").filter("match_key <> ''")
+    return known.withColumnRenamed("ref_number", "number").filter("match_key <> ''").drop("_clean", "key")
 
 
 def _unmatched(rows: DataFrame, register: DataFrame, spread: list[str]) -> DataFrame:
-    """Rows whose spelling has no register row, with its match key."""
-    missing = resolve_numbers(rows, register).filter("matched_id is null").select("ref_number", "match_key")
+    """Rows whose spelling has no register row, with its match key, clean number and tracking key."""
+    missing = resolve_numbers(rows, register).filter("matched_id is null").select(
+        "ref_number", "match_key", clean_text("ref_number").alias("_clean"), tracking_key("ref_number").alias("key")
+    )
     return lookup_join(rows, missing, ["ref_number"], spread, "inner")
 
 
@@ -160,8 +162,7 @@ def document_match_summary(edges: DataFrame, register: DataFrame, doc: list[str]
 def missing_edges(edges: DataFrame, register: DataFrame, spread: list[str]) -> DataFrame:
     """Edges of the matcher's headings whose number has no register row, with tracking key."""
     official = edges.filter(F.col("heading").isin(list(L.OFFICIAL_COLUMN_BY_HEADING)))
-    missing = _unmatched(official, register, spread)
-    return missing.withColumn("number", clean_text("ref_number")).withColumn("key", tracking_key("ref_number")).filter("key <> ''")
+    return _unmatched(official, register, spread).withColumnRenamed("_clean", "number").filter("key <> ''")
 
 
 def missing_rollup(missing: DataFrame, order: list[str], source: str, text: str, examples: int = 5) -> DataFrame:
@@ -172,16 +173,18 @@ def missing_rollup(missing: DataFrame, order: list[str], source: str, text: str,
     shuffle, so no list grows with the data; the sources themselves are ``missing_sources``.
     """
     seen = F.struct(*order)
-    headings = missing.groupBy("key", "heading").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(F.struct(seen.alias("o"), F.col("number").alias("number"))).alias("_first")
-    )
+    # one pass serves headings and sources: both start from the same combined rows
+    first = F.min(F.struct(seen.alias("o"), F.col("number").alias("number")))
+    base = missing.groupBy("key", "heading", source).agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+    headings = base.groupBy("key", "heading").agg(F.sum("_n").alias("_n"), F.min("_first").alias("_first"))
     entry = F.struct(F.col("_first.o").alias("o"), F.col("heading").alias("h"))
     per_key = headings.groupBy("key").agg(
         F.sum("_n").alias("count"),
         F.min("_first")["number"].alias("number"),
         F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["h"]).alias("headings"),
     )
-    sources = missing_sources(missing, order, source).groupBy("key").agg(F.count(F.lit(1)).alias("source_count"))
+    named = base.filter(clean_text(F.col(source).cast("string")) != "")
+    sources = named.groupBy("key", source).agg(F.lit(1)).groupBy("key").agg(F.count(F.lit(1)).alias("source_count"))
     texts = missing.withColumn("_text", clean_text(text)).filter("_text <> ''").withColumn("_seen", seen)
     kept = first_n_by(texts.select("key", "_text", "_seen"), ["key"], ["_seen"], examples)
     listed = kept.groupBy("key").agg(
