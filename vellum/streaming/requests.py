@@ -65,7 +65,11 @@ def request_audit(
 
 
 def replay_filter(stream: DataFrame, ttl: int = TTL_SECONDS, time: str = "arrival_ts", key: str = "request_id") -> DataFrame:
-    """Stream of first sights: an id seen again within the watermark delay is dropped."""
+    """Stream of first sights: an id seen again within the watermark delay is dropped.
+
+    An id is free again once the watermark of an earlier micro-batch has passed its expiry,
+    so it is held for at least ``ttl`` seconds; ``request_audit`` gives the exact rule.
+    """
     return stream.withWatermark(time, f"{ttl} seconds").dropDuplicatesWithinWatermark([key])
 
 
