@@ -151,7 +151,7 @@ def test_pair_by_rank(spark):
 def test_document_fields_next_line_and_missing(spark):
     lines = ["Số hiệu", "1/2020/TT-A1", "Thông tư 1/2020/TT-A1 về việc học", "Ban hành: 05/06/2020", "Áp dụng: 1/7/2020"]
     df = spark.createDataFrame([(lines,), ([],)], "lines array<string>")
-    a, b = [r["f"] for r in df.select(documents.document_fields(F.col("lines")).alias("f")).collect()]
+    a, b = [r["info"] for r in documents.document_fields(df, "lines").collect()]
     assert (a["number"], a["doc_type"], a["issued"], a["effective_date"], a["field"]) == ("1/2020/TT-A1", "Thông tư", "05/06/2020", "1/7/2020", "")
     assert a["title"] == "Thông tư 1/2020/TT-A1 về việc học" and b["number"] == "" and b["title"] == ""
 

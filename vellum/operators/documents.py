@@ -13,13 +13,20 @@ from vellum.functions.text import (
 from vellum.sources.config import RuleSet
 
 
+_LABELS = {"number": "số hiệu", "issuer": "cơ quan ban hành", "field": "lĩnh vực", "validity": "hiệu lực"}
+
+
 def _first_line(lines: Column, test) -> Column:
     return F.get(F.filter(lines, test), F.lit(0))
 
 
-def _value_after(lines: Column, label: str) -> Column:
+def _line_with(low_lines: str, label: str) -> Column:
+    """1-based place of the first line that holds the label, 0 without one."""
+    return F.array_position(F.transform(low_lines, lambda x: F.contains(x, F.lit(label))), True).cast("int")
+
+
+def _value_after(lines: Column, at: Column) -> Column:
     """Text after the label's colon, or the next line when the label line has none."""
-    at = F.array_position(F.transform(lines, lambda x: F.contains(F.lower(x), F.lit(label))), True).cast("int")
     line = F.get(lines, at - 1)
     after = normalize_text(F.regexp_extract(line, r"(?s)^[^:]*:(.*)$", 1))
     following = normalize_text(F.coalesce(F.get(lines, at), F.lit("")))
@@ -34,30 +41,41 @@ def _date_in(lines: Column, *words: str) -> Column:
     return F.coalesce(F.regexp_extract(_first_line(lines, dated), L.DATE_PATTERN, 1), F.lit(""))
 
 
-def document_fields(lines: Column) -> Column:
-    """Number, title, type, issuer, dates, field and validity from the lines of a page."""
-    number = document_number(F.array_join(lines, "\n"))
+def document_fields(df: DataFrame, lines: str, out: str = "info") -> DataFrame:
+    """Number, title, type, issuer, dates, field and validity from the lines of a page.
+
+    Number, title and label places are columns of their own, worked out once per page.
+    """
+    c = F.col(lines)
+    read = df.withColumns({"_low": F.transform(c, F.lower), "_no": document_number(F.array_join(c, "\n"))})
     starts_with = "^(?:" + "|".join(L.TITLE_STARTS) + ")"
 
     def titled(x: Column) -> Column:
-        named = (number != "") & F.contains(x, number)
-        starts = F.regexp_like(F.lower(x), F.lit(starts_with))
-        return (F.length(x) >= 20) & (named | starts)
-
-    title = F.coalesce(_first_line(lines, titled), F.get(lines, F.lit(0)), F.lit(""))
-    kind = F.coalesce(
-        *[F.when(F.startswith(F.lower(title), F.lit(t.lower())), F.lit(t)) for t in L.PAGE_DOC_TYPES], F.lit("")
+        named = (F.col("_no") != "") & F.contains(x, F.col("_no"))
+        return (F.length(x) >= 20) & (named | F.regexp_like(F.lower(x), F.lit(starts_with)))
+
+    placed = read.withColumns(
+        {
+            **{f"_at_{name}": _line_with("_low", label) for name, label in _LABELS.items()},
+            "_title": F.coalesce(_first_line(c, titled), F.get(c, F.lit(0)), F.lit("")),
+        }
     )
-    return F.struct(
-        first_text(_value_after(lines, "số hiệu"), number).alias("number"),
-        title.alias("title"),
+    names = [t.lower() for t in L.PAGE_DOC_TYPES]
+    prefix = F.regexp_extract(F.lower("_title"), "^(" + "|".join(names) + ")", 1)
+    place = F.nullif(F.array_position(F.array(*[F.lit(n) for n in names]), prefix), F.lit(0)).cast("int")
+    kind = F.coalesce(F.get(F.array(*[F.lit(t) for t in L.PAGE_DOC_TYPES]), place - 1), F.lit(""))
+    value = {name: _value_after(c, F.col(f"_at_{name}")) for name in _LABELS}
+    fields = F.struct(
+        first_text(value["number"], "_no").alias("number"),
+        F.col("_title").alias("title"),
         kind.alias("doc_type"),
-        _value_after(lines, "cơ quan ban hành").alias("issuer"),
-        _date_in(lines, "ban hành").alias("issued"),
-        _date_in(lines, "hiệu lực", "áp dụng").alias("effective_date"),
-        _value_after(lines, "lĩnh vực").alias("field"),
-        _value_after(lines, "hiệu lực").alias("validity"),
+        value["issuer"].alias("issuer"),
+        _date_in(c, "ban hành").alias("issued"),
+        _date_in(c, "hiệu lực", "áp dụng").alias("effective_date"),
+        value["field"].alias("field"),
+        value["validity"].alias("validity"),
     )
+    return placed.withColumn(out, fields).drop("_low", "_no", "_title", *[f"_at_{name}" for name in _LABELS])
 
 
 def map_field(df: DataFrame, mapping: DataFrame, column: str, out: str) -> DataFrame:

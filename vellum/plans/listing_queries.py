@@ -503,17 +503,17 @@ def _page_lines():
 
 
 @query(
-    f"""WITH {SQL_REGISTER} SELECT _row_number, number, 'Thông tư ' || number || ' về ' || title AS title, 'Thông tư' AS doc_type, department AS issuer, effective_date AS issued,
+    f"""WITH {SQL_REGISTER} SELECT _row_number, CASE WHEN p < 10000 THEN number ELSE '' END AS number, 'Thông tư ' || number || ' về ' || title AS title, 'Thông tư' AS doc_type, department AS issuer, effective_date AS issued,
       substr(status_date, 1, 10) AS effective_date, field, 'Còn hiệu lực' AS validity FROM register"""
 )
 def document_fields(spark, folder):
     rows = register(spark, folder).select("_row_number", _page_lines().alias("lines"))
-    return rows.select("_row_number", D.document_fields(F.col("lines")).alias("f")).select("_row_number", "f.*")
+    return D.document_fields(rows, "lines").select("_row_number", "info.*")
 
 
 def _payloads(spark, folder):
-    lined = register(spark, folder).withColumn("lines", _page_lines())
-    rows = lined.withColumns({"info": D.document_fields(F.col("lines")), "doc_number": F.lower("number"), "mapped_field": F.col("field"), "_t": F.col("title")})
+    lined = D.document_fields(register(spark, folder).withColumn("lines", _page_lines()), "lines")
+    rows = lined.withColumns({"doc_number": F.lower("number"), "mapped_field": F.col("field"), "_t": F.col("title")})
     shaped = rows.withColumns(
         {
             "title": F.when(F.col("_row_number") % 2 == 0, F.col("title")).otherwise(F.lit("")),
@@ -526,10 +526,11 @@ def _payloads(spark, folder):
     return D.build_payload(shaped, "Nguồn")
 
 
-_PAYLOADS = f"""payloads AS (SELECT substr(md5(CASE WHEN _row_number % 3 = 0 THEN number ELSE lower(number) END), 1, 16) AS id, field, doc_type_ AS doc_type,
-   CASE WHEN _row_number % 2 = 0 THEN title ELSE 'Thông tư ' || number || ' về ' || title END AS title, number, substr(status_date, 1, 10) AS effective_date, url, amends,
+# a document number has at most four digits before the year, so longer keys are not read from pages
+_PAYLOADS = f"""payloads AS (SELECT substr(md5(CASE WHEN no = '' THEN url WHEN _row_number % 3 = 0 THEN no ELSE lower(no) END), 1, 16) AS id, field, doc_type_ AS doc_type,
+   CASE WHEN _row_number % 2 = 0 THEN title ELSE 'Thông tư ' || number || ' về ' || title END AS title, no AS number, substr(status_date, 1, 10) AS effective_date, url, amends,
    CASE WHEN amends <> '' THEN 'Đã gợi ý' ELSE 'Chưa quét' END AS relation_status, len(list_filter(string_split(amends, e'\\n'), lambda x: x <> '')) AS hints
-  FROM (SELECT *, CASE WHEN doc_type = '' THEN 'Thông tư' ELSE doc_type END AS doc_type_ FROM register))"""
+  FROM (SELECT *, CASE WHEN doc_type = '' THEN 'Thông tư' ELSE doc_type END AS doc_type_, CASE WHEN _row_number % 3 = 0 AND p >= 10000 THEN '' ELSE number END AS no FROM register))"""
 
 
 @query(f"""WITH {SQL_REGISTER}, {_PAYLOADS} SELECT id, field, doc_type, title, number, effective_date, url, amends, relation_status, hints::VARCHAR AS hints FROM payloads""")
@@ -544,12 +545,12 @@ _HIT = "CASE WHEN contains(lower(title), 'blue') THEN 'blue' WHEN contains(lower
 
 
 @query(
-    f"""WITH {SQL_REGISTER}, {_PAYLOADS} SELECT id, CASE WHEN effective_date = '' THEN 'missing:effective_date' ELSE '' END AS required,
+    f"""WITH {SQL_REGISTER}, {_PAYLOADS} SELECT id, CASE WHEN number = '' THEN 'missing:number' WHEN effective_date = '' THEN 'missing:effective_date' ELSE '' END AS required,
       CASE WHEN doc_type NOT IN ('Bộ luật', 'Luật', 'Nghị định', 'Thông tư') THEN 'not_in_accepted_doc_types:' || doc_type
         WHEN {_HIT} IS NOT NULL THEN 'exclude_title_keywords:' || {_HIT} WHEN contains(url, 'promo') THEN 'exclude_url_keywords:promo'
         WHEN contains(lower(number), '/qh') THEN 'exclude_so_hieu_keywords:/QH' ELSE '' END AS skip_reason,
-      CASE WHEN doc_type = 'Quyết định' THEN 'SKIP_DOC_TYPE' WHEN doc_type NOT IN ('Bộ luật', 'Luật', 'Nghị định', 'Thông tư') THEN 'DOC_TYPE_NOT_ACCEPTED' ELSE '' END AS gate_code,
-      array_to_string(list_filter([CASE WHEN doc_type = 'Quyết định' THEN 'skipped_doc_type:Quyết định' END, CASE WHEN contains(url, 'promo') THEN 'blocked_url_keyword:promo' END,
+      CASE WHEN number = '' THEN 'MISSING_SO_HIEU' WHEN doc_type = 'Quyết định' THEN 'SKIP_DOC_TYPE' WHEN doc_type NOT IN ('Bộ luật', 'Luật', 'Nghị định', 'Thông tư') THEN 'DOC_TYPE_NOT_ACCEPTED' ELSE '' END AS gate_code,
+      array_to_string(list_filter([CASE WHEN doc_type = 'Quyết định' THEN 'skipped_doc_type:Quyết định' END, CASE WHEN number = '' THEN 'missing_number' END, CASE WHEN contains(url, 'promo') THEN 'blocked_url_keyword:promo' END,
          CASE WHEN {_HIT} IS NOT NULL THEN 'title_keyword:' || {_HIT} END, CASE WHEN contains(number, '/QH') THEN 'number_keyword:/QH' END], lambda x: x IS NOT NULL), '|') AS errors
     FROM payloads"""
 )
