@@ -396,7 +396,7 @@ def test_skip_categories_cover_all(spark):
 def test_verdict(spark):
     names = ["config_errors", "documents", "invalid_documents", "invalid_payloads", "result_errors", "sent_not_ok", "sent_skipped", "sent_without_report", "relation_missing_documents", "warned_documents", "result_warnings"]
     df = spark.createDataFrame([(0, 5, 0, 0, 0, 0, 0, 0, 1, 0, 0), (1, 0, 0, 0, 2, 0, 0, 0, 0, 0, 0)], names)
-    a, b = validation.pipeline_verdict(df).collect()
+    a, b = validation.run_verdict(df).collect()
     assert a["ok"] and a["warnings"] == ["relation_missing_documents:1"]
     assert not b["ok"] and b["errors"] == ["config_errors:1", "no_documents", "result_errors:2"]
 

@@ -67,7 +67,7 @@ def result_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_verdict(summary: DataFrame) -> DataFrame:
+def run_verdict(summary: DataFrame) -> DataFrame:
     """``ok``, ``errors`` and ``warnings`` of a run from its one-row summary."""
 
     def rule(code: str, count: str) -> Column:

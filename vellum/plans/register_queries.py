@@ -519,11 +519,11 @@ def result_counts(spark, folder):
     f"""WITH {_RESULTS}, c AS (SELECT {_RESULT_COUNTS} FROM sev) SELECT false AS ok, 'result_errors:' || result_errors || '|sent_not_ok:' || sent_not_ok || '|sent_skipped:' || sent_skipped || '|sent_without_report:' || sent_without_report AS errors,
       'relation_missing_documents:' || relation_missing_documents || '|result_warnings:' || result_warnings AS warnings FROM c"""
 )
-def pipeline_verdict(spark, folder):
+def run_verdict(spark, folder):
     counts = V.result_counts(V.result_outcome(_results(spark, folder)))
     zero = F.lit(0)
     summary = counts.withColumns({"config_errors": zero, "documents": F.col("results"), "invalid_documents": zero, "invalid_payloads": zero, "warned_documents": zero})
-    return V.pipeline_verdict(summary).select("ok", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
+    return V.run_verdict(summary).select("ok", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
 
 
 @query(

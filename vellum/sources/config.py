@@ -14,21 +14,18 @@ from vellum.functions.urls import build_page_url, set_query_param
 
 _STRINGS = T.ArrayType(T.StringType())
 _FILTER_FIELDS = [
-    "required_luatvietnam_field_contains", "doc_type_ids_to_crawl", "accepted_doc_types",
+    "doc_type_ids_to_crawl", "accepted_doc_types",
     "required_url_path_contains", "exclude_url_path_contains", "skip_doc_types",
     "exclude_title_keywords", "exclude_url_keywords", "exclude_so_hieu_keywords",
 ]
-CONFIG_SCHEMA = T.StructType(
-    [
-        T.StructField("run_mode", T.StringType()),
-        T.StructField("crawl_strategy", T.StringType()),
-        T.StructField("page_size", T.IntegerType()),
-        T.StructField("max_pages_per_field", T.IntegerType()),
-        T.StructField("max_documents_per_run", T.IntegerType()),
-        T.StructField("list_url", T.StringType()),
-        T.StructField("filters", T.StructType([T.StructField(n, _STRINGS) for n in _FILTER_FIELDS])),
-    ]
-)
+
+
+def config_schema(field_key: str) -> T.StructType:
+    """Schema of a rule file; ``field_key`` names its list of required field names."""
+    texts = [T.StructField(n, T.StringType()) for n in ["run_mode", "crawl_strategy", "list_url"]]
+    numbers = [T.StructField(n, T.IntegerType()) for n in ["page_size", "max_pages_per_field", "max_documents_per_run"]]
+    filters = T.StructType([T.StructField(n, _STRINGS) for n in [field_key, *_FILTER_FIELDS]])
+    return T.StructType([*texts, *numbers, T.StructField("filters", filters)])
 
 
 @dataclass(frozen=True)
@@ -66,13 +63,13 @@ class RuleSet:
         return list(dict.fromkeys(w for w in words if w))
 
 
-def read_scan_config(spark: SparkSession, path: str) -> RuleSet:
+def read_scan_config(spark: SparkSession, path: str, field_key: str = "required_field_contains") -> RuleSet:
     """One small JSON object; a missing file raises."""
-    row = spark.read.schema(CONFIG_SCHEMA).option("multiLine", True).json(path).first()
+    row = spark.read.schema(config_schema(field_key)).option("multiLine", True).json(path).first()
     if row is None:
         raise ValueError(f"no configuration in {path}")
     lists = row["filters"].asDict() if row["filters"] else {}
-    values = [lists.get(n) or [] for n in _FILTER_FIELDS]
+    values = [lists.get(n) or [] for n in [field_key, *_FILTER_FIELDS]]
     return RuleSet(
         *values,
         run_mode=row["run_mode"] or "",

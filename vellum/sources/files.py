@@ -15,7 +15,7 @@ DOCUMENT = T.StructType(
     [
         T.StructField(n, T.StringType())
         for n in [
-            "ma_linh_vuc", "ten_linh_vuc_luatvietnam", "url", "title_from_list", "doc_type_from_list",
+            "ma_linh_vuc", "url", "title_from_list", "doc_type_from_list",
             "doc_number_from_list", "source_list_url", "root_list_url", "crawl_doc_type_id",
         ]
     ]
@@ -34,7 +34,6 @@ PAGE = T.StructType(
 FIELD = T.StructType(
     [
         T.StructField("ma_linh_vuc", T.StringType()),
-        T.StructField("ten_linh_vuc_luatvietnam", T.StringType()),
         T.StructField("crawl_doc_type_id", T.StringType()),
         T.StructField("list_url", T.StringType()),
         T.StructField("status", T.StringType()),
@@ -72,8 +71,7 @@ DEBUG_SCHEMA = T.StructType(
                 T.StructType(
                     [
                         T.StructField("ma_linh_vuc", T.StringType()),
-                        T.StructField("ten_linh_vuc_luatvietnam", T.StringType()),
-                        T.StructField("debug_pages", T.ArrayType(DEBUG_PAGE)),
+                                        T.StructField("debug_pages", T.ArrayType(DEBUG_PAGE)),
                     ]
                 )
             ),
@@ -111,7 +109,7 @@ SNAPSHOT_SCHEMA = T.StructType(
     ]
 )
 _INTERNAL_DOCUMENT = {
-    "ma_linh_vuc": "field_code", "ten_linh_vuc_luatvietnam": "field_name", "title_from_list": "title",
+    "ma_linh_vuc": "field_code", "title_from_list": "title",
     "doc_type_from_list": "doc_type", "doc_number_from_list": "doc_number",
 }
 
@@ -126,30 +124,44 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType, **option
         raise
 
 
-def _documents(df: DataFrame) -> DataFrame:
-    return df.withColumnsRenamed(_INTERNAL_DOCUMENT)
+def _named(schema: T.DataType, name_key: str) -> T.DataType:
+    """The schema with the key of a field's display name next to every field code."""
+    if isinstance(schema, T.ArrayType):
+        return T.ArrayType(_named(schema.elementType, name_key))
+    if not isinstance(schema, T.StructType):
+        return schema
+    fields = []
+    for f in schema.fields:
+        fields.append(T.StructField(f.name, _named(f.dataType, name_key), f.nullable))
+        if f.name == "ma_linh_vuc":
+            fields.append(T.StructField(name_key, T.StringType()))
+    return T.StructType(fields)
 
 
-def read_listing_result(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Crawl result as flat frames: ``documents``, ``fields``, ``pages``."""
-    raw = spark.read.schema(LISTING_SCHEMA).option("multiLine", True).json(path)
+def _internal(df: DataFrame, name_key: str) -> DataFrame:
+    return df.withColumnsRenamed({**_INTERNAL_DOCUMENT, name_key: "field_name"})
+
+
+def read_listing_result(spark: SparkSession, path: str, name_key: str = "ten_linh_vuc") -> dict[str, DataFrame]:
+    """Crawl result as flat frames: ``documents``, ``fields``, ``pages``.
+
+    ``name_key`` is the key under which the files hold a field's display name.
+    """
+    raw = spark.read.schema(_named(LISTING_SCHEMA, name_key)).option("multiLine", True).json(path)
     branches = raw.select(F.posexplode("fields").alias("branch", "f")).select("branch", "f.*")
+    fields = branches.withColumns({"document_count": F.size("documents"), "page_count": F.size("pages_crawled")})
     return {
-        "documents": _documents(raw.select(F.inline_outer("documents")).filter("url is not null")),
-        "fields": branches.withColumn("document_count", F.size("documents"))
-        .withColumn("page_count", F.size("pages_crawled"))
-        .drop("documents", "pages_crawled")
-        .withColumnsRenamed(_INTERNAL_DOCUMENT),
-        "pages": branches.select("branch", "ma_linh_vuc", F.inline("pages_crawled")).withColumnsRenamed(_INTERNAL_DOCUMENT),
+        "documents": _internal(raw.select(F.inline_outer("documents")).filter("url is not null"), name_key),
+        "fields": _internal(fields.drop("documents", "pages_crawled"), name_key),
+        "pages": _internal(branches.select("branch", "ma_linh_vuc", F.inline("pages_crawled")), name_key),
     }
 
 
-def read_listing_debug(spark: SparkSession, path: str) -> DataFrame:
+def read_listing_debug(spark: SparkSession, path: str, name_key: str = "ten_linh_vuc") -> DataFrame:
     """Debug pages, one row each; a missing file gives no rows."""
-    raw = read_optional(spark, path, DEBUG_SCHEMA, multiLine=True)
+    raw = read_optional(spark, path, _named(DEBUG_SCHEMA, name_key), multiLine=True)
     fields = raw.select(F.inline("fields"))
-    pages = fields.select("ma_linh_vuc", "ten_linh_vuc_luatvietnam", F.inline("debug_pages"))
-    return pages.withColumnsRenamed(_INTERNAL_DOCUMENT)
+    return _internal(fields.select("ma_linh_vuc", name_key, F.inline("debug_pages")), name_key)
 
 
 def read_payload_batch(spark: SparkSession, path: str) -> dict[str, DataFrame]:
