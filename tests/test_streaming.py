@@ -4,8 +4,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from vellum.operators.sequences import snapshot_convergence
 from vellum.sources.snapshots import latest_version, read_snapshot, write_snapshot
 from vellum.streaming import requests as R

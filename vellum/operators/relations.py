@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vellum import labels as L
 from vellum.functions.text import (
     canonical_heading, clean_text, is_heading, is_noise, is_relation_item, match_key, normalize_text,
-    percent, primary_number, split_values, tracking_key, unique_list,
+    percent, primary_number, tracking_key, unique_list,
 )
 from vellum.operators.dedup import register_index
 from vellum.operators.skew import first_by, first_n_by, key_counts, lookup_join, parts

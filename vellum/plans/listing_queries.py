@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vellum import labels as L
 from vellum.functions import html as H
 from vellum.functions import text as T
 from vellum.functions import urls as U
@@ -13,8 +12,8 @@ from vellum.operators import listing as O
 from vellum.operators import sequences as S
 from vellum.operators.dedup import keyword_union, merge_first, merge_sources
 from vellum.plans.adapters import (
-    EDGE_HEADINGS, LISTING_RULES, LISTING_TYPES, SQL_LINKS, SQL_LISTING, SQL_PAGE_EDGES, SQL_REGISTER, links, listing, number_of,
-    page_edges, pick, register, sql_number, sql_pick, table,
+    LISTING_RULES, SQL_LINKS, SQL_LISTING, SQL_PAGE_EDGES, SQL_REGISTER, links, listing, number_of,
+    page_edges, register, sql_number, sql_pick, table,
 )
 from vellum.plans.registry import query
 from vellum.sources.config import config_issues as find_config_issues

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vellum import labels as L
-from vellum.functions.text import match_key, tracking_key
+from vellum.functions.text import match_key, split_values, tracking_key
 from vellum.operators import register as G
 from vellum.operators import relations as X
 from vellum.operators.dedup import dedup_first, dedup_longest, fallback_title, primary_link, register_index
-from vellum.operators.skew import lookup_join
 from vellum.plans.adapters import (
     EDGE_HEADINGS, EDGE_ORDER, EDGE_SPREAD, SQL_EDGES, SQL_LINKS, SQL_PAGE_EDGES, SQL_REGISTER, edges, links, number_of,
-    page_edges, register, sql_number, sql_percent, sql_pick, table,
+    page_edges, register, sql_number, sql_percent, table,
 )
 from vellum.plans.registry import query
 
@@ -106,7 +105,7 @@ def reverse_links(spark, folder):
 )
 def reverse_link_rows(spark, folder):
     reg = register(spark, folder)
-    lists = reg.withColumns({c: X.split_values(c) for c in ["guided_by", "amends"]})
+    lists = reg.withColumns({c: split_values(c) for c in ["guided_by", "amends"]})
     fresh = X.apply_reverse_links(lists, X.reverse_links(edges(spark, folder), ["doc", *EDGE_ORDER]))
     return fresh.select("_row_number", "target_column", "value")
 
@@ -386,7 +385,7 @@ def map_field(spark, folder):
       coalesce((SELECT string_agg(v, ',' ORDER BY v) FROM vals WHERE vals._row_number = r._row_number AND v NOT LIKE '%/TT-BTC'), '') AS skipped FROM register r"""
 )
 def allowed_values(spark, folder):
-    rows = register(spark, folder).withColumn("_v", X.split_values("amends"))
+    rows = register(spark, folder).withColumn("_v", split_values("amends"))
     allowed = F.filter("_v", lambda v: F.endswith(v, F.lit("/TT-BTC")))
     return rows.select("_row_number", X.allowed_values(F.col("_v"), allowed).alias("a")).select(
         "_row_number", F.array_join(F.array_sort("a.written"), ",").alias("written"), F.array_join(F.array_sort("a.skipped"), ",").alias("skipped")
