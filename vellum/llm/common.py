@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from vellum.session import shared_folder
 
@@ -36,3 +37,12 @@ def ascii_lower(text: Column) -> Column:
 def sql_text(value: str) -> str:
     """A string literal for a SQL text."""
     return "'" + value.replace("'", "''") + "'"
+
+
+def plus(schema: StructType, **fields: str) -> StructType:
+    """A schema with more fields, given by name and type name."""
+    return StructType([*schema, *(StructField(k, _of_name(v)) for k, v in fields.items())])
+
+
+def _of_name(name: str) -> DataType:
+    return {"int": IntegerType(), "long": LongType(), "double": DoubleType(), "binary": BinaryType()}[name]

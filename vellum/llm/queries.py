@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import chat, secrets
+from vellum.llm import bpe, chat, decontaminate, quality, secrets, topk
 from vellum.llm.common import Query, sql_text, table
 
 QUERIES: dict[str, Query] = {}
@@ -93,3 +93,72 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.array(message, answer).alias("messages"))
     records = chat.as_records(rows).unionByName(chat.as_records(extra))
     return chat.digest(chat.read_back(chat.formatted(chat.to_turns(records))))
+
+
+# --- 6: benchmark ----------------------------------------------------------------------------
+
+
+def _benchmark_sql() -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = sql_text(decontaminate.WORD)
+    n = decontaminate.SIZE
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({low}, {word}) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({low}, {word}) AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(len(w), {n}) AS size,
+  unnest(list_transform(range(1, greatest(len(w) - {n}, 0) + 2), lambda i: array_to_string(w[i:i + {n} - 1], ' '))) AS gram
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM g),
+placed AS (SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS i, w FROM d, sizes WHERE len(w) >= size),
+hit AS (SELECT doc_id, i, p.size, item_id FROM placed p JOIN g ON g.size = p.size AND array_to_string(w[i:i + p.size - 1], ' ') = gram),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+@query(_benchmark_sql())
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.scan(docs, items))
+
+
+# --- 4: quality ------------------------------------------------------------------------------
+
+
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.digest(quality.score(docs, model))
+
+
+# --- 8: byte-level BPE -----------------------------------------------------------------------
+
+
+@query()
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return bpe.digest(bpe.decode(encoded, path))
+
+
+# --- 3: top-k --------------------------------------------------------------------------------
+
+_TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""
+
+
+@query(_TOPK_SQL)
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
