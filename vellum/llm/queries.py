@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import bpe, chat, decontaminate, quality, secrets, topk
+from vellum.llm import bpe, chat, decontaminate, jaccard, quality, secrets, topk
 from vellum.llm.common import Query, sql_text, table
 
 QUERIES: dict[str, Query] = {}
@@ -162,3 +162,11 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+# --- 5: near-duplicate classes ---------------------------------------------------------------
+
+
+@query()
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
