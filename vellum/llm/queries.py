@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import bpe, chat, decontaminate, jaccard, quality, secrets, topk
+from vellum.llm import bpe, chat, decontaminate, jaccard, lm, quality, secrets, topk
 from vellum.llm.common import Query, sql_text, table
 
 QUERIES: dict[str, Query] = {}
@@ -170,3 +170,11 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+# --- 9: language model -----------------------------------------------------------------------
+
+
+@query()
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
