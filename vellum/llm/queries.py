@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import bpe, chat, decontaminate, jaccard, lm, quality, secrets, topk
+import corpus_pipeline
+from vellum.llm import bpe, chat, decontaminate, jaccard, lm, quality, repeats, secrets, shards, topk
 from vellum.llm.common import Query, sql_text, table
 
 QUERIES: dict[str, Query] = {}
@@ -178,3 +179,40 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+# --- 7: repeats ------------------------------------------------------------------------------
+
+
+@query()
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove(table(spark, sf_dir, "documents")))
+
+
+# --- 10: shards ------------------------------------------------------------------------------
+
+_SHARDS_SQL = f"""
+WITH d AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, {shards.BITS // 4}))::BIGINT AS h FROM documents),
+up AS (SELECT doc_id, n_bytes, d.h, depth, d.h >> ({shards.BITS} - depth)::INTEGER AS prefix FROM d, range(0, 31) r(depth)),
+fits AS (SELECT depth, prefix FROM up GROUP BY ALL HAVING sum(n_bytes) <= {shards.LIMIT}),
+own AS (SELECT doc_id, n_bytes, h, min(depth) AS depth FROM up JOIN fits USING (depth, prefix) GROUP BY ALL)
+SELECT doc_id, n_bytes, depth::INTEGER AS depth,
+substr(lpad(bin(h), {shards.BITS}, '0'), 1, depth::INTEGER) AS shard FROM own"""
+
+
+@query(_SHARDS_SQL)
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "depth", "shard")
+
+
+# --- the pipeline ----------------------------------------------------------------------------
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
+if corpus_pipeline.ORACLE_SQL:
+    CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -202,13 +202,19 @@ def _spans(n: int, rule: Rule) -> Column:
 
 
 def find_secrets(
-    docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    rules: tuple[Rule, ...] = RULES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, text, spans) of every row; spans sorted by start, then by the rules' order.
+    """(id, text, spans, and ``rest`` with the columns to keep) of every row.
 
-    The other columns of ``docs`` are left out, so none of them can clash.
+    Spans are sorted by start, then by the rules' order. Other columns of ``docs`` are left out, and
+    kept ones are nested, so none of them can clash.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rest = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"), rest.alias("rest"))
     # Two rows with one hash only share their candidate rules; the regex decides on each text.
     rows = rows.withColumn("row", F.xxhash64("id", "text"))
     found = candidates(rows, rules)
@@ -223,7 +229,7 @@ def find_secrets(
         if all(trigram_query(rule.pattern)):
             hit = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)) & hit
         parts.append(hit.alias(f"h{n}"))
-    rows = rows.select("id", "text", *parts)
+    rows = rows.select("id", "text", "rest", *parts)
     parts = []
     for n, rule in enumerate(rules):
         pattern = F.lit(rule.pattern)
@@ -234,9 +240,9 @@ def find_secrets(
             .otherwise(none)
             .alias(f"g{n}"),
         ]
-    rows = rows.select("id", "text", *parts)
+    rows = rows.select("id", "text", "rest", *parts)
     spans = F.array_sort(F.flatten(F.array(*(_spans(n, r) for n, r in enumerate(rules)))))
-    return rows.select(F.col("id").alias(id_col), F.col("text").alias(text_col), spans.alias("spans"))
+    return rows.select(F.col("id").alias(id_col), F.col("text").alias(text_col), spans.alias("spans"), "rest")
 
 
 def listed(spans: Column) -> Column:
@@ -270,6 +276,23 @@ def redacted(text: Column, spans: Column, mask: str = "[secret]") -> Column:
     return F.when(F.size(spans) > 0, joined).otherwise(text)
 
 
+def mask_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns, secrets masked in the text; ``n_chars``, if there, follows. Null texts stay null."""
+    found = find_secrets(docs, rules, id_col, text_col, tuple(docs.columns))
+    hit = F.size("spans") > 0
+    text = redacted(F.col(text_col), F.col("spans"))
+
+    def column(name: str) -> Column:
+        old = F.col("rest")[name]
+        if name == text_col:
+            return F.when(hit, text).otherwise(old).alias(name)
+        if name == "n_chars":
+            return F.when(hit, F.length(text).cast(docs.schema[name].dataType)).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return found.select(*map(column, docs.columns))
+
+
 def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id") -> DataFrame:
     """Counts per base kind, digest of the base spans, and all spans as text."""
     base = [r.kind for r in rules if r.base]
