@@ -190,3 +190,22 @@ def test_task_texts(value, spark):
     assert [a["level"] for a in value(lambda x: tasks.alert_level(x.cast("int")), ["1", "3", "6", "7"])] == ["info", "warning", "warning", "critical"]
     with pytest.raises(Exception, match="differ in length"):
         spark.range(1).select(tasks.assignees(F.lit("a,b"), F.lit("a"), F.lit("x,y"))).collect()
+
+
+def test_entities_and_unquoted_links(value, spark):
+    texts = ["Ngh&#7883; &#272;&#x1ECB;nh N&#272;-CP", "&eacute;&nbsp;&amp;lt; &unknown; &#99999999; &#xD800;", "a & b", None]
+    assert value(html.unescape, texts) == ["Nghị Định NĐ-CP", "é\u00a0&lt; &unknown; &#99999999; &#xD800;", "a & b", None]
+    page = "<a href=/x.html>one</a><a class='c' href = '/y'>t&#119;o</a><A HREF=\"/z\" >three</A>"
+    pages = spark.createDataFrame([(1, "https://a.vn/p", page)], "page_id long, url string, html string")
+    got = [tuple(r) for r in html.html_links(pages, ["page_id"]).orderBy("ord").select("url", "text").collect()]
+    assert got == [("https://a.vn/x.html", "one"), ("https://a.vn/y", "two"), ("https://a.vn/z", "three")]
+
+
+def test_redaction_of_objects_and_lists(value):
+    texts = [
+        '{"token":{"a":"S1"},"cookies":["S2"],"session":{"id":"S3"},"n":1.50}',
+        '{"x":[{"Token":["S4",{"b":"S5"}]}]}', 'no json "token": {"a": "S6"', '{"token":"S7","k":true}', None,
+    ]
+    got = value(jsonx.redact_json, texts)
+    assert not any("S" + str(n) in (t or "") for n in range(1, 8) for t in got)
+    assert got[0].endswith('"n":1.50}') and got[3].endswith('"k":true}') and got[4] is None

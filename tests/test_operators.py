@@ -53,10 +53,19 @@ def test_running_values_match_a_plain_loop(spark, chunk, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_parts_bound_lists_and_lose_nothing(spark):
-    df = spark.range(25).select(F.lit("g").alias("g"), F.col("id").alias("ord"))
-    got = skew.parts(df, ["g"], "ord", {"x": F.col("ord")}, part_rows=10).orderBy("part").collect()
-    assert [len(r["x"]) for r in got] == [10, 10, 5] and sum((r["x"] for r in got), []) == list(range(25))
+def test_one_cell_per_document_whatever_the_order_numbers(spark):
+    schema = "doc string, ord long, heading string, ref_number string, item string"
+    heads = ["Văn bản căn cứ", "Văn bản thay thế", "Văn bản căn cứ"]
+    data = [("d", n, h, f"{k}/2020/TT-A", f"item {k}") for k, (n, h) in enumerate(zip([1, 10001, 10002], heads))]
+    edges = spark.createDataFrame(data, schema)
+    (row,) = relations.relation_columns(edges, ["doc"]).collect()
+    assert row["basis"] == "0/2020/TT-A\n2/2020/TT-A"
+    first, second = row["relation_note"].split("\n\n")
+    assert first.startswith("[Văn bản căn cứ]") and "Số lượng: 2" in first and second.startswith("[Văn bản thay thế]") and "Số lượng: 1" in second
+    (nested,) = relations.relation_nested(edges, ["doc"]).collect()
+    assert [e["item"] for e in nested["relations"]["Văn bản căn cứ"]] == ["item 0", "item 2"]
+    matched = edges.withColumns({"is_matched": F.lit(True), "matched_number": F.col("ref_number"), "matched_id": F.col("item")})
+    assert {r["value"] for r in relations.match_columns(matched, ["doc"]).collect()} == {"0/2020/TT-A, 2/2020/TT-A"}
 
 
 # --- dedup --------------------------------------------------------------------------------
@@ -291,7 +300,7 @@ def test_transfer(spark):
     assert rows(marked, "_row_number", "outcome", "process_status", "status_date") == [
         (2, "ok", L.TRANSFERRED, "now"), (3, "duplicate", L.DUPLICATE_NUMBER, "x"), (4, "duplicate", L.DUPLICATE_NUMBER, "x"), (5, "missing_fields", L.MANUAL_CHECK, "x"),
     ]
-    assert rows(moved, "_row_number", "status_date") == [(2, "now")]
+    assert rows(moved, "_row_number", "status_date") == [(6, "now")]
 
 
 def test_retention_days(spark):
@@ -405,3 +414,35 @@ def test_capped_sections(spark):
     df = spark.range(100).select(F.when(F.col("id") % 2 == 0, "invalid").otherwise("free").alias("s"), "id")
     got = validation.capped_sections(df, "s", ["id"], {"invalid": 3})
     assert {r["s"]: r["n"] for r in got.groupBy("s").agg(F.count("*").alias("n")).collect()} == {"invalid": 3, "free": 50}
+
+
+def test_only_the_value_true_is_success(spark):
+    answers = ['{"ok":"true"}', '{"ok":1}', '{"ok":null}', "{}"]
+    df = spark.createDataFrame([("sent", a) for a in answers], "status string, result string")
+    assert {r["outcome"] for r in validation.result_outcome(df).collect()} == {"not_ok"}
+
+
+def test_expiry_numbers_with_many_digits_or_hyphens(spark):
+    text = "Điều khoản thi hành: Thông tư 12345/2020/TT-BTC và 15-2019-TT-BTC hết hiệu lực."
+    docs = spark.createDataFrame([("1/2024/TT-A", "t", "http://x", f"<p>{text}</p>", "")], "number string, title string, url string, html string, fetch_error string")
+    got = {r["old_number"] for r in expiry.scan_expired(docs, F.lit(dt.date(2024, 1, 1))).collect()}
+    assert got == {"12345/2020/TT-BTC", "15-2019-TT-BTC"}
+
+
+def test_skipped_reads_count_as_unchanged(spark):
+    df = spark.createDataFrame([("a", k, "x") for k in (1, 2, 5)] + [("b", k, f"i{k}") for k in range(1, 13)], "page string, attempt int, item string")
+    assert rows(sequences.snapshot_convergence(df, ["page"], "item"), "page", "stop_attempt", "merged_count") == [("a", 4, 1), ("b", None, 8)]
+    assert rows(sequences.snapshot_convergence(df, ["page"], "item", max_attempts=20), "page", "merged_count") == [("a", 1), ("b", 12)]
+
+
+def test_transfer_and_upsert_keep_columns_and_numbers(spark):
+    cols = ["id", "number", "title", "field", "doc_type", "url", "department", "impact", "effective_date", "approval_status", "process_status", "status_date"]
+    schema = "_row_number long, " + ", ".join(f"{c} string" for c in cols) + ", extra string, size int"
+    old = spark.createDataFrame([(7, *["x"] * len(cols), "kept", 5)], schema)
+    new = spark.createDataFrame([(1, "9/2020/TT-A", "t"), (2, " ", "lost")], "ord long, number string, title string")
+    got = {r["_row_number"]: r for r in register.upsert_protected(old, new, ["number", "title"]).collect()}
+    assert got[7]["extra"] == "kept" and got[8]["extra"] == "" and got[8]["size"] is None and got[8]["action"] == "inserted"
+    assert [r["ord"] for r in register.rejected_payloads(new).collect()] == [2]
+    staging = old.withColumn("number", F.lit("5/2020/TT-B")).withColumn("_row_number", F.lit(2).cast("long"))
+    _, moved = register.transfer(staging, old, F.lit("now"))
+    assert [(r["_row_number"], r["extra"]) for r in moved.collect()] == [(8, "kept")]

@@ -82,9 +82,15 @@ def test_stream_upsert_versions(spark, tmp_path):
     U.stream_upsert(stream, root, cols, str(tmp_path / "ck")).awaitTermination(120)
     assert latest_version(spark, root) == 2
     assert sorted((r["_row_number"], r["number"], r["title"]) for r in read_snapshot(spark, root).collect()) == [(2, "1/2020/a1", "x"), (3, "9/2020/A1", "newer")]
-    again = U.upsert_batch(root, cols)
+    again = U.upsert_batch(root, cols, stream=str(tmp_path / "ck"))
     again(spark.createDataFrame([(9, "7/2020/A1", "late", "", "Luật", "u")], "ord long, " + ", ".join(f"{c} string" for c in cols)), 1)
     assert latest_version(spark, root) == 2 and read_snapshot(spark, root).count() == 2
+    # another checkpoint starts with batch 0 and goes on from version 2; what is kept out is handed on
+    out = []
+    late = spark.createDataFrame([(9, "7/2020/A1", "late", "F", "Luật", "u"), (10, " ", "none", "F", "Luật", "u")], "ord long, " + ", ".join(f"{c} string" for c in cols))
+    U.upsert_batch(root, cols, stream="other", rejected=lambda df, b: out.extend(df.select("ord", "action").collect()))(late, 0)
+    assert latest_version(spark, root) == 3 and read_snapshot(spark, root).count() == 3
+    assert [tuple(r) for r in out] == [(10, "rejected")]
 
 
 def test_convergence_stream_equals_batch(spark, tmp_path):

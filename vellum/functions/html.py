@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +11,33 @@ from vellum import labels as L
 from vellum.functions.text import BLANKS, col, contains_any, normalize_text
 from vellum.functions.urls import resolve_url
 
-_ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
-_ENTITIES = [("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+_HREF = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_ANCHOR = rf"""(?is)<a\s[^>]*?{_HREF}[^>]*>(.*?)</a>"""
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _entity(e: Column) -> Column:
+    """The character of one entity; unknown ones stay as they are."""
+    number = F.coalesce(
+        F.when(F.regexp_like(e, F.lit("^&#[xX]")), F.conv(F.regexp_extract(e, "^&#[xX](.*);$", 1), 16, 10)),
+        F.when(F.startswith(e, F.lit("&#")), F.regexp_extract(e, "^&#(.*);$", 1)),
+        F.try_element_at(F.create_map(*[F.lit(x) for k, v in name2codepoint.items() for x in (f"&{k};", str(v))]), e),
+    ).cast("int")
+    known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(number), 8, F.lit("0"))), "UTF-32")).otherwise(e)
 
 
 def unescape(c) -> Column:
-    return reduce(lambda text, pair: F.replace(text, F.lit(pair[0]), F.lit(pair[1])), _ENTITIES, col(c))
+    """Decimal, hexadecimal and named entities to characters, in one pass."""
+
+    def decoded(text: Column) -> Column:
+        between = F.split(text, _ENTITY, -1)
+        found = F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), _entity)
+        whole = F.zip_with(between, found, lambda b, e: F.concat(b, F.coalesce(e, F.lit(""))))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(whole, "")).otherwise(text)
+
+    # The text is bound once, however often it is named.
+    return F.get(F.transform(F.array(col(c)), decoded), F.lit(0))
 
 
 def strip_tags(c) -> Column:
@@ -51,16 +72,14 @@ def html_links(pages: DataFrame, keep: list[str]) -> DataFrame:
 
     The ``html`` column is dropped here, so that no later shuffle carries it.
     """
-    zipped = F.arrays_zip(
-        F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(1)).alias("href"),
-        F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(2)).alias("inner"),
-    )
-    rows = pages.select(*keep, F.col("url").alias("page_url"), F.posexplode(zipped).alias("pos", "a"))
+    anchors = F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(0))
+    rows = pages.select(*keep, F.col("url").alias("page_url"), F.posexplode(anchors).alias("pos", "a"))
+    href = F.concat(*(F.regexp_extract("a", _ANCHOR, g) for g in (1, 2, 3)))
     return rows.select(
         *keep,
         (F.col("pos") + 1).cast("long").alias("ord"),
-        resolve_url("page_url", unescape("a.href")).alias("url"),
-        normalize_text(unescape(strip_tags("a.inner"))).alias("text"),
+        resolve_url("page_url", unescape(href)).alias("url"),
+        normalize_text(unescape(strip_tags(F.regexp_extract("a", _ANCHOR, 4)))).alias("text"),
     )
 
 

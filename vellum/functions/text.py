@@ -105,9 +105,9 @@ def split_values(c) -> Column:
 
 
 # --- document numbers ---------------------------------------------------------------
-def document_numbers(c) -> Column:
+def document_numbers(c, pattern: str = L.NUMBER_PATTERN) -> Column:
     """All document numbers of a text, in order."""
-    return F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(L.NUMBER_PATTERN), F.lit(1))
+    return F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(pattern), F.lit(1))
 
 
 def document_number(c) -> Column:

@@ -105,6 +105,8 @@ HARD_BLOCKED_URL_KEYWORDS = ["chi-thi", "quyet-dinh", "van-ban-hop-nhat", "cong-
 
 # --- fixed values: document numbers -----------------------------------------------
 NUMBER_PATTERN = r"(?:^|[^\p{L}0-9_])(\d{1,4}/\d{4}/\p{L}[\p{L}0-9.\-]*[\p{L}0-9])"
+# Numbers in expiry clauses: any digits, slash or hyphen between the parts.
+EXPIRY_NUMBER_PATTERN = r"(?:^|[^\p{L}0-9_])(\d+[/-]\d{4}[/-]\p{L}[\p{L}0-9.\-]*[\p{L}0-9])"
 MARKED_NUMBER_PATTERN = (
     r"(?:^|[^\p{L}0-9_])[sS]ố\s+(\d{1,4}/\d{4}/\p{L}[\p{L}0-9.\-]*[\p{L}0-9])"
 )

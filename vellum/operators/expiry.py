@@ -78,7 +78,7 @@ def scan_expired(
     rows = split_sentences(block, "_block", ["number", "title"])
     rows = rows.withColumn("reason", keyword_reason("sentence", strong)).filter("reason is not null")
     rows = rows.withColumns({"is_partial": is_partial("sentence", partial), "_latest": latest_date_text("sentence")})
-    cited = rows.withColumn("old_number", F.explode(document_numbers("sentence")))
+    cited = rows.withColumn("old_number", F.explode(document_numbers("sentence", L.EXPIRY_NUMBER_PATTERN)))
     cited = cited.filter(F.lower("old_number") != F.lower(F.coalesce("number", F.lit(""))))
     found = cited.select(
         "old_number", F.col("number").alias("new_number"), F.col("title").alias("new_title"), "reason",

@@ -121,13 +121,26 @@ def transfer(staging: DataFrame, official: DataFrame, at: Column) -> tuple[DataF
         }
     )
     moved = judged.filter(ok).withColumn("status_date", at).drop("outcome", "missing")
-    return marked.drop("missing"), moved
+    # Appended at the end of the official register, in staging order.
+    last = official.agg(F.coalesce(F.max("_row_number"), F.lit(1)).alias("m")).scalar()
+    placed = position(moved, [], "_row_number", "_place").withColumn("_row_number", (last + F.col("_place")).cast("long"))
+    return marked.drop("missing"), placed.drop("_place")
 
 
 # --- upsert -------------------------------------------------------------------------------
+def is_rejected() -> Column:
+    """A payload without a number has no row to go to."""
+    return clean_text("number") == ""
+
+
+def rejected_payloads(payloads: DataFrame) -> DataFrame:
+    """Payloads that no upsert takes, each with its ``action`` and code."""
+    return payloads.filter(is_rejected()).withColumns({"action": F.lit("rejected"), "code": F.lit("MISSING_NUMBER")})
+
+
 def resolve_payloads(payloads: DataFrame, register: DataFrame) -> DataFrame:
     """Payloads with the register row they go to, or the key of the row they will create."""
-    named = payloads.filter(clean_text("number") != "")
+    named = payloads.filter(~is_rejected())
     placed = lookup_best(named, register, ["ord"])
     key = F.when(match_key("number") == "", clean_text("number")).otherwise(match_key("number"))
     return placed.withColumn("_new_key", F.when(F.col("target_row").isNull(), key))
@@ -140,7 +153,10 @@ def upsert_protected(
     protected: list[str] | None = None,
     only_blank: bool = False,
 ) -> DataFrame:
-    """The register after all payloads, in their order.
+    """The register after all payloads, in their order, with all its columns.
+
+    Payloads without a number are in ``rejected_payloads``. Columns of a new row that payloads do
+    not bring are blank texts, or NULL if they are no texts.
 
     Several payloads for one row fold to one first: the last gives ordinary columns, the
     first non-blank value counts for protected ones (once set they stay).  An old
@@ -169,19 +185,21 @@ def upsert_protected(
             pick = new
         return F.when(F.col("_ord").isNull(), old).otherwise(pick)
 
-    old_rows = register.select("_row_number", *columns)
     hits = changes.filter("target_row is not null").withColumnRenamed("target_row", "_row_number")
-    updated = old_rows.join(hits, "_row_number", "left").select(
-        "_row_number", *[merged(c).alias(c) for c in columns],
+    updated = register.join(hits, "_row_number", "left").select(
+        *[merged(c).alias(c) if c in columns else F.col(c) for c in register.columns],
         F.when(F.col("_ord").isNotNull(), "updated").otherwise("kept").alias("action"),
     )
     fresh = position(changes.filter("target_row is null"), [], "_ord", "_place")
     last = register.agg(F.coalesce(F.max("_row_number"), F.lit(1)).alias("m")).scalar()
-    inserted = fresh.select(
-        (last + F.col("_place")).cast("long").alias("_row_number"),
-        *[F.col(f"_new_{c}").alias(c) for c in columns],
-        F.lit("inserted").alias("action"),
-    )
+    kinds = dict(register.dtypes)
+
+    def created(c: str) -> Column:
+        if c == "_row_number":
+            return (last + F.col("_place")).cast("long")
+        return F.col(f"_new_{c}") if c in columns else F.lit("" if kinds[c] == "string" else None).cast(kinds[c])
+
+    inserted = fresh.select(*[created(c).alias(c) for c in register.columns], F.lit("inserted").alias("action"))
     return updated.unionByName(inserted)
 
 

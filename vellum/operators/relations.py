@@ -11,7 +11,7 @@ from vellum.functions.text import (
     percent, primary_number, tracking_key, unique_list,
 )
 from vellum.operators.dedup import register_index
-from vellum.operators.skew import first_by, first_n_by, key_counts, lookup_join, parts
+from vellum.operators.skew import first_by, first_n_by, key_counts, lookup_join
 
 MAX_DX = 240
 
@@ -226,52 +226,66 @@ def delta_summary(delta: DataFrame) -> DataFrame:
 
 
 # --- cells of a document ------------------------------------------------------------------
+def _heading_lists(rows: DataFrame, doc: list[str]) -> DataFrame:
+    """One row per (document, heading): its entries in order, and the place of the first.
+
+    A document's entries come from its own page, one value already, so its lists are bounded by it.
+    """
+    entry = F.struct("ord", F.col("ref_number").alias("number"), "item")
+    lists = rows.groupBy(*doc, "heading").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    return lists.withColumn("_start", F.get("entries", F.lit(0))["ord"])
+
+
 def relation_columns(edges: DataFrame, doc: list[str]) -> DataFrame:
-    """Per document: four official columns, basis text, hint list and note sections.
+    """One row per document: four official columns, basis text, hint list and note sections.
 
-    Lists are built per (document, heading, part) with a bounded length, see
-    ``skew.parts``; a document of usual size has the one part 0, which is its cell.
-    Needs a whole-number ``ord`` that is the order of an edge in its document.
+    Needs an ``ord`` that is the order of an edge in its document; gaps do not matter.
     """
     rows = edges.filter((F.col("heading") != "") & (F.col("item") != "") & ~is_noise("item"))
-    lists = parts(rows, [*doc, "heading"], "ord", {"numbers": F.col("ref_number"), "items": F.col("item")})
-    named = lists.withColumn("_numbers", F.filter("numbers", lambda v: v != ""))
-    starts = rows.groupBy(*doc, "heading").agg(F.min("ord").alias("_start"), F.count(F.lit(1)).alias("_count"))
-    lists = named.join(starts, [*doc, "heading"])
-    bullets = F.array_join(
-        F.zip_with("numbers", "items", lambda n, i: F.when(n != "", F.concat(F.lit("- "), n, F.lit(": "), i)).otherwise(F.concat(F.lit("- "), i))),
-        "\n",
+    lists = _heading_lists(rows, doc)
+    lists = lists.withColumns(
+        {
+            "_numbers": F.array_join(F.transform(F.filter("entries", lambda e: e["number"] != ""), lambda e: e["number"]), "\n"),
+            "_items": F.array_join(F.transform("entries", lambda e: e["item"]), "\n"),
+            "_bullets": F.array_join(
+                F.transform(
+                    "entries",
+                    lambda e: F.when(e["number"] != "", F.concat(F.lit("- "), e["number"], F.lit(": "), e["item"])).otherwise(
+                        F.concat(F.lit("- "), e["item"])
+                    ),
+                ),
+                "\n",
+            ),
+        }
     )
     head = F.concat(
-        F.lit("["), F.col("heading"), F.lit("]\n" + L.NOTE_COMPARE_LINE + "\nSố lượng: "), F.col("_count").cast("string"), F.lit("\n")
+        F.lit("["), F.col("heading"), F.lit("]\n" + L.NOTE_COMPARE_LINE + "\nSố lượng: "), F.size("entries").cast("string"), F.lit("\n")
     )
-    section = F.concat(F.when(F.col("part") == 0, head).otherwise(F.lit("")), bullets)
     column = {c: h for h, c in L.EXTRACTED_COLUMN_BY_HEADING.items()}
-    cell = lambda h, v: F.coalesce(F.max(F.when(F.col("heading") == h, v)), F.lit(""))
-    newline = F.array_join("_numbers", "\n")
-    notes = F.array_sort(F.collect_list(F.struct("_start", section.alias("s"))))
-    return lists.groupBy(*doc, "part").agg(
-        *[cell(column[c], newline).alias(c) for c in L.OFFICIAL_COLUMNS],
-        cell("Văn bản căn cứ", F.array_join("items", "\n")).alias("basis_text"),
-        cell("Văn bản căn cứ", newline).alias("basis_hint"),
+    cell = lambda h, v: F.coalesce(F.max(F.when(F.col("heading") == h, F.col(v))), F.lit(""))
+    notes = F.array_sort(F.collect_list(F.struct("_start", "heading", F.concat(head, "_bullets").alias("s"))))
+    return lists.groupBy(*doc).agg(
+        *[cell(column[c], "_numbers").alias(c) for c in L.OFFICIAL_COLUMNS],
+        cell("Văn bản căn cứ", "_items").alias("basis_text"),
+        cell("Văn bản căn cứ", "_numbers").alias("basis_hint"),
         F.array_join(F.transform(notes, lambda e: e["s"]), "\n\n").alias("relation_note"),
         F.lit(True).alias("has_relations"),
     )
 
 
 def relation_nested(edges: DataFrame, doc: list[str]) -> DataFrame:
-    """Per document a map heading -> items, settled official headings only, in bounded parts."""
+    """One row per document: a map heading -> items, settled official headings only."""
     rows = typed_edges(edges).filter(F.col("heading").isin(list(L.OFFICIAL_COLUMN_BY_HEADING) + ["Văn bản hướng dẫn"]) & (F.col("item") != ""))
-    lists = parts(rows, [*doc, "heading"], "ord", {"numbers": F.col("ref_number"), "items": F.col("item")})
-    entry = F.arrays_zip(F.col("numbers").alias("number"), F.col("items").alias("item"))
-    return lists.groupBy(*doc, "part").agg(F.map_from_entries(F.collect_list(F.struct("heading", entry.alias("items")))).alias("relations"))
+    items = F.transform("entries", lambda e: F.struct(e["number"].alias("number"), e["item"].alias("item")))
+    pair = F.struct("heading", items.alias("items"))
+    return _heading_lists(rows, doc).groupBy(*doc).agg(F.map_from_entries(F.collect_list(pair)).alias("relations"))
 
 
 def match_columns(matched: DataFrame, doc: list[str], mode: str = "number", strategy: str = "multi_select") -> DataFrame:
     """Official column values of matched edges: numbers or ids, distinct, first-seen order.
 
     ``strategy``: ``multi_select`` joins with a comma, ``multi_line`` with a newline,
-    ``first_only`` keeps the first.  One row per (document, official column, part).
+    ``first_only`` keeps the first.  One row per (document, official column).
     """
     names = F.create_map(*[F.lit(x) for pair in L.OFFICIAL_COLUMN_BY_HEADING.items() for x in pair])
     value = F.col("matched_id") if mode == "id" else F.col("matched_number")
@@ -279,11 +293,10 @@ def match_columns(matched: DataFrame, doc: list[str], mode: str = "number", stra
     rows = rows.filter("official_column is not null")
     distinct = rows.groupBy(*doc, "official_column", "value").agg(F.min("ord").alias("ord"))
     if strategy == "first_only":
-        best = first_by(distinct, [*doc, "official_column"], ["ord"])
-        return best.select(*doc, "official_column", F.lit(0).cast("long").alias("part"), "value")
+        return first_by(distinct, [*doc, "official_column"], ["ord"]).select(*doc, "official_column", "value")
     glue = "\n" if strategy == "multi_line" else ", "
-    lists = parts(distinct, [*doc, "official_column"], "ord", {"values": F.col("value")})
-    return lists.select(*doc, "official_column", "part", F.array_join("values", glue).alias("value"))
+    values = F.transform(F.array_sort(F.collect_list(F.struct("ord", "value"))), lambda e: e["value"])
+    return distinct.groupBy(*doc, "official_column").agg(F.array_join(values, glue).alias("value"))
 
 
 def note_items(edges: DataFrame, doc: list[str]) -> DataFrame:

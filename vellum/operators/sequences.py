@@ -17,38 +17,38 @@ def running_totals(pages: DataFrame, field: list[str]) -> DataFrame:
     return running_sum(pages, field, "page_index", F.col("new_count"), "total_so_far")
 
 
-def snapshot_convergence(attempts: DataFrame, page: list[str], item: str, expected: str | None = None) -> DataFrame:
+def snapshot_convergence(
+    attempts: DataFrame, page: list[str], item: str, expected: str | None = None, max_attempts: int = MAX_ATTEMPTS
+) -> DataFrame:
     """Where reading a page may stop: nothing new twice in a row from the fourth read on,
     or the expected number reached.
 
-    A page is read at most ``MAX_ATTEMPTS`` times, so each item needs only its first read
-    and each page one row of counters: two map-side combined aggregations, no window.
+    A page is read at most ``max_attempts`` times (a rule of the reading, as a parameter). Each item
+    needs only its first read, and each page one count per read: combined on the map side, no window.
     """
     group = [*page, expected] if expected else page
-    reads = attempts.filter(F.col("attempt").between(1, MAX_ATTEMPTS))
-    firsts = reads.groupBy(*group, item).agg(F.min("attempt").alias("_first"), F.max("attempt").alias("_last"))
-    counters = [
-        F.sum(F.when(F.col("_first") == k, 1).otherwise(0)).alias(f"_n{k}") for k in range(1, MAX_ATTEMPTS + 1)
-    ]
-    wide = firsts.groupBy(*group).agg(F.max("_last").alias("attempts"), F.count(F.lit(1)).alias("_all"), *counters)
-    merged, stops = [], []
-    total: Column = F.lit(0)
-    for k in range(1, MAX_ATTEMPTS + 1):
-        total = total + F.col(f"_n{k}")
-        merged.append(total)
-        stable = F.lit(False)
-        if k >= MIN_ATTEMPT:
-            stable = (F.col(f"_n{k}") == 0) & (F.col(f"_n{k - 1}") == 0)
-        reached = (F.col(expected) > 0) & (total >= F.col(expected)) if expected else F.lit(False)
-        stops.append(F.when((F.col("attempts") >= k) & (stable | reached), F.lit(k)))
-    stop = F.coalesce(*stops)
-    counts = F.array(*merged)
-    return wide.select(
-        *page,
-        "attempts",
-        stop.alias("stop_attempt"),
-        stop.isNotNull().alias("converged"),
-        F.element_at(counts, F.coalesce(stop, F.col("attempts")).cast("int")).cast("long").alias("merged_count"),
+    reads = attempts.filter(F.col("attempt").between(1, max_attempts))
+    firsts = reads.groupBy(*group, item).agg(F.min("attempt").cast("int").alias("_first"), F.max("attempt").alias("_last"))
+    fresh = firsts.groupBy(*group, "_first").agg(F.count(F.lit(1)).alias("_n"), F.max("_last").alias("_last"))
+    wide = fresh.groupBy(*group).agg(
+        F.max("_last").alias("attempts"), F.map_from_entries(F.collect_list(F.struct("_first", "_n"))).alias("_fresh")
+    )
+
+    def read(state: Column, k: Column) -> Column:
+        n = F.coalesce(F.try_element_at("_fresh", k), F.lit(0).cast("long"))
+        stable = F.when(n == 0, state["stable"] + 1).otherwise(F.lit(0))
+        total = state["total"] + n
+        stop = (k >= MIN_ATTEMPT) & (stable >= STABLE_READS)
+        if expected:
+            stop = stop | ((F.col(expected) > 0) & (total >= F.col(expected)))
+        after = F.struct(total.alias("total"), stable.alias("stable"), F.when(stop, k).alias("stop"))
+        return F.when(state["stop"].isNotNull(), state).otherwise(after)
+
+    start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("stable"), F.lit(None).cast("int").alias("stop"))
+    done = wide.withColumn("_s", F.aggregate(F.sequence(F.lit(1), F.col("attempts").cast("int")), start, read))
+    stop = F.col("_s")["stop"]
+    return done.select(
+        *page, "attempts", stop.alias("stop_attempt"), stop.isNotNull().alias("converged"), F.col("_s")["total"].alias("merged_count")
     )
 
 

@@ -101,16 +101,3 @@ def position(df: DataFrame, group: list[str], order: str, out: str, chunk_rows:
     """1-based place of each row in its group (or in the whole table) in ``order``."""
     return running_sum(df, group, order, F.lit(1), out, chunk_rows)
 
-
-def parts(
-    df: DataFrame, group: list[str], order: str, items: dict[str, Column], part_rows: int = 10_000
-) -> DataFrame:
-    """Ordered lists per group, in parts of a bounded length.
-
-    A group with a usual number of rows has the one part 0.  A larger one has several,
-    to be read in ``part`` order; no row is left out and no task holds a whole group.
-    """
-    rows = df.withColumn("part", F.expr(f"`{order}` div {int(part_rows)}L"))
-    entry = F.struct(F.col(order).alias("_o"), *[c.alias(n) for n, c in items.items()])
-    lists = rows.groupBy(*group, "part").agg(F.array_sort(F.collect_list(entry)).alias("_l"))
-    return lists.select(*group, "part", *[F.col("_l")[n].alias(n) for n in items])

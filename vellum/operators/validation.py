@@ -18,7 +18,10 @@ def result_outcome(results: DataFrame, dry_run: Column | bool = False) -> DataFr
     """
     dry = F.lit(dry_run) if isinstance(dry_run, bool) else dry_run
     answer = F.try_parse_json("result")
-    ok = F.coalesce(F.try_variant_get(answer, "$.ok", "boolean"), F.lit(False))
+    # Only the JSON value true counts, not a text or number that reads as true.
+    flag = F.try_variant_get(answer, "$.ok", "variant")
+    is_flag = F.coalesce(F.schema_of_variant(flag) == "BOOLEAN", F.lit(False))
+    ok = is_flag & F.coalesce(F.try_variant_get(answer, "$.ok", "boolean"), F.lit(False))
     action = F.coalesce(F.try_variant_get(answer, "$.result.write_result.action", "string"), F.lit(""))
     report_type = T_MAP
     report = F.from_json(F.get_json_object("result", "$.result.match_report"), report_type)

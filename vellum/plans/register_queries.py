@@ -86,10 +86,15 @@ def transfer_staging(spark, folder):
     return marked.select("_row_number", "process_status", "approval_status", "status_date")
 
 
-@query(f"WITH {_TRANSFER} SELECT _row_number, number, '01/12/2023 09:00:00' AS status_date FROM judged WHERE outcome = 'ok'")
+@query(
+    f"""WITH {_TRANSFER} SELECT (SELECT max(p_partkey) + 2 FROM part) + row_number() OVER (ORDER BY j._row_number) AS _row_number, number, 'LV' AS field, 'Cao' AS impact,
+      'Thông tư' AS doc_type, o_orderpriority AS title, 'http://x' AS url, 'BP' AS department, 'Chờ kiểm tra' AS approval_status,
+      'Chờ kiểm tra tự động' AS process_status, '01/12/2023 09:00:00' AS status_date
+    FROM judged j JOIN orders ON o_orderkey + 2 = j._row_number WHERE outcome = 'ok'"""
+)
 def transfer_appended(spark, folder):
     _, moved = G.transfer(_staging(spark, folder), register(spark, folder), F.lit("01/12/2023 09:00:00"))
-    return moved.select("_row_number", "number", "status_date")
+    return moved
 
 
 # --- upsert and updates -----------------------------------------------------------------------
@@ -123,7 +128,12 @@ _UPSERT = f"""payloads AS (SELECT o_orderkey AS ord, o_custkey + CASE WHEN o_ord
     FROM folded WHERE t NOT IN (SELECT p FROM register))"""
 
 
-@query(f"{WITH}, {_UPSERT} SELECT * FROM upserted")
+@query(
+    f"""{WITH}, {_UPSERT} SELECT u.*, coalesce(r.topic, '') AS topic, coalesce(r.section, '') AS section, coalesce(r.doc_type, '') AS doc_type, coalesce(r.impact, '') AS impact,
+      coalesce(r.url, '') AS url, coalesce(r.basis, '') AS basis, coalesce(r.guided_by, '') AS guided_by, coalesce(r.amends, '') AS amends, coalesce(r.amended_by, '') AS amended_by,
+      coalesce(r.approval_status, '') AS approval_status, coalesce(r.process_status, '') AS process_status, coalesce(r.status_date, '') AS status_date
+    FROM upserted u LEFT JOIN register r ON u._row_number = r._row_number"""
+)
 def upsert_protected(spark, folder):
     return G.upsert_protected(register(spark, folder), _payloads(spark, folder), _UPSERT_COLUMNS)
 
@@ -261,7 +271,7 @@ _SCAN = f"""base AS (SELECT doc_id AS k, n_chars AS n, {sql_number('doc_id')} AS
   scan AS (SELECT old_number, new_number, new_title, reason, CASE WHEN k % 5 = 0 THEN '' ELSE d END AS applied_date,
      CASE WHEN is_partial THEN 'Cần kiểm tra thủ công' WHEN k % 5 = 0 THEN 'Cần kiểm tra thủ công (Không rõ ngày)'
        WHEN make_date(2020 + n % 8, k % 12 + 1, k % 28 + 1) > DATE '2024-01-01' THEN 'Chưa xóa - chưa đến ngày hết hiệu lực' ELSE 'Chờ xóa tự động' END AS status, is_partial
-   FROM cited WHERE lower(old_number) <> lower(new_number) AND length(string_split(old_number, '/')[1]) <= 4
+   FROM cited WHERE lower(old_number) <> lower(new_number)
    UNION ALL SELECT '', new_number, new_title, 'Lỗi tải link', '', 'Thất bại - Cần check tay', false FROM base WHERE n % 50 = 0)"""
 
 

@@ -130,7 +130,7 @@ PAGES = f"WITH {SQL_REGISTER}, {SQL_LINKS}, {SQL_PAGE_EDGES}"
     FROM cells GROUP BY doc"""
 )
 def relation_columns(spark, folder):
-    return X.relation_columns(page_edges(spark, folder), ["doc"]).drop("part", "has_relations")
+    return X.relation_columns(page_edges(spark, folder), ["doc"]).drop("has_relations")
 
 
 @query(
@@ -158,17 +158,17 @@ def _match_columns_sql(value: str, glue: str) -> str:
 
 @query(_match_columns_sql("number", "string_agg(v, ', ' ORDER BY o)"))
 def match_columns(spark, folder):
-    return X.match_columns(_page_matches(spark, folder), ["doc"]).drop("part")
+    return X.match_columns(_page_matches(spark, folder), ["doc"])
 
 
 @query(_match_columns_sql("id", "string_agg(v, e'\\n' ORDER BY o)"))
 def match_columns_ids(spark, folder):
-    return X.match_columns(_page_matches(spark, folder), ["doc"], mode="id", strategy="multi_line").drop("part")
+    return X.match_columns(_page_matches(spark, folder), ["doc"], mode="id", strategy="multi_line")
 
 
 @query(_match_columns_sql("number", "arg_min(v, o)"))
 def match_columns_first(spark, folder):
-    return X.match_columns(_page_matches(spark, folder), ["doc"], strategy="first_only").drop("part")
+    return X.match_columns(_page_matches(spark, folder), ["doc"], strategy="first_only")
 
 
 @query(

@@ -6,27 +6,40 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+VERSIONS = "version long, stream string, batch long"
+
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
     """Newest committed version, None before the first."""
     try:
         return spark.read.schema("version long").parquet(f"{root}/versions").agg(F.max("version")).first()[0]
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def is_committed(spark: SparkSession, root: str, stream: str, batch: int) -> bool:
+    """Whether a batch of a stream already made a version."""
+    if latest_version(spark, root) is None:
+        return False
+    rows = spark.read.schema(VERSIONS).parquet(f"{root}/versions")
+    return not rows.filter((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
 
 
-def write_snapshot(df: DataFrame, root: str, version: int) -> None:
+def write_snapshot(df: DataFrame, root: str, version: int, stream: str | None = None, batch: int | None = None) -> None:
     """Write one version; a version that was committed before is left as it is.
 
     A job that dies between the two writes leaves no version row, so its files are
-    overwritten by the next attempt.
+    overwritten by the next attempt. ``stream`` and ``batch`` say which batch made it.
     """
     spark = df.sparkSession
     known = latest_version(spark, root)
     if known is not None and known >= version:
         return
     df.write.mode("overwrite").parquet(f"{root}/v{version}")
-    spark.range(1).select(F.lit(version).cast("long").alias("version")).write.mode("append").parquet(f"{root}/versions")
+    row = spark.createDataFrame([(version, stream, batch)], VERSIONS)
+    row.coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:

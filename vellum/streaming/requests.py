@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellum import labels as L
 from vellum.operators.skew import lookup_join
 
 TTL_SECONDS, FUTURE_SKEW_SECONDS, MAX_BODY_BYTES = 300, 30, 1_000_000
@@ -78,7 +79,8 @@ def audit_stream(stream: DataFrame, ttl: int = TTL_SECONDS, skew: int = FUTURE_S
     return replay_filter(stream.filter(static_code(ttl, skew, max_bytes) == ""), ttl)
 
 
-def daily_once(stream: DataFrame, time: str = "event_ts") -> DataFrame:
-    """At most one alert per task and day on a stream."""
-    day = stream.withColumn("sent_date", F.to_date(time)).withWatermark(time, "1 day")
+def daily_once(stream: DataFrame, time: str = "event_ts", zone: str = L.LOCAL_ZONE) -> DataFrame:
+    """At most one alert per task and local day on a stream, whatever the session's time zone."""
+    local = F.convert_timezone(None, F.lit(zone), F.col(time).cast("timestamp_ntz"))
+    day = stream.withColumn("sent_date", local.cast("date")).withWatermark(time, "1 day")
     return day.dropDuplicatesWithinWatermark(["task_id", "sent_date"])

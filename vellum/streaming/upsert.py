@@ -10,36 +10,48 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vellum.operators.documents import write_gate_code
-from vellum.operators.register import upsert_protected
+from vellum.operators.register import rejected_payloads, upsert_protected
 from vellum.operators.sequences import MAX_ATTEMPTS, MIN_ATTEMPT, STABLE_READS
-from vellum.sources.snapshots import latest_version, read_snapshot, write_snapshot
+from vellum.sources.snapshots import is_committed, latest_version, read_snapshot, write_snapshot
 
 
-def upsert_batch(root: str, columns: list[str], prepare: Callable[[DataFrame, DataFrame], DataFrame] | None = None):
+def upsert_batch(
+    root: str,
+    columns: list[str],
+    prepare: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    stream: str = "",
+    rejected: Callable[[DataFrame, int], None] | None = None,
+):
     """``foreachBatch`` function: gated payloads of a micro-batch make the next version.
 
     ``prepare(payloads, register)`` may match references and fill relation columns first.
-    A batch that was committed before is skipped, so a retried batch changes nothing.
-    Version 0 is the register the stream starts from.
+    A batch of ``stream`` that was committed before is skipped, so a retried batch changes
+    nothing, while a stream with another checkpoint goes on from the newest version.
+    ``rejected(payloads, batch_id)`` gets the payloads that the gate or a missing number
+    keeps out, with their ``code``. Version 0 is the register the stream starts from.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
-        if (latest_version(spark, root) or 0) >= version:
+        if is_committed(spark, root, stream, batch_id):
             return
+        version = latest_version(spark, root) + 1
         register = read_snapshot(spark, root)
         payloads = prepare(batch, register) if prepare else batch
-        passed = payloads.filter(write_gate_code() == "")
-        write_snapshot(upsert_protected(register, passed, columns).drop("action"), root, version)
+        coded = payloads.withColumn("code", write_gate_code())
+        passed = coded.filter("code = ''").drop("code")
+        if rejected:
+            gated = coded.filter("code <> ''").withColumn("action", F.lit("rejected"))
+            rejected(gated.unionByName(rejected_payloads(passed), allowMissingColumns=True), batch_id)
+        write_snapshot(upsert_protected(register, passed, columns).drop("action"), root, version, stream, batch_id)
 
     return run
 
 
-def stream_upsert(stream: DataFrame, root: str, columns: list[str], checkpoint: str, prepare=None):
+def stream_upsert(stream: DataFrame, root: str, columns: list[str], checkpoint: str, prepare=None, rejected=None):
     """Start the upsert of a payload stream (rows need ``ord``); processes what is there."""
     return (
-        stream.writeStream.foreachBatch(upsert_batch(root, columns, prepare))
+        stream.writeStream.foreachBatch(upsert_batch(root, columns, prepare, checkpoint, rejected))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -47,7 +59,13 @@ def stream_upsert(stream: DataFrame, root: str, columns: list[str], checkpoint:
 
 
 class _Convergence(StatefulProcessor):
-    """Per page: items seen, reads so far, length of the unchanged streak."""
+    """Per page: items seen, reads so far, length of the unchanged streak.
+
+    Numbers that were skipped count as unchanged reads; a read that arrives in pieces counts once.
+    """
+
+    def __init__(self, max_attempts: int):
+        self.max_attempts = max_attempts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.items = handle.getMapState("items", "item string", "seen boolean")
@@ -60,15 +78,22 @@ class _Convergence(StatefulProcessor):
             for number, item in zip(frame["attempt"], frame["item"]):
                 by_attempt.setdefault(int(number), set()).add(item)
         for number in sorted(by_attempt):
-            if done or number > MAX_ATTEMPTS:
+            if done or number > self.max_attempts:
                 break
-            fresh = [i for i in by_attempt[number] if not self.items.containsKey((i,))]
-            for item in fresh:
-                self.items.updateValue((item,), (True,))
-            stable = stable + 1 if not fresh and attempt > 0 else 0
-            attempt, merged = number, merged + len(fresh)
-            if stable >= STABLE_READS and attempt >= MIN_ATTEMPT:
-                done = True
+            while attempt + 1 < number and not done:
+                attempt, stable = attempt + 1, stable + 1
+                done = stable >= STABLE_READS and attempt >= MIN_ATTEMPT
+            if not done:
+                fresh = [i for i in by_attempt[number] if not self.items.containsKey((i,))]
+                for item in fresh:
+                    self.items.updateValue((item,), (True,))
+                if fresh:
+                    stable = 0
+                elif number > attempt:
+                    stable += 1
+                attempt, merged = max(attempt, number), merged + len(fresh)
+                done = stable >= STABLE_READS and attempt >= MIN_ATTEMPT
+            if done:
                 yield pd.DataFrame({"page": [key[0]], "stop_attempt": [attempt], "merged_count": [merged]})
         self.reads.update((attempt, merged, stable, done))
 
@@ -76,15 +101,15 @@ class _Convergence(StatefulProcessor):
         pass
 
 
-def convergence_stream(stream: DataFrame) -> DataFrame:
+def convergence_stream(stream: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """Stream of pages that have converged; input rows ``(page, attempt, item)``.
 
-    A page is read at most eight times, so the reads of one page in a micro-batch are few.
+    A page is read at most ``max_attempts`` times, so the reads of one page in a micro-batch are few.
     Needs the RocksDB state store.
     """
     rows = stream.select(F.col("page").cast("long"), F.col("attempt").cast("int"), F.col("item").cast("string"))
     return rows.groupBy("page").transformWithStateInPandas(
-        statefulProcessor=_Convergence(),
+        statefulProcessor=_Convergence(max_attempts),
         outputStructType="page long, stop_attempt int, merged_count long",
         outputMode="Append",
         timeMode="None",
