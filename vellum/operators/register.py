@@ -73,6 +73,14 @@ def status_view(register: DataFrame, view: str) -> DataFrame:
     return register.filter(view_status() == view)
 
 
+def status_views(register: DataFrame) -> DataFrame:
+    """All views from one scan: each row once per view it is in, with ``view_name``."""
+    own = F.when(view_status() != "irrelevant", view_status())
+    irrelevant = F.when(clean_text("approval_status") == L.IRRELEVANT, F.lit("irrelevant"))
+    names = F.array_compact(F.array(own, irrelevant, F.lit("all")))
+    return register.withColumn("view_name", F.explode(names))
+
+
 def register_counts(register: DataFrame) -> DataFrame:
     status = view_status()
     return register.agg(
@@ -135,7 +143,7 @@ def is_rejected() -> Column:
 
 def rejected_payloads(payloads: DataFrame) -> DataFrame:
     """Payloads that no upsert takes, each with its ``action`` and code."""
-    return payloads.filter(is_rejected()).withColumns({"action": F.lit("rejected"), "code": F.lit("MISSING_NUMBER")})
+    return payloads.filter(is_rejected()).withColumns({"action": F.lit("rejected"), "code": F.lit("MISSING_SO_HIEU")})
 
 
 def resolve_payloads(payloads: DataFrame, register: DataFrame) -> DataFrame:
@@ -283,27 +291,25 @@ def _entries(c: str) -> Column:
     return F.filter(F.transform(raw, clean_text), lambda v: v != "")
 
 
-def mark_expired_log(log: DataFrame, due: DataFrame, at: Column, dry_run: bool) -> DataFrame:
-    """Log rows of due numbers get their end status and time."""
-    numbers = due.select(clean_text("old_number").alias("_no"), F.lit(True).alias("_due")).distinct()
+def mark_expired_log(log: DataFrame, at: Column, dry_run: bool) -> DataFrame:
+    """Log rows that are due get their end status and time; ``is_due`` is in the row already."""
     waiting = clean_text("status").isin(L.EXPIRY_WAITING, L.EXPIRY_FUTURE)
-    joined = lookup_join(log.withColumn("_no", clean_text("old_number")), numbers, ["_no"], ["log_id"])
-    done = F.col("_due").isNotNull() & waiting & F.col("is_due")
+    done = waiting & F.col("is_due") & (clean_text("old_number") != "")
     status = F.lit(L.EXPIRY_SIMULATED if dry_run else L.EXPIRY_DELETED)
-    return joined.withColumns(
+    return log.withColumns(
         {
             "status": F.when(done, status).otherwise(F.col("status")),
             "deleted_at": F.when(done, at).otherwise(F.col("deleted_at")),
         }
-    ).drop("_no", "_due")
+    )
 
 
 def retire_expired(register: DataFrame, log: DataFrame, as_of: Column, at: Column, dry_run: bool = True) -> tuple[DataFrame, DataFrame]:
     """New register and new log after the daily run; a dry run leaves the register as it is."""
     from vellum.operators.expiry import expiry_due, with_due
 
-    due = expiry_due(log, as_of)
-    new_log = mark_expired_log(with_due(log, as_of), due, at, dry_run).drop("is_due")
+    new_log = mark_expired_log(with_due(log, as_of), at, dry_run).drop("is_due")
     if dry_run:
         return register, new_log
+    due = expiry_due(log, as_of)
     return expired_cascade(register, due.select(F.col("old_number").alias("number"))), new_log

@@ -214,8 +214,31 @@ def missing_delta(current: DataFrame, previous: DataFrame) -> DataFrame:
     return now.join(then, "key", "full_outer").select("key", F.coalesce("_n1", "_n0").alias("number"), state.alias("state"))
 
 
-def delta_summary(delta: DataFrame) -> DataFrame:
-    counted = delta.agg(
+def missing_deltas(missing: DataFrame, runs: DataFrame, run: str) -> DataFrame:
+    """``missing_delta`` of every run against the run of the day before, in one pass.
+
+    Each key is sent to its own run and to the next day's; runs that did not take place are left out.
+    """
+    sent = missing.select(
+        "key",
+        "number",
+        F.inline(
+            F.array(
+                F.struct(F.col(run), F.lit(True).alias("_now"), F.lit(False).alias("_then")),
+                F.struct(F.date_add(run, 1).alias(run), F.lit(False).alias("_now"), F.lit(True).alias("_then")),
+            )
+        ),
+    )
+    both = sent.groupBy(run, "key").agg(
+        F.max(F.when(F.col("_now"), F.col("number"))).alias("_n1"), F.max("number").alias("_n0"), F.bool_or("_now").alias("_now"), F.bool_or("_then").alias("_then")
+    )
+    state = F.when(~F.col("_then"), "new").when(~F.col("_now"), "resolved").otherwise("persistent")
+    placed = both.join(runs.select(run).distinct(), run, "left_semi")
+    return placed.select(run, "key", F.coalesce("_n1", "_n0").alias("number"), state.alias("state"))
+
+
+def delta_summary(delta: DataFrame, by: list[str] | None = None) -> DataFrame:
+    counted = delta.groupBy(*(by or [])).agg(
         F.count_if(F.col("state") != "resolved").alias("current_missing"),
         F.count_if(F.col("state") != "new").alias("previous_missing"),
         F.count_if(F.col("state") == "new").alias("new_missing"),

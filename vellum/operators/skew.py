@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_KEYS = 4096
+HOT_KEYS, TRACKED = 4096, 16_384
 ROWS_PER_PIECE = 1_000_000
 CHUNK_ROWS = 100_000
 
@@ -24,19 +24,24 @@ def first_n_by(df: DataFrame, keys: list[str], order: list, n: int, rank: str |
 
 
 def key_counts(facts: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per key, combined on the map side.  Used for the heavy keys and, where the
-    table side is derived from the keys themselves, for that too: Spark runs it once."""
+    """Rows per key, combined on the map side."""
     return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def _key_hash(keys: list[str]) -> Column:
+    """One hash for a key on both sides, also where a number is INT on one and LONG on the other."""
+    return F.xxhash64(*[F.col(k).cast("string") for k in keys])
+
+
 def heavy_keys(facts: DataFrame, keys: list[str], rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
-    """At most ``HOT_KEYS`` keys with more rows than one piece, and their number of pieces.
+    """Hashes ``_hot`` of at most ``HOT_KEYS`` keys with more rows than one piece, and their pieces.
 
-    Any key outside the list holds under ``1 / HOT_KEYS`` of the rows or under one piece.
+    A frequent-items sketch of bounded size finds them in one pass over the key columns, without a
+    shuffle by key.  It names every key with more than about ``4 / TRACKED`` of the rows.
     """
-    counts = key_counts(facts, keys).filter(F.col("_n") > rows_per_piece)
-    top = counts.orderBy(F.desc("_n")).limit(HOT_KEYS)
-    return top.select(*keys, F.ceil(F.col("_n") / rows_per_piece).cast("int").alias("_pieces"))
+    top = facts.select(_key_hash(keys).alias("_hot")).agg(F.expr(f"approx_top_k(_hot, {HOT_KEYS}, {TRACKED})").alias("_top"))
+    rows = top.select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias("_hot"), F.col("_t.count").alias("_n"))
+    return rows.filter(F.col("_n") > rows_per_piece).select("_hot", F.ceil(F.col("_n") / rows_per_piece).cast("int").alias("_pieces"))
 
 
 def lookup_join(
@@ -56,9 +61,10 @@ def lookup_join(
     """
     hot = F.broadcast(heavy_keys(facts, keys, rows_per_piece))
     piece = F.pmod(F.xxhash64(*spread), F.col("_pieces")).cast("int")
-    split = facts.join(hot, keys, "left").withColumn("_piece", F.coalesce(piece, F.lit(0))).drop("_pieces")
+    hashed = facts.withColumn("_hot", _key_hash(keys)).join(hot, "_hot", "left")
+    split = hashed.withColumn("_piece", F.coalesce(piece, F.lit(0))).drop("_pieces", "_hot")
     pieces = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
-    spread_dim = dim.join(hot, keys, "left").withColumn("_piece", pieces).drop("_pieces")
+    spread_dim = dim.withColumn("_hot", _key_hash(keys)).join(hot, "_hot", "left").withColumn("_piece", pieces).drop("_pieces", "_hot")
     return split.join(spread_dim, [*keys, "_piece"], how).drop("_piece")
 
 

@@ -251,7 +251,7 @@ def page_links(spark, folder):
 
 
 _SCRIPTLESS = "regexp_replace(html, '(?is)<(script|style)\\b.*?</(?:script|style)>', ' ', 'g')"
-_UNESCAPED = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+_UNESCAPED = "replace(replace(replace(replace(replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
 _TEXT = "trim(regexp_replace(" + _UNESCAPED.format(f"regexp_replace({_SCRIPTLESS}, '<[^>]*>?', ' ', 'g')") + ", '[\\s\\x{00A0}]+', ' ', 'g'))"
 
 

@@ -48,9 +48,7 @@ def register_counts(spark, folder):
       UNION ALL SELECT 'irrelevant', _row_number FROM register WHERE approval_status = 'Không liên quan' UNION ALL SELECT 'all', _row_number FROM register"""
 )
 def status_views(spark, folder):
-    reg = register(spark, folder)
-    frames = [G.status_view(reg, v).select(F.lit(v).alias("view_name"), "_row_number") for v in ["pending", "transferred", "irrelevant", "all"]]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+    return G.status_views(register(spark, folder)).select("view_name", "_row_number")
 
 
 def _staging(spark, folder):
@@ -196,19 +194,22 @@ def project_schema(spark, folder):
 
 
 @query(
-    """SELECT event_id, event_type AS stage, 'N' || user_id AS number, CASE WHEN length(j) > 60 THEN substr(j, 1, 60) || e'\\n...<trimmed_to_prevent_error>' ELSE j END AS data_json FROM (
-      SELECT event_id, event_type, user_id, '{"user":"u' || user_id || '","token":"[REDACTED]","nested":{"Password":"[REDACTED]","k":' || regexp_extract(props, '[0-9]+') || '},"type":"' || event_type || '"}' AS j FROM events)"""
+    """SELECT event_id, event_type AS stage, 'N' || user_id AS number, CASE WHEN length(j) > 160 THEN substr(j, 1, 160) || e'\\n...<trimmed_to_prevent_error>' ELSE j END AS data_json FROM (
+      SELECT event_id, event_type, user_id, '{"user":"u' || user_id || '","token":"[REDACTED]","cookies":"[REDACTED]","nested":{"Password":"[REDACTED]","k":' || regexp_extract(props, '[0-9]+') || ',"session":"[REDACTED]"},"type":"' || event_type || '"}' AS j FROM events)"""
 )
 def event_log(spark, folder):
     user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     data = F.to_json(F.struct(
-        user.alias("user"), F.concat(F.lit('s"'), user).alias("token"),
-        F.struct(F.lit(17).alias("Password"), F.get_json_object("props", "$.k").cast("int").alias("k")).alias("nested"), F.col("event_type").alias("type"),
+        user.alias("user"), F.concat(F.lit('s"'), user).alias("token"), F.array(user, F.lit("]")).alias("cookies"),
+        F.struct(
+            F.lit(17).alias("Password"), F.get_json_object("props", "$.k").cast("int").alias("k"), F.struct(F.array(F.struct(user.alias("id")))).alias("session")
+        ).alias("nested"),
+        F.col("event_type").alias("type"),
     ))
     rows = table(spark, folder, "events").select(
         "event_id", "event_type", data.alias("data"), F.concat(F.lit("N"), F.col("user_id").cast("string")).alias("number"), F.lit("").alias("title"), F.lit("").alias("doc_type")
     )
-    return event_log_rows(rows.withColumn("stage", F.col("event_type")), F.col("stage"), F.col("data"), 60, keep=["event_id"]).select(
+    return event_log_rows(rows.withColumn("stage", F.col("event_type")), F.col("stage"), F.col("data"), 160, keep=["event_id"]).select(
         "event_id", "stage", "number", "data_json"
     )
 

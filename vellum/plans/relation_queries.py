@@ -310,35 +310,35 @@ def number_keys(spark, folder):
 
 
 # --- runs over time -----------------------------------------------------------------------------
-def _run_keys(spark, folder, part: str):
-    """Users seen in a week of events as the missing keys of a run."""
-    rows = table(spark, folder, "events").filter(part)
-    return rows.groupBy(F.col("user_id").cast("string").alias("key")).agg(F.min(F.concat(F.lit("U"), F.col("user_id").cast("string"))).alias("number"))
+def _runs(spark, folder):
+    """Users of each day of events as the missing keys of that day's run."""
+    user = F.col("user_id").cast("string")
+    return table(spark, folder, "events").select(F.col("ts").cast("date").alias("run"), user.alias("key"), F.concat(F.lit("U"), user).alias("number")).distinct()
 
 
-_FIRST, _SECOND = "ts < TIMESTAMP_NTZ '2024-01-03 00:00:00'", "ts >= TIMESTAMP_NTZ '2024-01-28 00:00:00'"
-_DELTA = """before_ AS (SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-03'), now_ AS (SELECT DISTINCT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-28'),
-delta AS (SELECT coalesce(n.user_id, b.user_id)::VARCHAR AS key, CASE WHEN b.user_id IS NULL THEN 'new' WHEN n.user_id IS NULL THEN 'resolved' ELSE 'persistent' END AS state
-  FROM now_ n FULL JOIN before_ b ON n.user_id = b.user_id)"""
+def _delta(spark, folder):
+    runs = _runs(spark, folder)
+    return X.missing_deltas(runs, runs.select("run").distinct(), "run")
 
 
-def _delta(spark, folder):
-    return X.missing_delta(_run_keys(spark, folder, _SECOND), _run_keys(spark, folder, _FIRST))
+_DELTA = """days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events),
+  delta AS (SELECT d, user_id, CASE WHEN bool_or(c) AND bool_or(p) THEN 'persistent' WHEN bool_or(c) THEN 'new' ELSE 'resolved' END AS state FROM (
+    SELECT user_id, d, true AS c, false AS p FROM days UNION ALL SELECT user_id, d + 1, false, true FROM days) WHERE d IN (SELECT d FROM days) GROUP BY d, user_id)"""
 
 
-@query(f"""WITH {_DELTA} SELECT key, 'U' || key AS number, state FROM delta""")
+@query(f"""WITH {_DELTA} SELECT d AS run, user_id::VARCHAR AS key, 'U' || user_id AS number, state FROM delta""")
 def missing_delta(spark, folder):
     return _delta(spark, folder)
 
 
 @query(
-    f"""WITH {_DELTA} SELECT count(*) FILTER (WHERE state <> 'resolved') AS current_missing, count(*) FILTER (WHERE state <> 'new') AS previous_missing,
+    f"""WITH {_DELTA} SELECT d AS run, count(*) FILTER (WHERE state <> 'resolved') AS current_missing, count(*) FILTER (WHERE state <> 'new') AS previous_missing,
       count(*) FILTER (WHERE state = 'new') AS new_missing, count(*) FILTER (WHERE state = 'resolved') AS resolved_missing,
       count(*) FILTER (WHERE state = 'persistent') AS persistent_missing,
-      count(*) FILTER (WHERE state <> 'resolved') - count(*) FILTER (WHERE state <> 'new') AS net_delta FROM delta"""
+      count(*) FILTER (WHERE state <> 'resolved') - count(*) FILTER (WHERE state <> 'new') AS net_delta FROM delta GROUP BY d"""
 )
 def missing_delta_summary(spark, folder):
-    return X.delta_summary(_delta(spark, folder))
+    return X.delta_summary(_delta(spark, folder), ["run"])
 
 
 @query(
@@ -350,21 +350,12 @@ def missing_delta_summary(spark, folder):
     WHERE d IN (SELECT d FROM days) GROUP BY d"""
 )
 def run_history(spark, folder):
-    """One history row per day: each key is sent to its own and the next day, then counted."""
-    days = table(spark, folder, "events").select("user_id", F.col("ts").cast("date").alias("d")).distinct()
-    both = days.select(
-        "user_id",
-        F.inline(F.array(
-            F.struct(F.col("d"), F.lit(True).alias("c"), F.lit(False).alias("p")),
-            F.struct(F.date_add("d", 1).alias("d"), F.lit(False).alias("c"), F.lit(True).alias("p")),
-        )),
-    )
-    states = both.groupBy("user_id", "d").agg(F.bool_or("c").alias("c"), F.bool_or("p").alias("p"))
-    counts = states.groupBy("d").agg(
-        F.count_if("c").alias("missing"), F.count_if(F.col("c") & ~F.col("p")).alias("new"), F.count_if(F.col("p") & ~F.col("c")).alias("resolved"),
-        F.count_if(F.col("c") & F.col("p")).alias("persistent"), (F.count_if("c") - F.count_if("p")).alias("net"),
+    """One history row per day, against the day before."""
+    counts = X.delta_summary(_delta(spark, folder), ["run"]).filter("current_missing > 0")
+    return counts.select(
+        F.date_format("run", "yyyy-MM-dd").alias("run_ts"), F.col("current_missing").alias("missing"), F.col("new_missing").alias("new"),
+        F.col("resolved_missing").alias("resolved"), F.col("persistent_missing").alias("persistent"), F.col("net_delta").alias("net"),
     )
-    return counts.filter("missing > 0").withColumn("run_ts", F.date_format("d", "yyyy-MM-dd")).drop("d")
 
 
 @query(
