@@ -510,6 +510,24 @@ def document_fields(spark, folder):
     return D.document_fields(rows, "lines").select("_row_number", "info.*")
 
 
+@query(
+    f"""SELECT page_id, CASE WHEN page_id < 10000 THEN {sql_number('page_id')} ELSE '' END AS number, 'Thông tư ' || {sql_number('page_id')} || ' về trang & số ' || page_id AS title,
+      'Thông tư' AS doc_type, 'Bộ ' || (page_id % 7) AS issuer, lpad((page_id % 28 + 1)::VARCHAR, 2, '0') || '/05/2021' AS issued,
+      lpad((page_id % 28 + 1)::VARCHAR, 2, '0') || '/06/2021' AS effective_date, 'Thuế' AS field, 'Còn hiệu lực' AS validity FROM pages"""
+)
+def page_document_fields(spark, folder):
+    """Fields read from whole pages, each closed by a block of its own values, with entities in it."""
+    number, text = number_of(F.col("page_id")), F.col("page_id").cast("string")
+    day = F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
+    block = F.concat(
+        F.lit("<div>S&#7889; hiệu:</div><p>"), F.when(F.col("page_id") < 10000, number).otherwise(F.lit("")),
+        F.lit("</p><p>Cơ quan ban h&agrave;nh: B&#x1ED9; "), (F.col("page_id") % 7).cast("string"), F.lit("</p><p>Ban hành: ngày "), day, F.lit("/05/2021.</p><h1>Thông tư "), number,
+        F.lit(" về trang &amp; số "), text, F.lit("</h1><p>Lĩnh vực: Thuế<br/>Ngày áp dụng: "), day, F.lit("/06/2021</p><p>Hiệu lực: Còn hiệu lực</p>"),
+    )
+    pages = table(spark, folder, "pages").select("page_id", H.html_lines(F.concat("html", block)).alias("lines"))
+    return D.document_fields(pages, "lines").select("page_id", "info.*")
+
+
 def _payloads(spark, folder):
     lined = D.document_fields(register(spark, folder).withColumn("lines", _page_lines()), "lines")
     rows = lined.withColumns({"doc_number": F.lower("number"), "mapped_field": F.col("field"), "_t": F.col("title")})
