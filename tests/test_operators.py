@@ -69,6 +69,15 @@ def test_one_cell_per_document_whatever_the_order_numbers(spark):
     assert {r["value"] for r in relations.match_columns(matched, ["doc"]).collect()} == {"0/2020/TT-A, 2/2020/TT-A"}
 
 
+def test_positions_of_sparse_and_negative_order_numbers(spark):
+    numbers = [-(2**62), -7, 0, 3, 99_999, 100_000, 10**10, 10**15 + 1, 2**62]
+    df = spark.createDataFrame([(n, "g" if n % 2 else None) for n in numbers], "ord long, g string")
+    assert [p for _, p in rows(skew.position(df, [], "ord", "p"), "ord", "p")] == list(range(1, 10))
+    odd, even = [n for n in numbers if n % 2], [n for n in numbers if not n % 2]
+    got = {r["ord"]: r["p"] for r in skew.position(df, ["g"], "ord", "p").collect()}
+    assert got == {n: i + 1 for part in (odd, even) for i, n in enumerate(part)}
+
+
 # --- dedup --------------------------------------------------------------------------------
 def test_dedup(spark):
     df = spark.createDataFrame([("k", "aa", 2), ("k", "bb", 1), ("k", "c", 0), ("j", None, 5)], "k string, t string, ord int")

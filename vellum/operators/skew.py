@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS, TRACKED = 4096, 16_384
 ROWS_PER_PIECE = 1_000_000
-CHUNK_ROWS = 100_000
+CHUNK_ROWS, FAN = 100_000, 10_000_000
 
 
 def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -78,6 +78,34 @@ def _chunked(df: DataFrame, order: str, chunk_rows: int) -> DataFrame:
     return df.withColumn("_chunk", F.expr(f"`{order}` div {int(chunk_rows)}L"))
 
 
+def _same(keys: list[tuple[str, str]]) -> Column:
+    match = F.lit(True)
+    for left, right in keys:
+        match = match & F.col(left).eqNullSafe(F.col(right))
+    return match
+
+
+def _sums_before(totals: DataFrame, group: list[str], width: int) -> DataFrame:
+    """``_before``: the sum of ``_t`` over smaller chunks ``_c`` of a group.
+
+    ``width`` is the order range of a chunk.  Chunks are summed inside chunks of ``FAN`` chunks, and so
+    on upwards, until the whole range of LONG has at most about ``2 * FAN`` chunks: no window ever
+    holds more rows than that, however sparse the order column is.
+    """
+    inside = lambda *keys: Window.partitionBy(*(keys or (F.lit(0),))).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    if width * FAN > 2**63 - 1:
+        return totals.withColumn("_before", F.coalesce(F.sum("_t").over(inside(*group)), F.lit(0)))
+    nested = totals.withColumn("_up", F.expr(f"_c div {FAN}L"))
+    summed = nested.withColumn("_inside", F.coalesce(F.sum("_t").over(inside(*group, "_up")), F.lit(0)))
+    parents = nested.groupBy(*group, F.col("_up").alias("_c")).agg(F.sum("_t").alias("_t"))
+    above = _sums_before(parents, group, width * FAN).select(
+        *[F.col(g).alias(f"_u{i}") for i, g in enumerate(group)], F.col("_c").alias("_uc"), F.col("_before").alias("_above")
+    )
+    match = (F.col("_up") == F.col("_uc")) & _same([(g, f"_u{i}") for i, g in enumerate(group)])
+    joined = summed.join(above, match).withColumn("_before", F.col("_inside") + F.col("_above"))
+    return joined.select(*group, "_c", "_t", "_before")
+
+
 def running_sum(
     df: DataFrame, group: list[str], order: str, value, out: str, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
@@ -87,16 +115,11 @@ def running_sum(
     and every row adds the total of the chunks before its own.
     """
     rows = _chunked(df, order, chunk_rows).withColumn("_v", F.coalesce(value, F.lit(0)).cast("long"))
-    totals = rows.groupBy(*group, "_chunk").agg(F.sum("_v").alias("_t"))
-    before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
-        F.col("_chunk").alias("_c"),
-        F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"),
+    totals = rows.groupBy(*group, F.col("_chunk").alias("_c")).agg(F.sum("_v").alias("_t"))
+    offsets = _sums_before(totals, group, chunk_rows).select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_c", "_before"
     )
-    match = F.col("_chunk") == F.col("_c")
-    for i, g in enumerate(group):
-        match = match & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    match = (F.col("_chunk") == F.col("_c")) & _same([(g, f"_g{i}") for i, g in enumerate(group)])
     inside = Window.partitionBy(*group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     summed = rows.withColumn("_s", F.sum("_v").over(inside))
     joined = summed.join(offsets, match, "left").withColumn(out, F.col("_s") + F.col("_before"))
