@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vellum import labels as L
 from vellum.functions.text import (
     canonical_heading, clean_text, is_heading, is_noise, is_relation_item, match_key, normalize_text,
-    percent, primary_number, tracking_key, unique_list,
+    percent, primary_number, relation_status, split_values, tracking_key, unique_list,
 )
 from vellum.operators.dedup import register_index
 from vellum.operators.skew import first_by, first_n_by, key_counts, lookup_join
@@ -330,6 +330,44 @@ def note_items(edges: DataFrame, doc: list[str]) -> DataFrame:
     return rows.groupBy(*doc, line.alias("note_line")).agg(F.min("ord").alias("ord"))
 
 
+def apply_match(
+    payloads: DataFrame, edges: DataFrame, register: DataFrame, doc: list[str], mode: str = "number", strategy: str = "multi_select"
+) -> DataFrame:
+    """Payloads with what the register match says: official columns, numbers not in the register,
+    note lines after the old note, settled status.
+
+    One match of the edges feeds all cells. Lists follow the order of the headings, then ``ord``.
+    A document's references come from its page, so its cells are bounded by it.
+    """
+    matched = match_references(edges, register, [*doc, "ord"])
+    place = F.array_position(F.array(*[F.lit(h) for h in L.TRACKED_HEADINGS]), F.col("heading"))
+    first = F.min(F.struct(place.alias("place"), "ord")).alias("first")
+
+    def listed(rows: DataFrame, value: Column, glue: str, out: str) -> DataFrame:
+        distinct = rows.groupBy(*doc, value.alias("value")).agg(first)
+        in_order = F.array_sort(F.collect_list(F.struct("first", "value")))
+        return distinct.groupBy(*doc).agg(F.array_join(F.transform(in_order, lambda e: e["value"]), glue).alias(out))
+
+    tracked = matched.filter(F.col("heading").isin(L.TRACKED_HEADINGS) & (clean_text("ref_number") != ""))
+    missing = listed(tracked.filter(~F.col("is_matched") & (match_key("ref_number") != "")), clean_text("ref_number"), ", ", "_missing")
+    only = tracked.filter(~F.col("heading").isin(list(L.OFFICIAL_COLUMN_BY_HEADING)))
+    notes = listed(only, F.concat(F.col("heading"), F.lit(" - "), clean_text("ref_number")), "\n", "_notes")
+    official = match_columns(matched, doc, mode, strategy).groupBy(*doc).agg(
+        *[F.max(F.when(F.col("official_column") == c, F.col("value"))).alias(f"_m_{c}") for c in L.OFFICIAL_COLUMNS]
+    )
+    joined = payloads.join(official, doc, "left").join(missing, doc, "left").join(notes, doc, "left")
+    note = F.array_join(F.filter(F.array(clean_text("relation_note"), F.coalesce("_notes", F.lit(""))), lambda x: x != ""), "\n")
+    done = joined.withColumns(
+        {
+            **{c: F.coalesce(f"_m_{c}", F.lit("")) for c in L.OFFICIAL_COLUMNS},
+            "not_in_register": F.coalesce("_missing", F.lit("")),
+            "relation_note": note,
+            "relation_status": relation_status("relation_status"),
+        }
+    )
+    return done.drop("_missing", "_notes", *[f"_m_{c}" for c in L.OFFICIAL_COLUMNS])
+
+
 # --- reverse links ------------------------------------------------------------------------
 def reverse_links(edges: DataFrame, order: list[str]) -> DataFrame:
     """For each "A cites B": (B, column, A) once, with its first-seen order.
@@ -365,6 +403,23 @@ def apply_reverse_links(register: DataFrame, links: DataFrame, row: str = "_row_
     return fresh.groupBy(row, "target_column", "value").agg(F.min("first_ord").alias("first_ord"))
 
 
+def write_reverse_links(register: DataFrame, links: DataFrame, row: str = "_row_number", glue: str = ", ") -> DataFrame:
+    """The register with new links behind the old ones in ``guided_by`` and ``amends``.
+
+    Cells without a new link stay as they are. A cell is one value of the register, so its links meet
+    in its row; ``apply_reverse_links`` gives them as rows where that is not wanted.
+    """
+    columns = ["guided_by", "amends"]
+    fresh = apply_reverse_links(register.withColumns({c: split_values(c) for c in columns}), links, row)
+    in_order = lambda c: F.array_sort(F.collect_list(F.when(F.col("target_column") == c, F.struct("first_ord", "value"))))
+    new = fresh.groupBy(row).agg(*[F.transform(in_order(c), lambda e: e["value"]).alias(f"_new_{c}") for c in columns])
+    joined = register.join(new, row, "left")
+    cells = {
+        c: F.when(F.size(f"_new_{c}") > 0, F.array_join(F.concat(split_values(c), F.col(f"_new_{c}")), glue)).otherwise(F.col(c)) for c in columns
+    }
+    return joined.withColumns(cells).drop(*[f"_new_{c}" for c in columns])
+
+
 def allowed_values(values: Column, allowed: Column) -> Column:
     """Struct of the values written and the values skipped by a column's allowed list."""
     named = unique_list(F.transform(values, clean_text))

@@ -110,6 +110,21 @@ def reverse_link_rows(spark, folder):
     return fresh.select("_row_number", "target_column", "value")
 
 
+@query(
+    f"""{WITH}, placed AS (SELECT p + 2 AS _row_number, CASE heading WHEN 'Văn bản căn cứ' THEN 'guided_by' ELSE 'amends' END AS target_column, src_number AS value,
+        min((doc, l1, l2, l3, l4)) AS o FROM edges WHERE heading IN ('Văn bản căn cứ', 'Văn bản sửa đổi, bổ sung') AND p IN (SELECT p FROM register) GROUP BY 1, 2, 3),
+      old AS (SELECT _row_number, guided_by, amends, list_filter(list_transform(regexp_split_to_array(guided_by, '[\\n,;]+'), lambda x: trim(x)), lambda x: x <> '') AS g,
+        list_filter(list_transform(regexp_split_to_array(amends, '[\\n,;]+'), lambda x: trim(x)), lambda x: x <> '') AS a FROM register),
+      fresh AS (SELECT p.* FROM placed p JOIN old r USING (_row_number) WHERE NOT list_contains(CASE target_column WHEN 'guided_by' THEN g ELSE a END, value)),
+      cells AS (SELECT _row_number, list(value ORDER BY o) FILTER (WHERE target_column = 'guided_by') AS ng, list(value ORDER BY o) FILTER (WHERE target_column = 'amends') AS na FROM fresh GROUP BY 1)
+    SELECT _row_number, CASE WHEN ng IS NULL THEN guided_by ELSE array_to_string(list_concat(g, ng), ', ') END AS guided_by,
+      CASE WHEN na IS NULL THEN amends ELSE array_to_string(list_concat(a, na), ', ') END AS amends FROM old LEFT JOIN cells USING (_row_number)"""
+)
+def register_with_links(spark, folder):
+    found = X.reverse_links(edges(spark, folder), ["doc", *EDGE_ORDER])
+    return X.write_reverse_links(register(spark, folder), found).select("_row_number", "guided_by", "amends")
+
+
 # --- cells per page -------------------------------------------------------------------------
 PAGES = f"WITH {SQL_REGISTER}, {SQL_LINKS}, {SQL_PAGE_EDGES}"
 
@@ -179,6 +194,33 @@ def relation_note_items(spark, folder):
     return X.note_items(page_edges(spark, folder), ["doc"])
 
 
+_PLACE = f"list_position([{', '.join(repr(h) for h in L.TRACKED_HEADINGS)}], heading)"
+
+
+@query(
+    f"""{PAGES}, m AS (SELECT e.*, r.number AS hit FROM page_edges e LEFT JOIN register r ON e.ref_number = r.number AND r.id <> '' WHERE ref_number <> ''),
+      official AS (SELECT doc, heading, string_agg(hit, ', ' ORDER BY o) AS v FROM (SELECT doc, heading, hit, min(ord) AS o FROM m WHERE hit IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2),
+      gone AS (SELECT doc, string_agg(ref_number, ', ' ORDER BY o) AS v FROM (SELECT doc, ref_number, min(({_PLACE}, ord)) AS o FROM m
+        WHERE hit IS NULL AND {_PLACE} > 0 GROUP BY 1, 2) GROUP BY 1),
+      notes AS (SELECT doc, string_agg(line, e'\\n' ORDER BY o) AS v FROM (SELECT doc, heading || ' - ' || ref_number AS line, min(({_PLACE}, ord)) AS o FROM m
+        WHERE {_PLACE} > 0 AND heading NOT IN ({OFFICIAL}) GROUP BY 1, 2) GROUP BY 1)
+    SELECT page_id AS doc, coalesce((SELECT v FROM official o WHERE o.doc = page_id AND heading = 'Văn bản căn cứ'), '') AS basis,
+      coalesce((SELECT v FROM official o WHERE o.doc = page_id AND heading = 'Văn bản được hướng dẫn'), '') AS guided_by,
+      coalesce((SELECT v FROM official o WHERE o.doc = page_id AND heading = 'Văn bản bị sửa đổi, bổ sung'), '') AS amends,
+      coalesce((SELECT v FROM official o WHERE o.doc = page_id AND heading = 'Văn bản sửa đổi, bổ sung'), '') AS amended_by,
+      coalesce((SELECT v FROM gone g WHERE g.doc = page_id), '') AS not_in_register,
+      concat_ws(e'\\n', CASE WHEN page_id % 2 = 0 THEN 'cũ' END, (SELECT v FROM notes n WHERE n.doc = page_id)) AS relation_note,
+      CASE WHEN page_id % 3 = 0 THEN 'Cần xác nhận' ELSE 'Đã gợi ý' END AS relation_status FROM pages"""
+)
+def matched_payloads(spark, folder):
+    k = F.col("page_id")
+    payloads = table(spark, folder, "pages").select(
+        k.alias("doc"), F.when(k % 2 == 0, " cũ ").otherwise("").alias("relation_note"), F.when(k % 3 == 0, "Cần xác nhận").otherwise("khác").alias("relation_status")
+    )
+    done = X.apply_match(payloads, page_edges(spark, folder), register(spark, folder), ["doc"])
+    return done.select("doc", *L.OFFICIAL_COLUMNS, "not_in_register", "relation_note", "relation_status")
+
+
 def _item_rows(spark, folder):
     """Links as two extractions of the same edges: even and odd places, some in both."""
     base = page_edges(spark, folder).filter("item <> ''")
