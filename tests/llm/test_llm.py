@@ -182,9 +182,9 @@ def test_quality_learns(spark):
 
 
 def test_quality_held_out_on_tables(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out = quality.digest(quality.score(docs, quality.fit(docs, labels))).join(labels, "doc_id").filter("held_out").collect()
-    assert sum(r["predicted"] == r["quality"] for r in out) >= 0.95 * len(out)
+    assert sum(r["predicted"] == r["quality"] for r in out) >= 0.98 * len(out)
 
 
 # --- 5: near duplicates ---
@@ -304,7 +304,7 @@ def test_hits_equal_brute_force(spark):
 def test_clean_removes_documents_or_spans(spark):
     docs, items = clashing(spark, DOCS), spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontaminate.clean(docs, items)
-    assert kept.columns == docs.columns and kept.filter("doc_id in (1, 3)").count() == 0 and kept.count() == len(DOCS) - 2
+    assert kept.columns == docs.columns and kept.filter("doc_id in (1, 3) and text is not null").count() == 0 and kept.count() == len(DOCS) - 2
     cut = decontaminate.clean(docs, items, remove="spans")
     assert cut.count() == len(DOCS)
     assert cut.filter("doc_id = 1").filter(F.length("text") < 20).count() >= 1
@@ -417,10 +417,17 @@ def test_lm_probabilities_sum_to_one():
     count = rng.integers(0, 9, len(word))
     word, context, count = word[count > 0], context[count > 0], count[count > 0]
     alone = rng.integers(0, 3, 30)
-    totals = lm.Totals(np.bincount(context, count), np.bincount(context), count.sum() + alone.sum(), 30, 30)
-    done = lm.sweeps(word, context, count, alone, totals, 0, 6)
+    known = int(((np.bincount(word, count, 30) + alone) > 0).sum())
+    start = lm.Totals(np.bincount(context, count), np.bincount(context), len(word) + alone.sum(), known, 30)
+    first = lm.sweeps(word, context, count, alone, start, 0, 1)
+    later = lm.Totals(np.bincount(context, count), np.bincount(context, first["tables"]), first["customers"].sum(), first["root_tables"].sum(), 30)
+    done = lm.sweeps(word, context, count, alone, start, 0, 6, later)
     assert (done["tables"] <= count).all() and (done["tables"] >= 1).all()
-    assert 0.8 < done["word_p"].sum() <= 1.05
+    # What is left of one is the share of unknown words.
+    assert abs(done["word_p"].sum() + done["word_p"].min() - 1) < 0.1
+    for c in range(3):
+        seen = done["pair_p"][context == c].sum()
+        assert 0.5 < seen <= 1
 
 
 # --- 10: shards ---

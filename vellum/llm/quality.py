@@ -86,7 +86,7 @@ def features(sizes: np.ndarray) -> np.ndarray:
     n = np.maximum(n, 1)
     gain = 10 * (bad - good) / n
     ratio = 5 * np.minimum(bad, good) / n
-    length = (np.log(n) - 7) / 2
+    length = (np.log(np.maximum(n, 16)) - 7) / 2  # below 16 bytes the curve would only be drawn out
     one = np.ones_like(n)
     return np.stack([one, gain, ratio, length, gain * length, ratio * length, gain**2, ratio**2, length**2], axis=1)
 
@@ -95,13 +95,28 @@ def curve(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
-    """Logistic regression by Newton steps."""
+def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 60) -> np.ndarray:
+    """Ridge logistic regression by Newton steps, each halved until the loss falls."""
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0, z).sum() - y @ z + ridge / 2 * w @ w)
+
     weights = np.zeros(x.shape[1])
+    now = loss(weights)
     for _ in range(rounds):
         p = curve(x, weights)
-        slope = x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + ridge * np.eye(x.shape[1])
-        weights = weights + np.linalg.solve(slope, x.T @ (y - p) - ridge * weights)
+        slope = x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(x.shape[1])
+        step = np.linalg.solve(slope, x.T @ (y - p) - ridge * weights)
+        size = 1.0
+        while size > 1e-6 and loss(weights + size * step) > now:
+            size /= 2
+        if size <= 1e-6:
+            break
+        weights = weights + size * step
+        now, before = loss(weights), now
+        if before - now < 1e-9 * max(before, 1):
+            break
     return weights
 
 
@@ -152,7 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_rows(rows()))], pa.binary())], ["model"])
 
-    return pickle.loads(sample.select("text", "label").coalesce(1).mapInArrow(run, "model binary").first()["model"])
+    row = sample.select("text", "label").coalesce(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row["model"]) if row else fit_rows(iter(()))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:

@@ -279,18 +279,18 @@ def redacted(text: Column, spans: Column, mask: str = "[secret]") -> Column:
 def mask_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns, secrets masked in the text; ``n_chars``, if there, follows. Null texts stay null."""
     found = find_secrets(docs, rules, id_col, text_col, tuple(docs.columns))
-    hit = F.size("spans") > 0
-    text = redacted(F.col(text_col), F.col("spans"))
+    # Two steps: within one, "text" in a lambda would mean the masked text of the same select.
+    masked = found.select("rest", F.when(F.size("spans") > 0, redacted(F.col(text_col), F.col("spans"))).alias("_masked"))
 
     def column(name: str) -> Column:
         old = F.col("rest")[name]
         if name == text_col:
-            return F.when(hit, text).otherwise(old).alias(name)
+            return F.coalesce("_masked", old).alias(name)
         if name == "n_chars":
-            return F.when(hit, F.length(text).cast(docs.schema[name].dataType)).otherwise(old).alias(name)
+            return F.coalesce(F.length("_masked").cast(docs.schema[name].dataType), old).alias(name)
         return old.alias(name)
 
-    return found.select(*map(column, docs.columns))
+    return masked.select(*map(column, docs.columns))
 
 
 def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id") -> DataFrame:

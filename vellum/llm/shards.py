@@ -82,8 +82,9 @@ def assign(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col
 def write_shards(docs: DataFrame, folder: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> None:
     """All columns of ``docs`` as Parquet, one folder per shard (``_shard=...``)."""
     own = assign(docs, limit, id_col, text_col)
-    places = staged(own.groupBy("h").agg(F.collect_set("shard").alias("_shards")))  # pieces only where rows repeat
-    rows = docs.withColumn("_h", row_hash(id_col, text_col)).join(places, F.col("_h") == places["h"])
+    # Several shards only where rows repeat.
+    places = staged(own.groupBy(F.col("h").alias("_h")).agg(F.collect_set("shard").alias("_shards")))
+    rows = docs.withColumn("_h", row_hash(id_col, text_col)).join(places, "_h")
     n = F.pmod(F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()), F.size("_shards")).cast("int")
     shard = F.concat(F.lit("s"), F.regexp_replace(F.get("_shards", n), "/", "-"))
     rows.withColumn("_shard", shard).select(*docs.columns, "_shard").repartition("_shard").write.partitionBy("_shard").parquet(folder)
