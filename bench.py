@@ -31,6 +31,7 @@ HEADLINE = [
     "expired_scan",
     "sequence_ids",
     "request_audit",
+    "transfer_gate",
 ]
 
 
