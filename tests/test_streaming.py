@@ -102,3 +102,22 @@ def test_convergence_stream_equals_batch(spark, tmp_path):
     want = snapshot_convergence(spark.read.schema(schema).json(folder), ["page"], "item").filter("converged")
     pick = lambda df: sorted((r["page"], r["stop_attempt"], r["merged_count"]) for r in df.collect())
     assert pick(got) == pick(want) == [(1, 4, 1), (2, 6, 4)]
+
+
+def test_convergence_stream_counts_skipped_and_split_reads(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    read = lambda p, k, i: {"page": p, "attempt": k, "item": i}
+    reads = [[read(1, 1, "x"), read(1, 2, "x"), *[read(2, k, i) for k, i in [(1, "a"), (2, "b"), (3, "c"), (4, "a")]]], [read(1, 5, "x"), read(2, 4, "b")], [read(2, 4, "c")]]
+    folder = files(tmp_path, "skip", reads)
+    schema = "page long, attempt int, item string"
+    got = drain(U.convergence_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)), tmp_path, "skips")
+    want = snapshot_convergence(spark.read.schema(schema).json(folder), ["page"], "item").filter("converged")
+    pick = lambda df: sorted((r["page"], r["stop_attempt"], r["merged_count"]) for r in df.collect())
+    assert pick(got) == pick(want) == [(1, 4, 1)]
+
+
+def test_daily_once_takes_the_local_day(spark, tmp_path):
+    alerts = [{"task_id": "a", "event_ts": f"2026-01-01T{t}:00Z"} for t in ("16:30", "16:45", "17:30")]
+    stream = spark.readStream.schema("task_id string, event_ts timestamp").json(files(tmp_path, "local", [alerts]))
+    got = drain(R.daily_once(stream), tmp_path, "local_day")
+    assert sorted(str(r["sent_date"]) for r in got.collect()) == ["2026-01-01", "2026-01-02"]
