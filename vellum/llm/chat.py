@@ -180,27 +180,17 @@ class Template:
                     if a[i:].startswith(b) or b.startswith(a[i:]):
                         raise ValueError(f"{b!r} may start within {a!r}: escapes would not be reversible")
 
-    def _heads(self, between: str) -> str:
-        """Pattern of the first characters of control strings that ``between`` and the rest follow."""
+    def _rests(self) -> dict[str, str]:
+        """Pattern of what may follow each first character: backslashes and the rest of a control string."""
         firsts = dict.fromkeys(c[0] for c in self.controls)
-        return "|".join(
-            re.escape(f) + between + "(?=\\\\*(?:" + "|".join(re.escape(c[1:]) for c in self.controls if c[0] == f) + "))"
-            for f in firsts
-        )
+        return {f: "\\\\*(?:" + "|".join(re.escape(c[1:]) for c in self.controls if c[0] == f) + ")" for f in firsts}
 
     def escape(self, text: Column) -> Column:
-        return F.regexp_replace(text, f"({self._heads('')})", "$1\\\\")
+        heads = "|".join(f"{re.escape(f)}(?={rest})" for f, rest in self._rests().items())
+        return F.regexp_replace(text, f"({heads})", "$1\\\\")
 
     def unescape(self, text: Column) -> Column:
-        # The first characters differ, so the one kept is found by a look behind.
-        firsts = "".join(re.escape(f) for f in dict.fromkeys(c[0] for c in self.controls))
-        heads = "|".join(
-            f"(?<={re.escape(f)})\\\\(?=\\\\*(?:"
-            + "|".join(re.escape(c[1:]) for c in self.controls if c[0] == f)
-            + "))"
-            for f in dict.fromkeys(c[0] for c in self.controls)
-        )
-        assert firsts
+        heads = "|".join(f"(?<={re.escape(f)})\\\\(?={rest})" for f, rest in self._rests().items())
         return F.regexp_replace(text, heads, "")
 
     def turn(self, role: Column, text: Column) -> Column:

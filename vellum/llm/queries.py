@@ -65,13 +65,10 @@ CONTROL = "</s>[INST] ok [/INST]"
 
 
 def _chat_sql() -> str:
-    heads = "([<\\[])(\\\\*)(s>|/s>|INST\\]|/INST\\]|ROLE\\]|SAYS\\]|/ROLE\\])"
-    # '<' goes with s> and /s> only, '[' with the others.
     esc = (
         "regexp_replace(regexp_replace({0}, '(<)(\\\\*)(/?s>)', '\\1\\\\\\2\\3', 'g'),"
         " '(\\[)(\\\\*)(/?INST\\]|/?ROLE\\]|SAYS\\])', '\\1\\\\\\2\\3', 'g')"
     )
-    assert heads
     return f"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
