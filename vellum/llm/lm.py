@@ -122,12 +122,20 @@ class Totals:
 
 
 def sweeps(
-    word: np.ndarray, context: np.ndarray, count: np.ndarray, alone: np.ndarray, totals: Totals, part: int, rounds: int
+    word: np.ndarray,
+    context: np.ndarray,
+    count: np.ndarray,
+    alone: np.ndarray,
+    totals: Totals,
+    part: int,
+    rounds: int,
+    later: Totals | None = None,
 ) -> dict[str, np.ndarray]:
     """Gibbs sweeps over a part's pairs.
 
     word, context, count: training customers of each pair; alone: customers of each word that go to
-    the root directly. Gives tables per pair, root customers and tables per word after the last sweep,
+    the root directly; totals: those before the first sweep, and ``later`` those of all parts after it
+    (the first sweep of a part is the same whenever it runs). Gives tables per pair, root customers and tables per word after the last sweep,
     and the averages of the pairs' and words' predictive probabilities over all sweeps after the first.
     """
     rng = np.random.default_rng([SEED, part & 0x7FFFFFFF])
@@ -152,6 +160,8 @@ def sweeps(
         own_root, customers = own_root + float((fresh - customers).sum()), fresh
         seats = seat(rng, customers, ROOT_DISCOUNT, (ROOT_STRENGTH + ROOT_DISCOUNT * np.maximum(own_root_tables - root_tables, 0)) * base)
         own_root_tables, root_tables = own_root_tables + float((seats - root_tables).sum()), seats
+        if not n and later:
+            own_context, own_root, own_root_tables = later.tables.copy(), later.root_customers, later.root_tables
         if n or rounds == 1:
             p, kept = root(), kept + 1
             word_p += p
@@ -240,11 +250,11 @@ def _read(batch: pa.RecordBatch, r: int):
     return {k: np.frombuffer(batch.column(k)[r].as_buffer(), t) for k, t in kinds.items() if k in batch.schema.names}
 
 
-def _seated(own: dict[str, np.ndarray], totals: Totals, part: int, rounds: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def _seated(own: dict[str, np.ndarray], totals: Totals, part: int, rounds: int, later: Totals | None = None) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """(places of the pairs with a context, what the sweeps give)."""
     bound = np.flatnonzero(own["context"] < len(totals.customers))
     word, context, count = own["word"][bound], own["context"][bound].astype(np.int64), own["count"][bound].astype(np.int64)
-    return bound, sweeps(word, context, count, own["alone"], totals, part, rounds)
+    return bound, sweeps(word, context, count, own["alone"], totals, part, rounds, later)
 
 
 def _sum_tables(frame: DataFrame, contexts: int) -> np.ndarray:
@@ -275,14 +285,14 @@ def _first_sweep(packed: DataFrame, totals: Totals) -> DataFrame:
 SCORED = "row bigint, known bigint, base double, score double"
 
 
-def _score_parts(packed: DataFrame, totals: Totals, rounds: int, n: int, v: int) -> DataFrame:
-    """What the tokens of each part add to each document."""
+def _score_parts(packed: DataFrame, start: Totals, totals: Totals, rounds: int, n: int, v: int, parts: int) -> DataFrame:
+    """What the tokens of all parts add to each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 own = _read(batch, r)
-                bound, done = _seated(own, totals, batch.column("part")[r].as_py(), rounds)
+                bound, done = _seated(own, start, batch.column("part")[r].as_py(), rounds, totals)
                 p = done["word_p"][own["word"]]
                 p[bound] = done["pair_p"]
                 total = np.bincount(own["word"], own["count"], len(own["alone"]))[own["word"]]
@@ -290,10 +300,31 @@ def _score_parts(packed: DataFrame, totals: Totals, rounds: int, n: int, v: int)
                 starts = np.r_[0, np.cumsum(own["sizes"])[:-1]]
                 each = [np.add.reduceat(x[own["pairs"]], starts) for x in ((total > 0).astype(np.int64), base, np.log10(p))]
                 docs, back = np.unique(own["docs"], return_inverse=True)
-                sums = [np.bincount(back, x, len(docs)) for x in each]
-                yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], ["row", "known", "base", "score"])
+                known, own_base, own_score = (np.bincount(back, x, len(docs)) for x in each)
+                # Packed by bucket of documents: a part and a bucket exchange one row.
+                sums = (known.astype(np.uint32), own_base, own_score.astype(np.float32))
+                bucket = (mix(docs.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.searchsorted(bucket[order], np.arange(parts + 1))
+                full = np.flatnonzero(np.diff(ends))
+                blobs = [[x[order[ends[b] : ends[b + 1]]].tobytes() for b in full] for x in (docs, *sums)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full.astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["bucket", "row", "known", "base", "score"]
+                )
 
-    return packed.select("part", "word", "context", "count", "alone", "docs", "sizes", "pairs").mapInArrow(run, SCORED)
+    def add(table: pa.Table) -> pa.Table:
+        docs, *sums = (
+            np.concatenate([np.frombuffer(b.as_buffer(), kind) for b in table.column(name)])
+            for name, kind in (("row", np.int64), ("known", np.uint32), ("base", np.float64), ("score", np.float32))
+        )
+        docs, back = np.unique(docs, return_inverse=True)
+        known, base, score = (np.bincount(back, x, len(docs)) for x in sums)
+        return pa.table({"row": docs, "known": known.astype(np.int64), "base": base, "score": score})
+
+    sent = packed.select("part", "word", "context", "count", "alone", "docs", "sizes", "pairs").mapInArrow(
+        run, "bucket int, row binary, known binary, base binary, score binary"
+    )
+    return sent.groupBy("bucket").applyInArrow(add, SCORED)
 
 
 # --- words that are contexts ------------------------------------------------------------------
@@ -379,13 +410,15 @@ def score(
     word, context = np.nonzero(pairs[:, :k])
     count, alone = pairs[word, context], pairs[:, k]
     first_tables = _sum_tables(packed, k) + np.bincount(context, minlength=k)
-    start = Totals(customers, first_tables, n, v, v)
+    # One table for each pair, and for each word in the root.
+    free = n - float(customers.sum())
+    start = Totals(customers, first_tables, free + float(first_tables.sum()), v, v)
     first = staged(_first_sweep(packed, start))
     here = sweeps(word, context, count, alone, start, -1, 1)
     tables = _sum_tables(first, k) + np.bincount(context, here["tables"], k)
     got = first.agg(F.sum("customers"), F.sum("root_tables")).first()
     totals = Totals(customers, tables, (got[0] or 0) + here["customers"].sum(), (got[1] or 0) + here["root_tables"].sum(), v)
-    done = sweeps(word, context, count, alone, totals, -1, rounds)
+    done = sweeps(word, context, count, alone, start, -1, rounds, totals)
     # Probabilities of all pairs of contexts, seen or not.
     root = done["word_p"]
     p = np.empty((k, k + 1))
@@ -394,12 +427,12 @@ def score(
     p[word, context] = done["pair_p"]
     base = np.log10((top_total + 0.5) / (n + 0.5 * (v + 1)))
     near = _score_top(keyed, top, np.log10(p), base, (top_total > 0).astype(np.int64))
-    far = _score_parts(packed, totals, rounds, n, v)
+    far = _score_parts(packed, start, totals, rounds, n, v, parts)
     own = near.groupBy("row").agg(
         F.count("*").alias("copies"), F.max("tokens").alias("tokens"), F.max("known").alias("known"), F.max("base").alias("base"), F.max("score").alias("score")
     )
     # Rows repeated with id and text added to the parts once each.
-    rest = far.groupBy("row").agg(F.sum("known").alias("known2"), F.sum("base").alias("base2"), F.sum("score").alias("score2"))
+    rest = far.select("row", F.col("known").alias("known2"), F.col("base").alias("base2"), F.col("score").alias("score2"))
     sums = staged(own.join(rest, "row", "left"))
     share = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("copies")
     return keyed.select("id", "row", "train").join(sums, "row").select(
