@@ -100,7 +100,7 @@ def seat(rng: np.random.Generator, customers: np.ndarray, discount: float, stren
     strength: (theta + d * other tables of the restaurant) * parent probability of the dish. From the
     65th customer on, as many sit down at once as make up a 64th of those seated.
     """
-    tables = (customers > 0).astype(np.int64)
+    tables = (customers > 0).astype(np.int32)
     active = np.flatnonzero(customers > 1)
     seated = 1
     while len(active):
@@ -140,7 +140,7 @@ def sweeps(
     """
     rng = np.random.default_rng([SEED, part & 0x7FFFFFFF])
     words, base = len(alone), 1.0 / (totals.types + 1)
-    tables = (count > 0).astype(np.int64)
+    tables = (count > 0).astype(np.int32)
     customers = alone + np.bincount(word, tables, words).astype(np.int64)
     root_tables = (customers > 0).astype(np.int64)
     own_context, own_root, own_root_tables = totals.tables.copy(), totals.root_customers, totals.root_tables
@@ -224,6 +224,7 @@ def _pack(contexts: int):
         words, context = column("words", np.int64), column("contexts", np.int16)
         learn = np.repeat(train, sizes)
         names, word = np.unique(words, return_inverse=True)
+        del words
         code, pair = np.unique(word * (contexts + 1) + context, return_inverse=True)
         count = np.bincount(pair[learn], minlength=len(code)).astype(np.int32)
         word, context = (code // (contexts + 1)).astype(np.int32), (code % (contexts + 1)).astype(np.int16)
@@ -253,7 +254,7 @@ def _read(batch: pa.RecordBatch, r: int):
 def _seated(own: dict[str, np.ndarray], totals: Totals, part: int, rounds: int, later: Totals | None = None) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """(places of the pairs with a context, what the sweeps give)."""
     bound = np.flatnonzero(own["context"] < len(totals.customers))
-    word, context, count = own["word"][bound], own["context"][bound].astype(np.int64), own["count"][bound].astype(np.int64)
+    word, context, count = own["word"][bound], own["context"][bound], own["count"][bound]
     return bound, sweeps(word, context, count, own["alone"], totals, part, rounds, later)
 
 
@@ -298,7 +299,8 @@ def _score_parts(packed: DataFrame, start: Totals, totals: Totals, rounds: int,
                 total = np.bincount(own["word"], own["count"], len(own["alone"]))[own["word"]]
                 base = np.log10((total + 0.5) / (n + 0.5 * (v + 1)))
                 starts = np.r_[0, np.cumsum(own["sizes"])[:-1]]
-                each = [np.add.reduceat(x[own["pairs"]], starts) for x in ((total > 0).astype(np.int64), base, np.log10(p))]
+                each = [np.add.reduceat(x[own["pairs"]], starts, dtype=float) for x in (total > 0, base, np.log10(p))]
+                del p, total, base, done
                 docs, back = np.unique(own["docs"], return_inverse=True)
                 known, own_base, own_score = (np.bincount(back, x, len(docs)) for x in each)
                 # Packed by bucket of documents: a part and a bucket exchange one row.
