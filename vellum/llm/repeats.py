@@ -364,7 +364,8 @@ def _context_bytes(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame
                     out.append({"a": r["a"], "ctx": r["ctx"], "contexts": r["contexts"], "bytes": data[r["lo"] : r["hi"] + length].to_pybytes()})
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    joined = texts.join(staged(lists), "key").select("text", "asked")
+    # Merged whatever the sizes: texts go where their key goes, and no list is sent to all tasks.
+    joined = texts.join(staged(lists).hint("merge"), "key").select("text", "asked")
     return joined.mapInArrow(run, "a bigint, ctx bigint, contexts bigint, bytes binary").dropDuplicates(["a", "ctx"])
 
 
@@ -372,7 +373,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **bo
     """(id, n_bytes, spans, kept) of every row; kept are the bytes outside the removed spans."""
     found = spans(docs, text_col, **bounds)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
-    joined = rows.join(found, "key", "left").select("id", "text", "spans")
+    joined = rows.join(found.hint("merge"), "key", "left").select("id", "text", "spans")
     kinds = "id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
