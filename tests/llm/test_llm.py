@@ -411,6 +411,29 @@ def test_lm_counts_and_learns(spark):
     assert unseen.score.sum() > unseen.base_score.sum()
 
 
+def test_lm_every_word_is_a_context(spark):
+    rows = [(i, " ".join(f"w{(i * 11 + j) % 3000}" for j in range(20))) for i in range(1500)]
+    whole = lm.score(spark.createDataFrame(rows, TEXTS)).toPandas()
+    # The word before tells each word but the first; 3000 equal words alone have 3.5 each.
+    assert -1 < whole.score.sum() / whole.n_tokens.sum() < 0
+
+
+def test_lm_heavy_words_and_pairs(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(["hot pair" if rng.random() < 0.4 else f"hot v{rng.integers(9)}" if rng.random() < 0.3 else f"w{rng.integers(200)}" for _ in range(30)])) for i in range(200)]
+    rows += [(7, rows[7][1]), (None, None)]
+    frame = spark.createDataFrame(rows, TEXTS)
+    keyed = frame.select(F.coalesce("text", F.lit("")).alias("text"))
+    found = lm.heavy(keyed, 10_000, 20)
+    assert len(found.words) > 2 and len(found.keys) > 1
+    one, many = (lm.score(frame, part=p).orderBy("doc_id").toPandas() for p in (lm.PART, 500))
+    for name in ("n_tokens", "n_known", "train_tokens"):
+        assert (one[name] == many[name]).all()
+    assert np.allclose(one.base_score, many.base_score, rtol=1e-9)
+    # Parts hear of each other once, after the first sweep.
+    assert abs(one.score.sum() / many.score.sum() - 1) < 0.05
+
+
 def test_lm_probabilities_sum_to_one():
     rng = np.random.default_rng(10)
     word, context = (x.ravel() for x in np.meshgrid(np.arange(30), np.arange(3)))

@@ -1,18 +1,21 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-A word follows its context restaurant; all context restaurants share one parent, the root, whose
-base is uniform over the known types and one unknown. Contexts are the ``CONTEXTS`` most frequent
-words (a parameter of the model, like a vocabulary); after any other word, and at the start of a text,
-a word is drawn from the root. Tables are customers of the root. Seating is sampled by Gibbs: one
-sweep takes all customers of a (context, word) out and seats them again, given all others; predictive
-probabilities are averaged over the sweeps after the first.
-
-All tokens of all training texts are counted. Words are spread by hash over parts, and each part
-seats its words: a word's customers in all contexts and in the root meet there, while contexts need
-only their totals, ``CONTEXTS`` numbers that are summed over the parts between two jobs. Words that are
-contexts themselves are so frequent that their pairs with contexts, at most ``CONTEXTS`` squared, are
-counted on the map side; their probabilities travel to all tasks. Within a job a part sees its own
-changes of the totals at once and those of others after it.
+A word follows its context restaurant, that of the word before it; every word is a context, and the end
+token is the context of a text's first word. All context restaurants share one parent, the root, whose
+base is uniform over the known types and one unknown. Tables are customers of the root. Seating is
+sampled by Gibbs: one sweep takes all customers of a (context, word) out and seats them again, given all
+others; predictive probabilities are averaged over the sweeps after the first.
+
+All tokens of all training texts are counted. Words are spread by hash over parts, and each part seats
+its words: a word's customers in all contexts and in the root meet there. A part needs of its contexts
+only the totals: it sends its own numbers by bucket of contexts and gets the sums over all parts back,
+at the start and after the first sweep. Within a job a part sees its own changes of the totals at once
+and those of others after it.
+
+Heavy words are spread over the parts by context as well, and a part knows how many customers the other
+parts send to the root. Heavy pairs of words are counted on the map side, seated as a part of their own,
+and their probabilities travel to all tasks. Which words and pairs count as heavy comes from one pass over
+all tokens and changes where the work is done, not the model.
 
 Cases: null and empty texts are the end token alone. Repeated rows count, and are scored, each.
 A null id is never held out. Without training tokens every token has the base probability.
@@ -30,8 +33,8 @@ from pyspark.sql import functions as F
 from vellum.llm.common import staged
 from vellum.llm.words import chunks, mix, word_hashes
 
-CONTEXTS = 1024
-SAMPLE = 32
+#: At most so many words and pairs, about, are heavy.
+HEAVY = 4096
 PART = 1_500_000
 SWEEPS = 4
 DISCOUNT, STRENGTH = 0.8, 1.0
@@ -68,27 +71,55 @@ def places(values: np.ndarray, top: np.ndarray) -> np.ndarray:
     return np.where(top[at] == values, at, len(top))
 
 
-def contexts_of(found: np.ndarray, starts: np.ndarray, none: int) -> np.ndarray:
-    """Context of each token: the place of the token before it, ``none`` at a row's start."""
-    out = np.empty_like(found)
-    out[1:] = found[:-1]
-    out[starts[:-1]] = none
-    return out
+def contexts_of(found: np.ndarray) -> np.ndarray:
+    """Context of each token: the token before it; every row ends with END, so END comes before a row."""
+    return np.r_[np.array([END], np.int64), found[:-1]]
+
+
+def pair_keys(word: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each (word, context)."""
+    return mix(mix(word.view(np.uint64)) + context.view(np.uint64)).view(np.int64)
+
+
+class Heavy:
+    """Sorted heavy words, and heavy pairs in the order of their keys."""
 
+    def __init__(self, words: np.ndarray, word: np.ndarray, context: np.ndarray):
+        self.words, keys = np.sort(words), pair_keys(word, context)
+        order = np.argsort(keys)
+        self.keys, self.word, self.context = keys[order], word[order], context[order]
 
-def frequent_words(rows: DataFrame, contexts: int) -> np.ndarray:
-    """Sorted tokens that serve as contexts, judged on one training text in ``SAMPLE``; END is one."""
-    sample = rows.filter(F.col("train") & (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(SAMPLE)) == 0)).select("text")
+
+def heavy(rows: DataFrame, tokens_about: int, parts: int) -> Heavy:
+    """Words and pairs with more tokens than about an eighth of a part.
+
+    What holds a share of all tokens holds at least half that share in runs of rows with half of its
+    tokens or more, so a run sends only what is frequent in itself.
+    """
+    shares = 2 * min(HEAVY, 8 * parts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, found, _ in tokens(batch.column(0)):
-                word, times = np.unique(found, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(times)], ["word", "times"])
+                word, code, times = np.unique(found, return_inverse=True, return_counts=True)
+                least = max(1, len(found) // shares)
+                often = times >= least
+                both = np.flatnonzero(often[code[1:]] & often[code[:-1]]) + 1
+                pair, each = np.unique(code[both] * len(word) + code[both - 1], return_counts=True)
+                pair, each = pair[each >= least], each[each >= least]
+                none = pa.nulls(int(often.sum()), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.r_[word[often], word[pair // len(word)]]), pa.concat_arrays([none, pa.array(word[pair % len(word)])]), pa.array(np.r_[times[often], each])],
+                    ["word", "context", "times"],
+                )
 
-    counted = sample.mapInArrow(count, "word bigint, times bigint").groupBy("word").agg(F.sum("times").alias("times"))
-    top = counted.filter(F.col("word") != END).orderBy(F.desc("times"), "word").limit(contexts - 1).collect()
-    return np.sort(np.array([END, *(r["word"] for r in top)], np.int64))
+    if parts == 1:
+        none = np.zeros(0, np.int64)
+        return Heavy(none, none, none)
+    counted = rows.select("text").mapInArrow(count, "word bigint, context bigint, times bigint").groupBy("word", "context").agg(F.sum("times").alias("times"))
+    got = counted.filter(F.col("times") >= max(1, tokens_about // shares)).select("word", "context").collect()  # about 2 * shares rows
+    column = lambda name, own: np.array([r[name] for r in got if (r["context"] is None) == own], np.int64)
+    return Heavy(column("word", True), column("word", False), column("context", False))
 
 
 # --- seating ----------------------------------------------------------------------------------
@@ -114,11 +145,15 @@ def seat(rng: np.random.Generator, customers: np.ndarray, discount: float, stren
 
 
 class Totals:
-    """Customers and tables of the context restaurants, and those of the root, over all parts."""
+    """Customers and tables of the context restaurants, and those of the root, over all parts.
 
-    def __init__(self, customers: np.ndarray, tables: np.ndarray, root_customers: float, root_tables: float, types: int):
+    others: root customers of each of a part's words that come from other parts.
+    """
+
+    def __init__(self, customers: np.ndarray, tables: np.ndarray, root_customers: float, root_tables: float, types: int, others: np.ndarray | int = 0):
         self.customers, self.tables = customers.astype(float), tables.astype(float)
         self.root_customers, self.root_tables, self.types = float(root_customers), float(root_tables), types
+        self.others = others
 
 
 def sweeps(
@@ -140,6 +175,7 @@ def sweeps(
     """
     rng = np.random.default_rng([SEED, part & 0x7FFFFFFF])
     words, base = len(alone), 1.0 / (totals.types + 1)
+    direct, alone = alone, alone + totals.others
     tables = (count > 0).astype(np.int32)
     customers = alone + np.bincount(word, tables, words).astype(np.int64)
     root_tables = (customers > 0).astype(np.int64)
@@ -162,6 +198,8 @@ def sweeps(
         own_root_tables, root_tables = own_root_tables + float((seats - root_tables).sum()), seats
         if not n and later:
             own_context, own_root, own_root_tables = later.tables.copy(), later.root_customers, later.root_tables
+            alone = direct + later.others
+            customers = alone + np.bincount(word, tables, words).astype(np.int64)
         if n or rounds == 1:
             p, kept = root(), kept + 1
             word_p += p
@@ -179,20 +217,25 @@ def sweeps(
 SENT = "part int, docs binary, train binary, sizes binary, words binary, contexts binary"
 
 
-def _send(rows: DataFrame, top: np.ndarray, parts: int) -> DataFrame:
-    """Tokens that are no contexts themselves, by part: words and contexts, document by document."""
-    known = rows.sparkSession.sparkContext.broadcast(top)
+def _send(rows: DataFrame, hot: Heavy, parts: int) -> DataFrame:
+    """Tokens but those of heavy pairs, by part: words and contexts, document by document."""
+    known = rows.sparkSession.sparkContext.broadcast(hot)  # at most some HEAVY words and pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = known.value
         for batch in batches:
             doc, train = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
             for first, found, starts in tokens(batch.column(2)):
-                top = known.value
-                at = places(found, top)
-                context = contexts_of(at, starts, len(top)).astype(np.int16)
+                context = contexts_of(found)
                 row = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
-                rest = np.flatnonzero(at == len(top))
-                part = (mix(found[rest].view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+                own, rest = mix(found.view(np.uint64)), np.arange(len(found))
+                if len(hot.words):
+                    spread = np.flatnonzero(places(found, hot.words) < len(hot.words))
+                    keys = pair_keys(found[spread], context[spread])
+                    own[spread] = mix(keys.view(np.uint64))
+                    if len(hot.keys):
+                        rest = np.delete(rest, spread[places(keys, hot.keys) < len(hot.keys)])
+                part = (own[rest] % np.uint64(parts)).astype(np.int32)
                 order = np.argsort(part, kind="stable")
                 ends = np.searchsorted(part[order], np.arange(parts + 1))
                 out = []
@@ -212,107 +255,233 @@ def _send(rows: DataFrame, top: np.ndarray, parts: int) -> DataFrame:
     return rows.select("row", "train", "text").mapInArrow(run, SENT)
 
 
-PACKED = "part int, tables array<bigint>, n bigint, v bigint, word binary, context binary, count binary, alone binary, docs binary, sizes binary, pairs binary"
+#: Contents of a part. ends: where the contexts of each bucket end; shared, heavy: places of the heavy
+#: words among the part's words and among all heavy words.
+KINDS = {"word": np.int32, "context": np.int32, "count": np.int32, "names": np.int64, "ends": np.int32, "shared": np.int32, "heavy": np.int32,
+         "docs": np.int64, "sizes": np.int32, "pairs": np.int32}
+PACKED = "part int, n bigint, v bigint, seen bigint, words bigint, " + ", ".join(f"{k} binary" for k in KINDS)
+SEATED = ("word", "context", "count", "names", "ends", "shared", "heavy")
+
+
+def _contents(part: int, words: np.ndarray, contexts: np.ndarray, hot: Heavy, buckets: int, count=None, learn=None, docs=(), sizes=()) -> dict:
+    """A packed part, from its pairs with counts, or from its tokens and which of them are training ones."""
+    found, word = np.unique(words, return_inverse=True)
+    names, context = np.unique(contexts, return_inverse=True)
+    bucket = (mix(names.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    code, pair = np.unique(word * len(names) + back[context], return_inverse=True)
+    count = np.bincount(pair[learn], minlength=len(code)) if count is None else np.bincount(pair, count, len(code)).astype(np.int64)
+    word, context = code // max(len(names), 1), code % max(len(names), 1)
+    at = places(found, hot.words) if len(hot.words) else np.zeros(len(found), int)
+    shared = np.flatnonzero(at < len(hot.words))
+    total = np.bincount(word, count, len(found))
+    total[shared] = 0
+    ends = np.searchsorted(bucket[order], np.arange(buckets), "right")
+    out = {"word": word, "context": context, "count": count, "names": names[order], "ends": ends, "shared": shared, "heavy": at[shared],
+           "docs": docs, "sizes": sizes, "pairs": pair if learn is not None else ()}
+    return {"part": part, "n": int(count.sum()), "v": int((total > 0).sum()), "seen": int((count > 0).sum()), "words": len(found)} | {k: np.asarray(out[k]).astype(t).tobytes() for k, t in KINDS.items()}
+
 
+PACKED_TYPES = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("v", pa.int64()), ("seen", pa.int64()), ("words", pa.int64()), *((k, pa.binary()) for k in KINDS)])
 
-def _pack(contexts: int):
+
+def _pack(hot: Heavy, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         def column(name, kind):
             return np.concatenate([np.frombuffer(b.as_buffer(), kind) for b in table.column(name)])
 
         docs, train, sizes = column("docs", np.int64), column("train", bool), column("sizes", np.int32)
-        words, context = column("words", np.int64), column("contexts", np.int16)
-        learn = np.repeat(train, sizes)
-        names, word = np.unique(words, return_inverse=True)
-        del words
-        code, pair = np.unique(word * (contexts + 1) + context, return_inverse=True)
-        count = np.bincount(pair[learn], minlength=len(code)).astype(np.int32)
-        word, context = (code // (contexts + 1)).astype(np.int32), (code % (contexts + 1)).astype(np.int16)
-        free = context == contexts
-        alone = np.bincount(word[free], count[free], len(names)).astype(np.int64)
-        total = np.bincount(word, count, len(names))
-        tables = np.bincount(context[~free], count[~free] > 0, contexts).astype(np.int64)
-        return pa.Table.from_pylist(
-            [{
-                "part": table.column("part")[0].as_py(), "tables": tables.tolist(), "n": int(count.sum()),
-                "v": int((total > 0).sum()), "word": word.tobytes(), "context": context.tobytes(),
-                "count": count.tobytes(), "alone": alone.tobytes(), "docs": docs.tobytes(),
-                "sizes": sizes.tobytes(), "pairs": pair.astype(np.int32).tobytes(),
-            }],
-            pa.schema([("part", pa.int32()), ("tables", pa.list_(pa.int64())), ("n", pa.int64()), ("v", pa.int64()),
-                       *((k, pa.binary()) for k in ("word", "context", "count", "alone", "docs", "sizes", "pairs"))]),
-        )
+        part, learn = table.column("part")[0].as_py(), np.repeat(train, sizes)
+        own = _contents(part, column("words", np.int64), column("contexts", np.int64), hot, buckets, None, learn, docs, sizes)
+        return pa.Table.from_pylist([own], PACKED_TYPES)
 
     return run
 
 
-def _read(batch: pa.RecordBatch, r: int):
-    kinds = {"word": np.int32, "context": np.int16, "count": np.int32, "alone": np.int64, "docs": np.int64, "sizes": np.int32, "pairs": np.int32}
-    return {k: np.frombuffer(batch.column(k)[r].as_buffer(), t) for k, t in kinds.items() if k in batch.schema.names}
+def _read(batch: pa.RecordBatch | pa.Table, r: int) -> dict[str, np.ndarray]:
+    out = {k: np.frombuffer(batch.column(k)[r].as_buffer(), t) for k, t in KINDS.items() if k in batch.schema.names}
+    return out | {k: batch.column(k)[r].as_py() for k in ("part", "words") if k in batch.schema.names}
 
 
-def _seated(own: dict[str, np.ndarray], totals: Totals, part: int, rounds: int, later: Totals | None = None) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """(places of the pairs with a context, what the sweeps give)."""
-    bound = np.flatnonzero(own["context"] < len(totals.customers))
-    word, context, count = own["word"][bound], own["context"][bound], own["count"][bound]
-    return bound, sweeps(word, context, count, own["alone"], totals, part, rounds, later)
+# --- totals over all parts --------------------------------------------------------------------
 
+TOTALS = "kind int, part int, bucket int, names binary, a binary, b binary"
 
-def _sum_tables(frame: DataFrame, contexts: int) -> np.ndarray:
-    out = np.zeros(contexts)
-    for r in frame.select(F.posexplode("tables").alias("u", "t")).groupBy("u").agg(F.sum("t").alias("t")).collect():
-        out[r["u"]] = r["t"]  # one row per context
-    return out
+
+def _by_bucket(kind: int, own: dict[str, np.ndarray], *numbers: np.ndarray) -> pa.RecordBatch:
+    """A part's numbers of its contexts, one row for each bucket that has some."""
+    starts, ends = np.r_[0, own["ends"][:-1]], own["ends"]
+    full = np.flatnonzero(ends > starts)
+    blobs = [[x[starts[b] : ends[b]].astype(np.int64).tobytes() for b in full] for x in (own["names"], *numbers)]
+    blobs += [[None] * len(full)] * (3 - len(blobs))
+    same = lambda x: pa.array(np.full(len(full), x, np.int32))
+    return pa.RecordBatch.from_arrays(
+        [same(kind), same(own["part"]), pa.array(full.astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["kind", "part", "bucket", "names", "a", "b"]
+    )
 
 
-def _first_sweep(packed: DataFrame, totals: Totals) -> DataFrame:
-    """(tables per context, root customers, root tables) of each part after one sweep."""
+def _summed(sent: DataFrame) -> DataFrame:
+    """The sums over all parts, sent back to each part in the order it has its contexts in."""
+
+    def add(table: pa.Table) -> pa.Table:
+        names = [np.frombuffer(b.as_buffer(), np.int64) for b in table.column("names")]
+        cuts = np.cumsum([len(x) for x in names])[:-1]
+        _, back = np.unique(np.concatenate(names), return_inverse=True)
+        out = {k: table.column(k) for k in ("kind", "part", "bucket")} | {"names": pa.nulls(table.num_rows, pa.binary())}
+        for k in ("a", "b"):
+            if table.column(k).null_count:
+                out[k] = table.column(k)
+                continue
+            own = np.concatenate([np.frombuffer(b.as_buffer(), np.int64) for b in table.column(k)])
+            sums = np.bincount(back, own).astype(np.int64)[back]
+            out[k] = pa.array([x.tobytes() for x in np.split(sums, cuts)], pa.binary())
+        return pa.table(out)
+
+    return sent.groupBy("bucket").applyInArrow(add, TOTALS)
+
+
+def _got(table: pa.Table, kind: int, name: str) -> np.ndarray:
+    """Totals of a part's contexts, bucket after bucket."""
+    rows = [(b.as_py(), x) for k, b, x in zip(table.column("kind"), table.column("bucket"), table.column(name)) if k.as_py() == kind]
+    return np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_buffer(), np.int64) for _, x in sorted(rows, key=lambda r: r[0]))])
+
+
+def _start_sent(packed: DataFrame) -> DataFrame:
+    """Customers of each part's contexts, and one table for each of their pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 own = _read(batch, r)
-                bound, done = _seated(own, totals, batch.column("part")[r].as_py(), 1)
-                context = own["context"][bound]
-                tables = np.bincount(context, done["tables"], len(totals.customers)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([tables.tolist()], pa.list_(pa.int64())), pa.array([int(done["customers"].sum())]), pa.array([int(done["root_tables"].sum())])],
-                    ["tables", "customers", "root_tables"],
-                )
+                size = len(own["names"])
+                yield _by_bucket(0, own, np.bincount(own["context"], own["count"], size), np.bincount(own["context"], own["count"] > 0, size))
 
-    return packed.select("part", "word", "context", "count", "alone").mapInArrow(run, "tables array<bigint>, customers bigint, root_tables bigint")
+    return packed.select("part", "context", "count", "names", "ends").mapInArrow(run, TOTALS)
 
 
-SCORED = "row bigint, known bigint, base double, score double"
+def _heavy_sums(frame: DataFrame, size: int) -> np.ndarray:
+    """(heavy words, 2): sums of the parts' numbers, given as rows (heavy, a, b)."""
+    out = np.zeros((size, 2))
+    if size:
+        for r in frame.groupBy("heavy").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():
+            out[r["heavy"]] = r["a"], r["b"]  # one row per heavy word
+    return out
 
 
-def _score_parts(packed: DataFrame, start: Totals, totals: Totals, rounds: int, n: int, v: int, parts: int) -> DataFrame:
-    """What the tokens of all parts add to each document."""
+HEAVY_ROWS = "heavy int, a bigint, b bigint"
+
+
+def _heavy_start(packed: DataFrame) -> DataFrame:
+    """Training tokens and pairs of each part's heavy words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 own = _read(batch, r)
-                bound, done = _seated(own, start, batch.column("part")[r].as_py(), rounds, totals)
-                p = done["word_p"][own["word"]]
-                p[bound] = done["pair_p"]
-                total = np.bincount(own["word"], own["count"], len(own["alone"]))[own["word"]]
-                base = np.log10((total + 0.5) / (n + 0.5 * (v + 1)))
-                starts = np.r_[0, np.cumsum(own["sizes"])[:-1]]
-                each = [np.add.reduceat(x[own["pairs"]], starts, dtype=float) for x in (total > 0, base, np.log10(p))]
-                del p, total, base, done
-                docs, back = np.unique(own["docs"], return_inverse=True)
-                known, own_base, own_score = (np.bincount(back, x, len(docs)) for x in each)
-                # Packed by bucket of documents: a part and a bucket exchange one row.
-                sums = (known.astype(np.uint32), own_base, own_score.astype(np.float32))
-                bucket = (mix(docs.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                ends = np.searchsorted(bucket[order], np.arange(parts + 1))
-                full = np.flatnonzero(np.diff(ends))
-                blobs = [[x[order[ends[b] : ends[b + 1]]].tobytes() for b in full] for x in (docs, *sums)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(full.astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["bucket", "row", "known", "base", "score"]
-                )
+                each = [np.bincount(own["word"], x, own["words"])[own["shared"]].astype(np.int64) for x in (own["count"], own["count"] > 0)]
+                yield pa.RecordBatch.from_arrays([pa.array(own["heavy"]), *map(pa.array, each)], ["heavy", "a", "b"])
+
+    return packed.select("words", "word", "count", "shared", "heavy").mapInArrow(run, HEAVY_ROWS)
+
+
+class World:
+    """What all parts know: root totals, and tables of the heavy words, at the start and after the first sweep."""
+
+    def __init__(self, types: int, root: tuple[float, float], heavy: np.ndarray):
+        self.types, self.root, self.heavy = types, root, heavy
+
+    def totals(self, own: dict[str, np.ndarray], customers: np.ndarray, tables: np.ndarray, seats: np.ndarray) -> Totals:
+        """seats: the part's own tables of its pairs, at the time of these totals."""
+        others = np.zeros(own["words"], np.int64)
+        mine = np.bincount(own["word"], seats, own["words"])[own["shared"]]
+        others[own["shared"]] = (self.heavy[own["heavy"]] - mine).astype(np.int64)
+        return Totals(customers, tables, *self.root, self.types, others)
+
+
+def _one_sweep(own: dict[str, np.ndarray], got: pa.Table, start: World) -> tuple[Totals, dict[str, np.ndarray]]:
+    begin = start.totals(own, _got(got, 0, "a"), _got(got, 0, "b"), own["count"] > 0)
+    return begin, sweeps(own["word"], own["context"], own["count"], np.zeros(own["words"], np.int64), begin, own["part"], 1)
+
+
+def _first_sweep(packed: DataFrame, totals: DataFrame, start: World) -> DataFrame:
+    """After one sweep of each part: kind 1, tables of its contexts; kind 2, tables of its heavy words;
+    kind 3, its root customers and root tables."""
+
+    def run(left: pa.Table, got: pa.Table) -> pa.Table:
+        own = _read(left, 0)
+        _, done = _one_sweep(own, got, start)
+        mine = np.bincount(own["word"], done["tables"], own["words"])
+        # The root tables of a heavy word count in each part by the share of its customers.
+        share = np.divide(mine, done["customers"], out=np.zeros(len(mine)), where=done["customers"] > 0)
+        root = np.array([mine.sum(), (done["root_tables"] * share).sum()])
+        tables = np.bincount(own["context"], done["tables"], len(own["names"]))
+        sent = _by_bucket(1, own, tables)
+        more = [
+            {"kind": 2, "part": own["part"], "names": own["heavy"].tobytes(), "a": mine[own["shared"]].astype(np.int64).tobytes()},
+            {"kind": 3, "part": own["part"], "a": root.tobytes()},
+        ]
+        return pa.concat_tables([pa.Table.from_batches([sent]), pa.Table.from_pylist(more, sent.schema)])
+
+    mine = packed.select("part", "words", *SEATED)
+    return mine.groupBy("part").cogroup(totals.groupBy("part")).applyInArrow(run, TOTALS)
+
+
+def _after_first(first: DataFrame, size: int) -> tuple[tuple[float, float], np.ndarray]:
+    """(root customers and tables, tables of the heavy words) after the first sweep."""
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, a in zip(batch.column(0), batch.column(1)):
+                at, own = np.frombuffer(names.as_buffer(), np.int32), np.frombuffer(a.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own), pa.array(own)], ["heavy", "a", "b"])
+
+    def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.array([np.frombuffer(a.as_buffer(), float) for a in batch.column(0)]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(own[:, 0]), pa.array(own[:, 1])], ["a", "b"])
+
+    got = first.filter("kind = 3").select("a").mapInArrow(root, "a double, b double").agg(F.sum("a"), F.sum("b")).first()
+    heavy_tables = _heavy_sums(first.filter("kind = 2").select("names", "a").mapInArrow(tables, HEAVY_ROWS), size)[:, 0]
+    return (got[0] or 0.0, got[1] or 0.0), heavy_tables
+
+
+def _all_sweeps(own: dict[str, np.ndarray], got: pa.Table, start: World, later: World, rounds: int) -> dict[str, np.ndarray]:
+    begin, once = _one_sweep(own, got, start)
+    after = later.totals(own, begin.customers, _got(got, 1, "a"), once["tables"])
+    return sweeps(own["word"], own["context"], own["count"], np.zeros(own["words"], np.int64), begin, own["part"], rounds, after)
+
+
+def _pair_values(own: dict[str, np.ndarray], done: dict[str, np.ndarray], n: int, v: int, heavy_count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known, base, log probability) of each of a part's pairs."""
+    total = np.bincount(own["word"], own["count"], own["words"])
+    total[own["shared"]] = heavy_count[own["heavy"]]
+    total = total[own["word"]]
+    return total > 0, np.log10((total + 0.5) / (n + 0.5 * (v + 1))), np.log10(done["pair_p"])
+
+
+SCORED = "row bigint, known bigint, base double, score double"
+
+
+def _score_parts(packed: DataFrame, totals: DataFrame, start: World, later: World, rounds: int, n: int, v: int, heavy_count: np.ndarray, parts: int) -> DataFrame:
+    """What the tokens of all parts add to each document."""
+
+    def run(left: pa.Table, got: pa.Table) -> pa.Table:
+        own = _read(left, 0)
+        values = _pair_values(own, _all_sweeps(own, got, start, later, rounds), n, v, heavy_count)
+        starts = np.r_[0, np.cumsum(own["sizes"])[:-1]]
+        each = [np.add.reduceat(x[own["pairs"]], starts, dtype=float) for x in values]
+        docs, back = np.unique(own["docs"], return_inverse=True)
+        known, own_base, own_score = (np.bincount(back, x, len(docs)) for x in each)
+        # Packed by bucket of documents: a part and a bucket exchange one row.
+        sums = (known.astype(np.uint32), own_base, own_score.astype(np.float32))
+        bucket = (mix(docs.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(parts + 1))
+        full = np.flatnonzero(np.diff(ends))
+        blobs = [[x[order[ends[b] : ends[b + 1]]].tobytes() for b in full] for x in (docs, *sums)]
+        return pa.table([pa.array(full.astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["bucket", "row", "known", "base", "score"])
 
     def add(table: pa.Table) -> pa.Table:
         docs, *sums = (
@@ -323,56 +492,58 @@ def _score_parts(packed: DataFrame, start: Totals, totals: Totals, rounds: int,
         known, base, score = (np.bincount(back, x, len(docs)) for x in sums)
         return pa.table({"row": docs, "known": known.astype(np.int64), "base": base, "score": score})
 
-    sent = packed.select("part", "word", "context", "count", "alone", "docs", "sizes", "pairs").mapInArrow(
-        run, "bucket int, row binary, known binary, base binary, score binary"
-    )
+    mine = packed.select("part", "words", *SEATED, "docs", "sizes", "pairs").groupBy("part")
+    sent = mine.cogroup(totals.groupBy("part")).applyInArrow(run, "bucket int, row binary, known binary, base binary, score binary")
     return sent.groupBy("bucket").applyInArrow(add, SCORED)
 
 
-# --- words that are contexts ------------------------------------------------------------------
+# --- heavy pairs ------------------------------------------------------------------------------
+
 
+def _heavy_at(found: np.ndarray, hot: Heavy) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of heavy pairs, places of their pairs)."""
+    if not len(hot.keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = places(pair_keys(found, contexts_of(found)), hot.keys)
+    own = np.flatnonzero(at < len(hot.keys))
+    return own, at[own]
 
-def _top_pairs(rows: DataFrame, top: np.ndarray) -> np.ndarray:
-    """Training counts of (word, context) with both among the contexts; the last context is none."""
-    known = rows.sparkSession.sparkContext.broadcast(top)
-    size = len(top) + 1
+
+def _heavy_pairs(rows: DataFrame, hot: Heavy) -> np.ndarray:
+    """Training counts of the heavy pairs."""
+    out = np.zeros(len(hot.keys), np.int64)
+    if not len(out):
+        return out
+    known = rows.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(len(known.value) * size, np.int64)
+        held = np.zeros(len(known.value.keys), np.int64)
         for batch in batches:
-            for _, found, starts in tokens(batch.column(0)):
-                at = places(found, known.value)
-                context = contexts_of(at, starts, len(known.value))
-                own = at < len(known.value)
-                held += np.bincount(at[own] * size + context[own], minlength=len(held))
+            for _, found, _ in tokens(batch.column(0)):
+                held += np.bincount(_heavy_at(found, known.value)[1], minlength=len(held))
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], ["code", "times"])
 
     counted = rows.filter("train").select("text").mapInArrow(run, "code bigint, times bigint")
-    # At most (contexts + 1) squared rows, whatever the size of the data.
-    got = counted.groupBy("code").agg(F.sum("times").alias("times")).toArrow()
-    out = np.zeros(len(top) * size, np.int64)
-    out[got.column("code").to_numpy()] = got.column("times").to_numpy()
-    return out.reshape(len(top), size)
+    for r in counted.groupBy("code").agg(F.sum("times").alias("times")).collect():
+        out[r["code"]] = r["times"]
+    return out
 
 
-def _score_top(rows: DataFrame, top: np.ndarray, log_p: np.ndarray, base: np.ndarray, known_word: np.ndarray) -> DataFrame:
-    """What the tokens that are contexts add to each document, and its number of tokens."""
-    sent = rows.sparkSession.sparkContext.broadcast((top, log_p.astype(np.float64), base, known_word))
+def _score_heavy(rows: DataFrame, hot: Heavy, values: tuple[np.ndarray, ...]) -> DataFrame:
+    """What the tokens of heavy pairs add to each document, and its number of tokens."""
+    sent = rows.sparkSession.sparkContext.broadcast((hot, values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            top, log_p, base, known_word = sent.value
+            hot, values = sent.value
             for first, found, starts in tokens(batch.column(1)):
-                at = places(found, top)
-                context = contexts_of(at, starts, len(top))
-                own = at < len(top)
-                word = np.minimum(at, len(top) - 1)
-                each = [np.where(own, x, 0) for x in (known_word[word], base[word], log_p[word, context])]
-                sums = [np.add.reduceat(x, starts[:-1]) for x in each]
+                own, at = _heavy_at(found, hot)
+                doc = np.searchsorted(starts, own, "right") - 1
+                sums = [np.bincount(doc, x[at], len(starts) - 1) for x in values]
                 docs = batch.column(0).slice(first, len(starts) - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [docs, pa.array(np.diff(starts)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
+                    [docs, pa.array(np.diff(starts)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(float)), pa.array(sums[2].astype(float))],
                     ["row", "tokens", "known", "base", "score"],
                 )
 
@@ -383,53 +554,46 @@ def _score_top(rows: DataFrame, top: np.ndarray, log_p: np.ndarray, base: np.nda
 
 
 def score(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contexts: int = CONTEXTS, part: int = PART, rounds: int = SWEEPS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contexts: int | None = None, part: int = PART, rounds: int = SWEEPS
 ) -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
+
+    contexts: into how many buckets the context restaurants are dealt for their totals; as many as there
+    are parts, if not given. part: about how many tokens a part has. Neither bounds the model.
+    """
+    spark = docs.sparkSession
     text = F.coalesce(text_col, F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text).alias("row"), (~is_held_out(id_col)).alias("train"), text.alias("text"))
-    top = frequent_words(keyed, contexts)
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = 1 + size // 12 // part  # about every second token is no context, at six bytes a token
-    packed = staged(_send(keyed, top, parts).groupBy("part").applyInArrow(_pack(len(top)), PACKED))
-    pairs = _top_pairs(keyed, top)
-    k = len(top)
-    top_total = pairs.sum(1)
-    customers = pairs[:, :k].sum(0)
-    sums = packed.agg(F.sum("n"), F.sum("v")).first()
-    n, v = int((sums[0] or 0) + top_total.sum()), int((sums[1] or 0) + (top_total > 0).sum())
-    # Context restaurants also hold the words that are no contexts; the pairs of both are counted.
-    bound = packed.select("part", "context", "count")
-
-    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                own = _read(batch, r)
-                got = np.bincount(own["context"], own["count"], k + 1)[:k].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([got.tolist()], pa.list_(pa.int64()))], ["tables"])
-
-    customers = customers + _sum_tables(bound.mapInArrow(held, "tables array<bigint>"), k)
-    word, context = np.nonzero(pairs[:, :k])
-    count, alone = pairs[word, context], pairs[:, k]
-    first_tables = _sum_tables(packed, k) + np.bincount(context, minlength=k)
+    parts = 1 + size // 6 // part  # at six bytes a token
+    buckets = contexts or parts
+    hot = heavy(keyed, size // 6, parts)
+    packed = staged(_send(keyed, hot, parts).groupBy("part").applyInArrow(_pack(hot, buckets), PACKED))
+    every, top = packed, None
+    if len(hot.keys):
+        top = _contents(-1, hot.word, hot.context, hot, buckets, _heavy_pairs(keyed, hot))
+        every = packed.unionByName(spark.createDataFrame([top], packed.schema))
+    sums = every.agg(F.sum("n"), F.sum("v"), F.sum("seen")).first()
+    heavy_count, heavy_tables = _heavy_sums(_heavy_start(every), len(hot.words)).T
+    n, v = int(sums[0] or 0), int((sums[1] or 0) + (heavy_count > 0).sum())
+    totals = staged(_summed(_start_sent(every)))
     # One table for each pair, and for each word in the root.
-    free = n - float(customers.sum())
-    start = Totals(customers, first_tables, free + float(first_tables.sum()), v, v)
-    first = staged(_first_sweep(packed, start))
-    here = sweeps(word, context, count, alone, start, -1, 1)
-    tables = _sum_tables(first, k) + np.bincount(context, here["tables"], k)
-    got = first.agg(F.sum("customers"), F.sum("root_tables")).first()
-    totals = Totals(customers, tables, (got[0] or 0) + here["customers"].sum(), (got[1] or 0) + here["root_tables"].sum(), v)
-    done = sweeps(word, context, count, alone, start, -1, rounds, totals)
-    # Probabilities of all pairs of contexts, seen or not.
-    root = done["word_p"]
-    p = np.empty((k, k + 1))
-    p[:, k] = root
-    p[:, :k] = (STRENGTH + DISCOUNT * totals.tables)[None, :] * root[:, None] / (STRENGTH + totals.customers)[None, :]
-    p[word, context] = done["pair_p"]
-    base = np.log10((top_total + 0.5) / (n + 0.5 * (v + 1)))
-    near = _score_top(keyed, top, np.log10(p), base, (top_total > 0).astype(np.int64))
-    far = _score_parts(packed, start, totals, rounds, n, v, parts)
+    start = World(v, (float(sums[2] or 0), float(v)), heavy_tables)
+    first = staged(_first_sweep(every, totals, start))
+    root, tables = _after_first(first, len(hot.words))
+    later = World(v, root, tables)
+    both = totals.unionByName(_summed(first.filter("kind = 1")))
+    values = (np.zeros(0),) * 3
+    if top:
+        both = staged(both)
+        own = _read(pa.Table.from_pylist([top], PACKED_TYPES), 0)
+        got = both.filter("part = -1").toArrow()  # totals of the contexts of heavy pairs
+        at = _pair_values(own, _all_sweeps(own, got, start, later, rounds), n, v, heavy_count)
+        found, names = np.unique(hot.word), own["names"]
+        keys = pair_keys(found[own["word"]], names[own["context"]])
+        values = tuple(x[np.argsort(keys)].astype(float) for x in at)
+    near = _score_heavy(keyed, hot, values)
+    far = _score_parts(packed, both.filter("part >= 0"), start, later, rounds, n, v, heavy_count, parts)
     own = near.groupBy("row").agg(
         F.count("*").alias("copies"), F.max("tokens").alias("tokens"), F.max("known").alias("known"), F.max("base").alias("base"), F.max("score").alias("score")
     )
