@@ -241,6 +241,16 @@ def test_keep_one(spark):
     assert kept == rows_of(spark.createDataFrame([(1,), (3,), (4,), (None,), (5,)], "doc_id long"))
 
 
+def test_keep_one_decides_by_row(spark):
+    words, clean = "a b c d e f", "other words stand here alone"
+    rows = [(1, words), (2, words), (2, clean)] + [(3, "p q r s t u v")] * 5 + [(4, ""), (4, ""), (5, words)]
+    kept = rows_of(jaccard.keep_one(spark.createDataFrame(rows, TEXTS)))
+    assert kept == sorted([(1, words), (2, clean), (3, "p q r s t u v"), (4, ""), (4, "")], key=repr)
+    # Two classes with one least id keep a row each.
+    rows = [(1, words), (1, clean), (2, words), (3, clean)]
+    assert rows_of(jaccard.keep_one(spark.createDataFrame(rows, TEXTS))) == sorted(rows[:2], key=repr)
+
+
 def test_link_region_needs_triangle_bound():
     rng = np.random.default_rng(5)
     base = np.arange(100, dtype=np.uint64)

@@ -88,18 +88,18 @@ def _batch(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.Record
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, node, n) of every row; no node for texts without words."""
-    kinds = {"id": pa.int64(), "node": pa.int64(), "n": pa.int64()}
+    """(id, node, n, hash of the text) of every row; no node for texts without words."""
+    kinds = {"id": pa.int64(), "node": pa.int64(), "n": pa.int64(), "h": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, n = [None] * batch.num_rows, [0] * batch.num_rows
             for r, own, key in text_sets(batch.column(1)):
                 node[r], n[r] = key, len(own)
-            yield _batch({"id": batch.column(0).to_pylist(), "node": node, "n": n}, kinds)
+            yield _batch({"id": batch.column(0).to_pylist(), "node": node, "n": n, "h": batch.column(2).to_pylist()}, kinds)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, node bigint, n bigint")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    return rows.mapInArrow(run, "id bigint, node bigint, n bigint, h bigint")
 
 
 # --- 2: singleton pivots ----------------------------------------------------------------------
@@ -480,6 +480,14 @@ def join(
     part: int = PART,
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
+    known, by_node = _classes(docs, id_col, text_col, small, region, part)
+    out = known.join(by_node.drop("root"), "node", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, small: int = SMALL, region: int = REGION, part: int = PART) -> tuple[DataFrame, DataFrame]:
+    """(id, node, n, h) of every row, and (node, root, component_id): the root names the class of a node."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = staged(sets_of(docs, "id", "text"))
@@ -507,10 +515,7 @@ def join(
         "node", "id", F.coalesce("root", "node").alias("root")
     )
     least = staged(roots.groupBy("root").agg(F.min("id").alias("component_id")))
-    by_node = staged(roots.join(least, "root").select("node", "component_id"))
-    out = known.join(by_node, "node", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return known, staged(roots.join(least, "root").select("node", "root", "component_id"))
 
 
 def _sets_of_nodes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -531,7 +536,29 @@ def _sets_of_nodes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **bounds) -> DataFrame:
-    """One row of each class, that with the least id; rows without a class stay. All columns are kept."""
-    mark = "_class_least"
-    least = join(docs, id_col, text_col, **bounds).filter(f"`{id_col}` <> component_id").select(F.col(id_col).alias(mark)).distinct()
-    return docs.join(least, docs[id_col] == least[mark], "left_anti")
+    """Exactly one row of each class, that with the least id, then the least hash of its text.
+
+    Rows without a class stay: those without words, and those with a null id. All columns are kept. Of
+    rows with one id and text, the one with the least hash of its columns stays.
+    """
+    known, by_node = _classes(docs, id_col, text_col, **bounds)
+    rows = known.filter("node is not null and id is not null")
+    best = rows.groupBy("node").agg(F.min(F.struct("id", "h")).alias("best")).join(by_node, "node")
+    best = best.groupBy("root").agg(F.min("best").alias("best")).select("best.id", "best.h", F.lit(True).alias("stays"))
+    marked = rows.groupBy("id", "h").agg(F.count("*").alias("copies")).join(best, ["id", "h"], "left")
+    # Only rows that go, and those that repeat the one that stays.
+    marked = staged(marked.filter("stays is null or copies > 1").select(F.col("id").alias("_class_id"), F.col("h").alias("_class_h"), "stays"))
+
+    def same(marks: DataFrame):
+        return (docs[id_col].cast("long") == marks["_class_id"]) & (F.xxhash64(docs[text_col]) == marks["_class_h"])
+
+    gone = marked.select("_class_id", "_class_h")
+    single = docs.join(gone, same(gone), "left_anti")
+    repeated = marked.filter("stays").select("_class_id", "_class_h")
+    if repeated.isEmpty():
+        return single
+    copies = docs.join(repeated, same(repeated), "left_semi")
+    hashed = [docs[f.name] for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    order = Window.partitionBy(docs[id_col].cast("long"), F.xxhash64(docs[text_col])).orderBy(F.xxhash64(*hashed))
+    one = copies.withColumn("_class_copy", F.row_number().over(order)).filter("_class_copy = 1")  # a task sends one row of a group
+    return single.unionByName(one.drop("_class_copy"))
