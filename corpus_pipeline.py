@@ -4,9 +4,10 @@
 2. near duplicates: of each class of linked documents the one with the least id stays.
 3. benchmark: documents that hold a benchmark window go.
 4. secrets: spans of secrets are masked in the texts, and n_chars follows.
-5. byte-level BPE: token ids of every document.
+5. byte-level BPE: token ids of every document, and the digest of the text they decode to.
 
-Every stage gives all columns of ``documents`` but the last, which gives ids and tokens. A session with
+Every stage gives all columns of ``documents`` but the last, which gives ids, tokens and
+digests. A session with
 stages written between them reads each stage's own Parquet; ``run`` stages through the shared folder.
 """
 
@@ -45,7 +46,15 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(docs, path, keep=["lang", "source"])
-    return encoded.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
+    decoded = bpe.decode(encoded, path, keep=("lang", "source"))
+    return decoded.select(
+        "doc_id",
+        "lang",
+        "source",
+        "token_ids",
+        (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 STAGES = [

@@ -501,3 +501,13 @@ def test_pipeline_stages(spark):
     masked = corpus_pipeline.no_secrets(spark, clean, SMALL)
     assert masked.columns == names and not any(plain_secrets(r["text"]) for r in masked.collect())
     assert QUERIES["pipeline"](spark, SMALL).count() == clean.count()
+
+
+def test_pipeline_decodes_its_tokens(spark):
+    import corpus_pipeline
+
+    rows = [(1, "É été 日本 😀 <s>"), (2, ""), (3, None), (None, "a b"), (1, "again")]
+    docs = spark.createDataFrame(rows, TEXTS).withColumns({"lang": F.lit("en"), "source": F.lit("x")})
+    out = corpus_pipeline.tokenised(spark, docs, SMALL)
+    want = [(d, hashlib.sha256((t or "").encode()).hexdigest()) for d, t in rows]
+    assert rows_of(out.select("doc_id", "decoded_sha256")) == sorted(want, key=repr)

@@ -150,16 +150,16 @@ def encode(
     return rows.mapInArrow(run, out)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str | None = None, id_col: str = "doc_id") -> DataFrame:
-    """(id, token_ids, decoded binary): the bytes of the pieces, joined."""
+def decode(encoded: DataFrame, path: str, pattern: str | None = None, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, token_ids, kept columns, decoded binary): the bytes of the pieces, joined."""
     pattern = pattern or default_pattern()
-    rows = encoded.select(id_col, "token_ids")
+    rows = encoded.select(id_col, "token_ids", *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
             texts = pa.array([own.decode(t.as_py() or b"") for t in batch.column(1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [id_col, "token_ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [id_col, "token_ids", *keep, "decoded"])
 
     return rows.mapInArrow(run, plus(rows.schema, decoded="binary"))
 
