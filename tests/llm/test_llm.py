@@ -99,6 +99,17 @@ def test_secrets_masked(spark):
     assert out[2]["text"] is None and out[3]["text"] == "clean" and out[3]["row"] == "x"
 
 
+def test_private_keys_are_masked_whole(spark):
+    head, body, end = "-----BEGIN RSA PRIVATE KEY-----", "Zm9v/+Ab" * 8 + "\nQUJD/+==", "-----END RSA PRIVATE KEY-----"
+    one = f"{head}\n{body}\n{end}"
+    rows = [(1, f"a {one} b {one} c"), (2, f"a {head}\nProc-Type: 4,ENCRYPTED\n\n{body}\n{end} b"), (3, f"a {head}\n{body}\n- b"), (4, f"a {head} b"), (5, f"{head}\n" + "QUJD\n" * 50_000)]
+    frame = spark.createDataFrame(rows, TEXTS)
+    out = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(frame).collect()}
+    assert out == {1: "a [secret] b [secret] c", 2: "a [secret] b", 3: "a [secret]- b", 4: "a [secret] b", 5: "[secret]"}
+    for r in secrets.find_secrets(frame).collect():
+        assert [(x["start"], x["ord"], x["end"], x["kind"]) for x in r["spans"]] == plain_secrets(r["text"])
+
+
 def test_secrets_without_trigrams_and_empty(spark):
     only = (secrets.RULES[2],)
     assert secrets.find_secrets(spark.createDataFrame([(1, "f" * 24)], TEXTS), only).first()["spans"]

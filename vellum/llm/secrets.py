@@ -50,7 +50,13 @@ RULES = (
     Rule("access", "AKIA[A-Z0-9]{16,}"),
     Rule("hex", "[0-9a-f]{24,}"),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", base=False),
-    Rule("private_key", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", base=False),
+    # To the matching END line; without one, over what follows of base64 and line ends. Classes only: a
+    # repeated group would take stack for each line of a long text.
+    Rule(
+        "private_key",
+        "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=,:.\\x5c\\x20\\t\\r\\n-]*?-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:\\x5c[rn]|[\\r\\n])[A-Za-z0-9+/=\\x5c\\r\\n]*)?",
+        base=False,
+    ),
 )
 
 
