@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DataType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DataType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from vellum.session import shared_folder
 
@@ -45,4 +45,5 @@ def plus(schema: StructType, **fields: str) -> StructType:
 
 
 def _of_name(name: str) -> DataType:
-    return {"int": IntegerType(), "long": LongType(), "double": DoubleType(), "binary": BinaryType()}[name]
+    kinds = {"int": IntegerType, "long": LongType, "double": DoubleType, "binary": BinaryType, "string": StringType, "boolean": BooleanType}
+    return kinds[name]()

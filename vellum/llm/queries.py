@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vellum.llm import bpe, chat, decontaminate, jaccard, lm, quality, repeats, secrets, shards, topk
+from vellum.llm import bpe, chat, decontaminate, jaccard, language, lm, quality, repeats, secrets, shards, topk
 from vellum.llm.common import Query, sql_text, table
 
 QUERIES: dict[str, Query] = {}
@@ -203,6 +203,14 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "depth", "shard")
 
 
+# --- 11: language ----------------------------------------------------------------------------
+
+
+@query()
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 # --- the pipeline ----------------------------------------------------------------------------
 
 
