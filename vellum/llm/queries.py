@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vellum.llm import bpe, chat, decontaminate, jaccard, language, lm, quality, repeats, secrets, shards, topk
+from vellum.llm import bpe, chat, decontaminate, jaccard, language, lm, quality, ranked, repair, repeats, secrets, shards, topk
 from vellum.llm.common import Query, sql_text, table
 
 QUERIES: dict[str, Query] = {}
@@ -211,6 +211,95 @@ def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+# --- 12: ranked search -----------------------------------------------------------------------
+
+
+def _ranked_sql() -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = sql_text(ranked.WORD)
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({low}, {word}) AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({low}, {word})) AS term FROM benchmark),
+size AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS words FROM d WHERE len(w) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+t AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM p, size GROUP BY term, docs),
+x AS (SELECT r, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(w) * docs) // words))) AS x
+  FROM p JOIN t USING (term) JOIN d USING (r), size),
+s AS (SELECT item_id, r, sum(x)::BIGINT AS score FROM q JOIN x USING (term) GROUP BY ALL HAVING sum(x) > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+  FROM s JOIN d USING (r)) WHERE rank <= {ranked.K}"""
+
+
+@query(_ranked_sql())
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# --- 13: conversation repair -----------------------------------------------------------------
+
+
+def _repair_sql() -> str:
+    """The states 0 to 3 (start, s, u, a) with the best (cost, audit) each, row by row."""
+    crc = (
+        "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT)),"
+        " lambda h, b: list_reduce(list_prepend(xor(h, b), [0::BIGINT,0,0,0,0,0,0,0]),"
+        " lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT)"
+    )
+    space = repair.SPACE
+    moves = (
+        "(SELECT * FROM (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) v(s, t, r))"
+    )
+    opened = f"""(SELECT s, s AS t, 0 AS k, []::VARCHAR[] AS o FROM {moves}
+      UNION ALL SELECT s, t, 1, [r || ':'] FROM {moves}
+      UNION ALL SELECT a.s, b.t, 2, [a.r || ':', b.r || ':'] FROM {moves} a JOIN {moves} b ON b.s = a.t)"""
+    return f"""
+WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kinds AS (SELECT *, {crc} % 20 AS kind FROM raw),
+damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+flags AS (SELECT *, NOT regexp_matches(text, '[^{space}]') AS blank,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][{space}]*$') AS cut, substr(role, 1, 1) AS f,
+  lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS e FROM placed),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+  count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+  count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated,
+  count(*) FILTER (e IS NOT NULL AND e || f NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM flags GROUP BY conv_id),
+best AS (SELECT conv_id, 0::BIGINT AS i, 0 AS s, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS o FROM counted
+  UNION ALL
+  SELECT conv_id, i, s, cost, audit, o FROM (
+    SELECT b.conv_id, r.i, x.s, b.cost + 3 * p.k + x.cost AS cost, b.audit || repeat('I', p.k::BIGINT) || x.a AS audit,
+      b.o || p.o || x.o AS o,
+      row_number() OVER (PARTITION BY b.conv_id, x.s ORDER BY b.cost + 3 * p.k + x.cost, b.audit || repeat('I', p.k::BIGINT) || x.a) AS z
+    FROM best b JOIN flags r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1 JOIN {opened} p ON p.s = b.s,
+    LATERAL (SELECT unnest([{{'s': p.t, 'cost': 4, 'a': 'D', 'o': []::VARCHAR[]}},
+      {{'s': CASE p.t WHEN 2 THEN 3 ELSE 2 END, 'cost': CASE WHEN r.cut THEN 6 ELSE 3 END, 'a': 'R',
+        'o': [CASE p.t WHEN 2 THEN 'assistant:' ELSE 'user:' END || r.text]}},
+      {{'s': CASE r.f WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, 'cost': CASE WHEN r.cut THEN 3 ELSE 0 END, 'a': 'K',
+        'o': [r.role || ':' || r.text]}}], recursive := true)) x
+    WHERE x.a = 'D' OR NOT (r.blank OR r.again) AND (x.a = 'R' OR (r.f = 's' AND p.t = 0)
+      OR (r.f = 'u' AND p.t <> 2) OR (r.f = 'a' AND p.t = 2))) WHERE z = 1),
+done AS (SELECT b.conv_id, b.cost + 3 * p.k AS cost, b.audit || repeat('I', p.k::BIGINT) AS audit, b.o || p.o AS o
+  FROM best b JOIN counted c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND c.n = b.i JOIN {opened} p ON p.s = b.s WHERE p.t IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + 3 * p.k, b.audit || repeat('I', p.k::BIGINT)) = 1),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(o, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
+@query(_repair_sql())
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.digest(rows, repair.Repair(repair.damage(rows)))
+
+
 # --- the pipeline ----------------------------------------------------------------------------
 
 

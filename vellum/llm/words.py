@@ -66,10 +66,10 @@ def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, np.ndarra
         first = last
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, where the words of each row start)."""
+def word_places(data: np.ndarray, at: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, ...]:
+    """(hash, first byte and length of each word, where the words of each row start, lower-cased bytes)."""
     low = _LOWER[data]
-    word = ~_SPACE[low]
+    word = ~blank[low]
     start = word.copy()
     start[1:] &= ~word[:-1]
     row_starts = at[:-1][at[:-1] < len(data)]
@@ -77,14 +77,21 @@ def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first = np.flatnonzero(start)
     bounds = np.searchsorted(first, at)
     if not len(first):
-        return np.zeros(0, np.uint64), bounds
+        return np.zeros(0, np.uint64), first, first, bounds, low
     place = np.zeros(len(data), np.int32)
     place[first] = first
     place = np.arange(len(data), dtype=np.int32) - np.maximum.accumulate(place)
     place[~word] = 0
     value = (low + np.uint64(1)) * _POWERS.up_to(int(place.max()) + 1)[place]
     value[~word] = 0
-    return mix(np.add.reduceat(value, first)), bounds
+    length = np.add.reduceat(word, first, dtype=np.int64)
+    return mix(np.add.reduceat(value, first)), first, length, bounds, low
+
+
+def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, where the words of each row start)."""
+    hashes, _, _, bounds, _ = word_places(data, at)
+    return hashes, bounds
 
 
 def shingle_hashes(hashes: np.ndarray, bounds: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
