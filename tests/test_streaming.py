@@ -1,8 +1,13 @@
 """Streams over small files against their batch rules."""
 
 import datetime as dt
+import itertools
 import json
 import os
+import random
+
+import pandas as pd
+import pytest
 
 from vellum.operators.sequences import snapshot_convergence
 from vellum.sources.snapshots import latest_version, read_snapshot, write_snapshot
@@ -13,6 +18,11 @@ T0 = dt.datetime(2026, 1, 1, 0, 0, 0)
 SCHEMA = "request_id string, arrival_ts timestamp, arrival_s long, raw_timestamp string, body string, ord long"
 
 
+@pytest.fixture
+def rocks(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def request(ord_, rid, at, sent=None, body="b"):
     when = T0 + dt.timedelta(seconds=at)
     epoch = int(when.replace(tzinfo=dt.timezone.utc).timestamp())
@@ -55,7 +65,53 @@ def test_sight_chain_counts_from_the_last_accepted(spark):
     assert sorted(r["arrival_s"] for r in R.accepted_sights(df, 300).collect()) == [0, 400, 701]
 
 
-def test_replay_stream_equals_batch(spark, tmp_path):
+def test_one_id_with_a_million_seconds(spark):
+    """No array and no window holds an id: its seconds lie in spans, and links are followed in rows."""
+    rng = random.Random(4)
+    gaps = [rng.choice((1, 1, 2, 3)) if i % 1000 else rng.randint(290, 700) for i in range(1_000_000)]
+    frame = pd.DataFrame({"arrival_s": list(itertools.accumulate(gaps))})
+    frame["ord"], frame["request_id"] = frame.index, "hot"
+    want, last = [], None
+    for t in frame["arrival_s"].tolist():
+        if last is None or t - last > 300:
+            want.append(t)
+            last = t
+    got = R.accepted_sights(spark.createDataFrame(frame).repartition(8), 300)
+    assert sorted(r["arrival_s"] for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("ttl", [1, 3, 10])
+def test_sights_equal_a_plain_fold(spark, ttl):
+    rng = random.Random(ttl)
+    rows = [(f"r{i % 7}", rng.randint(-60, 60), i) for i in range(300)]
+    want = set()
+    for rid in {r[0] for r in rows}:
+        last = None
+        for t, o in sorted((t, o) for r, t, o in rows if r == rid):
+            if last is None or t - last > ttl:
+                want.add((rid, t, o))
+                last = t
+    got = R.accepted_sights(spark.createDataFrame(rows, "request_id string, arrival_s long, ord long"), ttl)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert R.accepted_sights(got.limit(0), ttl).count() == 0
+
+
+@pytest.mark.parametrize("cuts", [1, 4, 11])
+def test_replay_stream_equals_audit_for_any_cut(spark, tmp_path, rocks, cuts):
+    rng = random.Random(9)
+    at, rows = 0, []
+    for i in range(80):
+        at += rng.choice((0, 1, 5, 40, 200))
+        rows.append(request(i, f"r{rng.randint(0, 4)}", at, rng.choice((0, 0, 0, 400))))
+    edges = sorted(rng.sample(range(1, 80), cuts - 1))
+    folder = files(tmp_path, "cut", [rows[a:b] for a, b in zip([0, *edges], [*edges, 80])])
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(folder)
+    got = {r["ord"] for r in drain(R.audit_stream(stream, 300, 30, 40), tmp_path, f"cut_{cuts}").select("ord").collect()}
+    audit = R.request_audit(spark.read.schema(SCHEMA).json(folder), 300, 30, 40)
+    assert got == {r["ord"] for r in audit.filter("code = ''").collect()}
+
+
+def test_replay_stream_equals_batch(spark, tmp_path, rocks):
     # two other requests move the watermark past the expiry of "a" before it is sent again
     between = [[request(11, "d", 1500)], [request(12, "e", 1900)]]
     folder = files(tmp_path, "req", [REQUESTS[:4], REQUESTS[4:9], *between, [REQUESTS[9]]])

@@ -20,6 +20,7 @@ from vellum.plans.adapters import (
 from vellum.plans.registry import query
 from vellum.sources.files import event_log_rows, project_to_schema
 from vellum.streaming.requests import accepted_sights, static_code
+from vellum.streaming.requests import daily_once as once_a_day
 from vellum.streaming.requests import request_audit as audit
 
 WITH = f"WITH {SQL_REGISTER}"
@@ -616,5 +617,6 @@ def replay_filter(spark, folder):
 
 @query("""SELECT DISTINCT 'T-' || user_id AS task_id, strftime(ts, '%Y-%m-%d') AS sent_date FROM events""")
 def daily_once(spark, folder):
-    rows = table(spark, folder, "events")
-    return rows.select(F.concat(F.lit("T-"), F.col("user_id").cast("string")).alias("task_id"), F.date_format("ts", "yyyy-MM-dd").alias("sent_date")).distinct()
+    alerts = table(spark, folder, "events").select(F.concat(F.lit("T-"), F.col("user_id").cast("string")).alias("task_id"), "ts")
+    sent = once_a_day(alerts, "ts", spark.conf.get("spark.sql.session.timeZone"))
+    return sent.select("task_id", F.date_format("sent_date", "yyyy-MM-dd").alias("sent_date"))
