@@ -102,8 +102,8 @@ def test_bounds_hold_and_skip():
     term, tf = np.array([x[0] for x in flat]), np.array([x[1] for x in flat])
     stats = ranked.Statistics(len(docs), sum(n for _, n in held), np.full(len(terms), 1000))
     x = ranked.saturated(tf, np.repeat([n for _, n in held], np.diff(start)), stats)
-    cell = ranked.build_cell(start, term, x, vocab)
     weights = np.array([3000 if t.startswith("t") else 100 for t in terms])
+    cell = ranked.build_cell(start, term, x, vocab, weights, np.zeros(1, np.int64))
     scores = np.zeros(len(docs), np.int64)
     np.add.at(scores, np.repeat(np.arange(len(docs)), np.diff(start)), weights[term] * x)
     own = ranked.Searcher(cell, weights)
@@ -113,6 +113,8 @@ def test_bounds_hold_and_skip():
         members = cell.block_docs[cell.block_start[b] : cell.block_start[b + 1]]
         assert scores[members].max() <= most
     floor = int(np.sort(scores)[-20])
-    docs_found, found = own.best(vocab.item_terms[0], floor, None, 20)
+    own = ranked.Searcher(ranked.build_cell(start, term, x, vocab, weights, np.array([floor])), weights)
+    assert len(own.c.block_start) < len(cell.block_start)
+    docs_found, found = own.best(vocab.item_terms[0], floor, 20)
     assert sorted(docs_found) == np.flatnonzero(scores >= floor).tolist() and (found == scores[docs_found]).all()
     assert own.scored < 0.5 * np.count_nonzero(scores)

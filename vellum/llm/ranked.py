@@ -8,9 +8,10 @@ The inner product of an item with that summary is an upper bound for every docum
 block is skipped only if its bound lies under a score that ``k`` documents are known to reach; a list is
 skipped if all lists up to it together stay under that score.
 
-Search reads the index twice. The first pass opens the blocks with the largest bounds and gives every
-item the score of its k-th best document so far; the second opens all blocks that can reach that floor, which
-rises further inside a task. A task sends at most ``k`` rows per item.
+A first pass scores, in every cell, the documents of an item's rarest terms and gives every item the score of its
+k-th best document so far, its floor. The lists that an item may need to reach its floor are then cut into blocks and
+written as the index, and the search opens all blocks whose bounds reach the floor, which rises further inside a
+task. A task sends at most ``k`` rows per item.
 
 Items are searched in blocks of about ``TERMS`` (item, term) pairs, the most that the driver holds and
 broadcasts at once; an item with more terms makes a block by itself. Only terms of the block's items are indexed, since no others
@@ -48,8 +49,6 @@ TERMS = 8192
 CELL, CELL_VALUES = 2048, 16_777_216
 #: Documents per block in short lists; long lists have about 2/3 of a root of their length as blocks.
 BLOCK = 16
-#: Blocks that the first pass opens per item and cell.
-OPENED = 4
 PROJECTED = 32
 _BLANK = np.ones(256, bool)
 _BLANK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -68,7 +67,6 @@ class Vocabulary:
     hashes: np.ndarray = field(init=False)
     by_hash: np.ndarray = field(init=False)
     lengths: np.ndarray = field(init=False)
-    items_of: list[list[int]] = field(init=False)
 
     def __post_init__(self):
         data = np.frombuffer(b"".join(self.terms), np.uint8)
@@ -77,14 +75,6 @@ class Vocabulary:
         hashes = word_places(data, at, np.zeros(256, bool))[0]
         self.by_hash = np.argsort(hashes, kind="stable")
         self.hashes = hashes[self.by_hash]
-        self.items_of = [[] for _ in self.terms]
-        for n, terms in enumerate(self.item_terms):
-            for t in terms:
-                self.items_of[t].append(n)
-
-    def together(self, term: int) -> np.ndarray:
-        """All terms that share an item with a term, itself included."""
-        return np.unique(np.concatenate([self.item_terms[n] for n in self.items_of[term]]))
 
     def find(self, hashes: np.ndarray, first: np.ndarray, length: np.ndarray, low: np.ndarray) -> np.ndarray:
         """The term of each word, or -1. Terms of equal hash are all tried."""
@@ -190,7 +180,7 @@ def cells(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
                     step = min(most - sum(len(x[0]) for x in held), len(holders) - done)
                     part = slice(start[done], start[done + step])
                     ids = batch.column(0).take(pa.array(holders[done : done + step] + row))
-                    held.append((ids, count[done : done + step], term[part].astype(np.int32), tf[part], n[holders[done : done + step]]))
+                    held.append((ids, count[done : done + step], term[part].astype(np.int32), tf[part].astype(np.int32), n[holders[done : done + step]]))
                     done += step
                     if sum(len(x[0]) for x in held) >= most:
                         yield cell()
@@ -235,6 +225,7 @@ class Cell:
 
     ``start``, ``terms``, ``x``: vectors; ``lists``: first block of each term; ``block_start``,
     ``block_docs``: documents of each block; ``keys``, ``tops``: summaries as (block * terms + coordinate, maximum).
+    Stored keys are the steps from one to the next.
     """
 
     start: np.ndarray
@@ -246,6 +237,15 @@ class Cell:
     keys: np.ndarray
     tops: np.ndarray
 
+    def packed(self) -> tuple[bytes, int]:
+        steps = np.diff(self.keys, prepend=0).astype(np.uint32)
+        return _pickled(self.start, self.terms, self.x, self.lists, self.block_start, self.block_docs, steps, self.tops)
+
+    @classmethod
+    def unpacked(cls, blob: bytes, size: int) -> Cell:
+        *most, steps, tops = _opened(blob, size)
+        return cls(*most, np.cumsum(steps, dtype=np.int64), tops)
+
 
 def saturated(tf: np.ndarray, n: np.ndarray, stats: Statistics) -> np.ndarray:
     """A term's count after saturation and length; a score is the sum of weight times this."""
@@ -253,8 +253,21 @@ def saturated(tf: np.ndarray, n: np.ndarray, stats: Statistics) -> np.ndarray:
     return (1_000_000_000 * tf) // (1000 * tf + 20 * m)
 
 
-def build_cell(start: np.ndarray, terms: np.ndarray, x: np.ndarray, vocab: Vocabulary) -> Cell:
-    """Cut every posting list into blocks of similar documents and take their maxima."""
+def most_per_term(terms: np.ndarray, x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The most that each term gives to a document of a cell."""
+    most = np.zeros(len(weights), np.int64)
+    np.maximum.at(most, terms, x)
+    return most * weights
+
+
+def needed_terms(own: np.ndarray, most: np.ndarray, floor: int) -> np.ndarray:
+    """The item's terms without which no document of a cell reaches the floor."""
+    order = np.argsort(most[own], kind="stable")
+    return own[order][np.cumsum(most[own][order]) >= max(floor, 1)]
+
+
+def build_cell(start: np.ndarray, terms: np.ndarray, x: np.ndarray, vocab: Vocabulary, weights: np.ndarray, floors: np.ndarray) -> Cell:
+    """Cut the posting lists that some item needs into blocks of similar documents and take their maxima."""
     n, v = len(start) - 1, len(vocab.terms)
     owner = np.repeat(np.arange(n), np.diff(start))
     directions = np.random.default_rng(0).standard_normal((v, PROJECTED)).astype(np.float32)
@@ -263,10 +276,15 @@ def build_cell(start: np.ndarray, terms: np.ndarray, x: np.ndarray, vocab: Vocab
     low = values.astype(np.float32) @ directions
     low /= np.maximum(np.linalg.norm(low, axis=1, keepdims=True), 1e-9)
     by_term = np.argsort(terms, kind="stable")
-    list_start = np.searchsorted(terms[by_term], np.arange(v + 1))
+    in_order, list_start = owner[by_term], np.searchsorted(terms[by_term], np.arange(v + 1))
+    most = most_per_term(terms, x, weights)
+    needing: dict[int, list[np.ndarray]] = {}
+    for own, floor in zip(vocab.item_terms, floors.tolist()):
+        for t in needed_terms(own, most, floor).tolist():
+            needing.setdefault(t, []).append(own)
     lists, block_start, block_docs, keys, tops = np.zeros(v + 1, np.int64), [0], [], [], []
     for t in range(v):
-        own = owner[by_term[list_start[t] : list_start[t + 1]]]
+        own = in_order[list_start[t] : list_start[t + 1]] if t in needing else ()
         size = len(own)
         if size:
             count = max(1, min(-(-size // BLOCK), int(size**0.5 / 1.5)))
@@ -278,7 +296,7 @@ def build_cell(start: np.ndarray, terms: np.ndarray, x: np.ndarray, vocab: Vocab
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
             else:
                 cut = np.zeros(1, np.int64)
-            with_t = vocab.together(t)
+            with_t = np.unique(np.concatenate(needing[t]))
             top = np.maximum.reduceat(values[np.ix_(own, with_t)], cut, axis=0)
             at, coordinate = np.nonzero(top)
             keys.append((at + len(block_start) - 1) * v + with_t[coordinate])
@@ -293,18 +311,22 @@ def build_cell(start: np.ndarray, terms: np.ndarray, x: np.ndarray, vocab: Vocab
     )
 
 
-def index(found: DataFrame, vocab: Vocabulary, stats: Statistics) -> DataFrame:
-    """(ids, data, size): every cell with its blocks and summaries."""
+def _vectors(blob: bytes, size: int, stats: Statistics) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, terms and saturated counts of a stored cell."""
+    start, terms, tf, n = _opened(blob, size)
+    return start, terms, saturated(tf.astype(np.int64), np.repeat(n, np.diff(start)), stats)
+
+
+def index(found: DataFrame, vocab: Vocabulary, stats: Statistics, floors: np.ndarray) -> DataFrame:
+    """(ids, data, size): every cell with the blocks and summaries that items need beyond their floors."""
     rows = found.filter(F.size("ids") > 0).select("ids", "data", "size")
     names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                start, terms, tf, n = _opened(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
-                x = saturated(tf, np.repeat(n, np.diff(start)), stats)
-                c = build_cell(start, terms, x, vocab)
-                data, size = _pickled(*(getattr(c, k) for k in Cell.__dataclass_fields__))
+                vectors = _vectors(batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), stats)
+                data, size = build_cell(*vectors, vocab, stats.weights, floors).packed()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, 1), pa.array([data], pa.binary()), pa.array([size], pa.int64())], names
                 )
@@ -322,57 +344,79 @@ def _ranges(start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.repeat(start[which] - first[:-1], count) + np.arange(first[-1]), first
 
 
+class Vectors:
+    """The vectors of a cell, for exact scores."""
+
+    def __init__(self, start: np.ndarray, terms: np.ndarray, x: np.ndarray, weights: np.ndarray):
+        self.start, self.terms, self.x, self.weights = start, terms, x, weights
+        self.of_item = np.zeros(len(weights), np.int64)
+
+    def scores(self, own: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        if not len(docs):
+            return np.zeros(0, np.int64)
+        at, first = _ranges(self.start, docs)
+        self.of_item[own] = self.weights[own]
+        total = np.add.reduceat(self.of_item[self.terms[at]] * self.x[at], first[:-1])
+        self.of_item[own] = 0
+        return total
+
+
+class Rarest:
+    """A cell's documents that hold an item's heaviest terms, enough of them to set a floor."""
+
+    def __init__(self, start: np.ndarray, terms: np.ndarray, x: np.ndarray, weights: np.ndarray):
+        self.vectors = Vectors(start, terms, x, weights)
+        by_term = np.argsort(terms, kind="stable")
+        self.docs = np.repeat(np.arange(len(start) - 1), np.diff(start))[by_term]
+        self.lists = np.searchsorted(terms[by_term], np.arange(len(weights) + 1))
+
+    def best(self, own: np.ndarray, floor: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        rare = own[np.argsort(-self.vectors.weights[own], kind="stable")]
+        size = np.cumsum(self.lists[rare + 1] - self.lists[rare])
+        rare = rare[: int(np.searchsorted(size, 2 * k)) + 1]
+        docs = np.unique(self.docs[_ranges(self.lists, rare)[0]])
+        score = self.vectors.scores(own, docs)
+        keep = score >= max(floor, 1)
+        return docs[keep], score[keep]
+
+
 class Searcher:
     """One cell opened for search; counts the blocks and documents that it looks at."""
 
     def __init__(self, cell: Cell, weights: np.ndarray):
         self.c, self.weights, self.v = cell, weights, len(weights)
-        self.most = np.zeros(self.v, np.int64)
-        np.maximum.at(self.most, cell.terms, cell.x)
-        self.most *= weights
-        self.of_item = np.zeros(self.v, np.int64)
+        self.most = most_per_term(cell.terms, cell.x, weights)
+        self.vectors = Vectors(cell.start, cell.terms, cell.x, weights)
         self.blocks = self.opened = self.scored = 0
 
-    def bounds(self, terms: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
+    def bounds(self, own: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
         """(block, bound) of the lists that are needed to reach the floor."""
-        most = self.most[terms]
-        order = np.argsort(most, kind="stable")
-        needed = terms[order][np.cumsum(most[order]) >= max(floor, 1)]
-        block, _ = _ranges(self.c.lists, needed)
+        block, _ = _ranges(self.c.lists, needed_terms(own, self.most, floor))
         if not len(block):
             return block, block
-        own = terms[most > 0]
+        own = own[self.most[own] > 0]
         key = block[:, None] * self.v + own
         at = np.minimum(np.searchsorted(self.c.keys, key), len(self.c.keys) - 1)
         return block, np.where(self.c.keys[at] == key, self.c.tops[at], 0) @ self.weights[own]
 
-    def scores(self, terms: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(document, score) of the documents in the given blocks."""
-        docs = np.unique(self.c.block_docs[_ranges(self.c.block_start, blocks)[0]])
-        self.opened += len(blocks)
-        self.scored += len(docs)
-        if not len(docs):
-            return docs, docs
-        at, first = _ranges(self.c.start, docs)
-        self.of_item[terms] = self.weights[terms]
-        total = np.add.reduceat(self.of_item[self.c.terms[at]] * self.c.x[at], first[:-1])
-        self.of_item[terms] = 0
-        return docs, total
-
-    def best(self, terms: np.ndarray, floor: int, opened: int | None, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents that reach the floor in the blocks that can, or in the ``opened`` best ones."""
-        block, bound = self.bounds(terms, floor)
+    def best(self, own: np.ndarray, floor: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents that reach the floor, all found in the blocks that can."""
+        block, bound = self.bounds(own, floor)
+        can = block[bound >= max(floor, 1)]
+        docs = np.unique(self.c.block_docs[_ranges(self.c.block_start, can)[0]])
         self.blocks += len(block)
-        can = np.flatnonzero(bound >= max(floor, 1))
-        if opened is not None:
-            can = can[np.argsort(-bound[can], kind="stable")[:opened]]
-        docs, score = self.scores(terms, block[can])
+        self.opened += len(can)
+        self.scored += len(docs)
+        score = self.vectors.scores(own, docs)
         keep = score >= max(floor, 1)
         return docs[keep], score[keep]
 
 
-def _search(found: DataFrame, vocab: Vocabulary, weights: np.ndarray, floors: np.ndarray, k: int, opened: int | None) -> DataFrame:
-    """(n, id, score): per task at most ``k`` documents of each item, by its number."""
+def _best(found: DataFrame, vocab: Vocabulary, floors: np.ndarray, k: int, opener) -> DataFrame:
+    """(n, id, score): per task at most ``k`` documents of each item, by its number.
+
+    ``opener(data, size)`` gives a cell's ``best``.
+    """
     kind = found.schema["ids"].dataType.elementType
     out = StructType([StructField("n", IntegerType()), StructField("id", kind), StructField("score", LongType())])
 
@@ -386,9 +430,9 @@ def _search(found: DataFrame, vocab: Vocabulary, weights: np.ndarray, floors: np
                 ids = batch.column(0)[i].values
                 rank = np.empty(len(ids), np.int64)
                 rank[pc.sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(len(ids))
-                own = Searcher(Cell(*_opened(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())), weights)
-                for q, terms in enumerate(vocab.item_terms):
-                    docs, score = own.best(terms, int(floor[q]), opened, k)
+                cell = opener(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
+                for q, own in enumerate(vocab.item_terms):
+                    docs, score = cell.best(own, int(floor[q]), k)
                     if len(docs):
                         first = np.lexsort((rank[docs], -score))[:k]
                         best[q].extend((-int(s), _order(ids[int(d)].as_py())) for d, s in zip(docs[first], score[first]))
@@ -401,20 +445,22 @@ def _search(found: DataFrame, vocab: Vocabulary, weights: np.ndarray, floors: np
             types = [pa.int32(), id_type, pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], out.names)
 
-    return found.mapInArrow(run, out)
+    return found.filter(F.size("ids") > 0).select("ids", "data", "size").mapInArrow(run, out)
 
 
 def _search_block(docs: DataFrame, vocab: Vocabulary, k: int, id_col: str, text_col: str) -> DataFrame:
     """(n, id, score, rank) of one block of items."""
     found = staged(cells(docs, vocab, id_col, text_col))
     stats = statistics(found, len(vocab.terms))
-    built = staged(index(found, vocab, stats))
+    weights = stats.weights
     place = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("score"), F.asc_nulls_first("id")))
-    first = _search(built, vocab, stats.weights, np.zeros(len(vocab.items), np.int64), k, OPENED)
     floors = np.zeros(len(vocab.items), np.int64)
+    first = _best(found, vocab, floors, k, lambda data, size: Rarest(*_vectors(data, size, stats), weights))
     for r in first.withColumn("rank", place).filter(F.col("rank") == k).collect():
         floors[r["n"]] = r["score"]
-    return _search(built, vocab, stats.weights, floors, k, None).withColumn("rank", place).filter(F.col("rank") <= k)
+    built = staged(index(found, vocab, stats, floors))
+    ranked = _best(built, vocab, floors, k, lambda data, size: Searcher(Cell.unpacked(data, size), weights))
+    return ranked.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
 def search(
