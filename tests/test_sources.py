@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from vellum import labels as L
+from vellum.operators.register import upsert_protected
 from vellum.sources import config, files, snapshots
+from vellum.sources.buckets import read_manifest, row_bucket, touched_buckets
+from vellum.sources.snapshots import latest_version, read_snapshot, upsert_version, write_snapshot
 
 
 def dump(path, value):
@@ -112,3 +115,53 @@ def test_state_partitions(spark, tmp_path):
     save_state(first, path)
     save_state(spark.createDataFrame([(dt.date(2026, 5, 2), "c")], first.schema), path)
     assert sorted(r["task_id"] for r in spark.read.parquet(path).collect()) == ["a", "c"]
+
+
+def _numbered(spark, n):
+    row = F.col("id")
+    return spark.range(n).select(
+        (row + 2).alias("_row_number"), F.when(row % 1000 == 7, "").otherwise(F.concat(row.cast("string"), F.lit("/2020/TT-BTC"))).alias("number"),
+        F.lit("old").alias("title"), F.lit("").alias("field"),
+    )
+
+
+PAYLOADS = "ord long, number string, title string, field string"
+
+
+def test_ten_payloads_rewrite_at_most_ten_buckets(spark, tmp_path):
+    root = str(tmp_path / "reg")
+    write_snapshot(_numbered(spark, 1_000_000), root, 0)
+    start = spark.createDataFrame([(1, "5/2020/TT-BTC", "a", "f")], PAYLOADS)
+    assert upsert_version(start, root, ["number", "title", "field"], buckets=128) == 1  # deals the whole register once
+    ten = spark.createDataFrame([(i, f"{i * 99991}/2020/tt - btc", "new", "") for i in range(8)] + [(8, "x1/2020/Q", "n", ""), (9, "x2/2020/Q", "n", "")], PAYLOADS)
+    assert upsert_version(ten, root, ["number", "title", "field"]) == 2
+    manifest = read_manifest(spark, root, 2)
+    assert sum(m["version"] == 2 for m in manifest) <= 10 and len(manifest) == 128
+    written = [p for p in (tmp_path / "reg" / "data" / "v2").iterdir() if p.name.startswith("_bucket=")]
+    assert len(written) <= 10
+    now = read_snapshot(spark, root)
+    assert now.count() == 1_000_002 and now.filter("title = 'new'").count() == 8
+    assert [(r["_row_number"], r["number"]) for r in now.filter("title = 'n'").orderBy("_row_number").collect()] == [(1_000_002, "x1/2020/Q"), (1_000_003, "x2/2020/Q")]
+    assert read_snapshot(spark, root, 1).filter("title = 'new'").count() == 0  # older versions stand
+
+
+def test_buckets_equal_one_upsert_and_keep_empty_batches(spark, tmp_path):
+    root, columns = str(tmp_path / "reg"), ["number", "title", "field"]
+    register = _numbered(spark, 2000)
+    write_snapshot(register, root, 0)
+    rows = [(i, f"{(i * 7) % 2500}/2020/TT-BTC", f"t{i}", "" if i % 3 else f"f{i}") for i in range(900)] + [(900, " ", "none", "")]
+    whole = upsert_protected(register, spark.createDataFrame(rows, PAYLOADS), columns).drop("action")
+    for a in range(0, 901, 300):
+        upsert_version(spark.createDataFrame(rows[a : a + 300], PAYLOADS), root, columns, buckets=16)
+    upsert_version(spark.createDataFrame([], PAYLOADS), root, columns)
+    pick = lambda df: sorted(map(tuple, df.select("_row_number", *columns).collect()))
+    assert latest_version(spark, root) == 5 and pick(read_snapshot(spark, root)) == pick(whole)
+
+
+def test_rows_and_payloads_agree_on_the_bucket(spark):
+    numbers = ["1/2020/TT-BTC", " 1 / 2020/tt-btc ", "", None, "---", "  - - ", "12\u00a0/2021/QĐ"]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(numbers)], "_row_number long, number string")
+    own = {r["_row_number"]: r["b"] for r in rows.select("_row_number", row_bucket(64).alias("b")).collect()}
+    for i, n in enumerate(numbers):
+        found = touched_buckets(spark.createDataFrame([(n,)], "number string"), 64)
+        assert (own[i] in found) if (n or "").strip() else found == []

@@ -160,6 +160,7 @@ def upsert_protected(
     columns: list[str],
     protected: list[str] | None = None,
     only_blank: bool = False,
+    last_row: int | None = None,
 ) -> DataFrame:
     """The register after all payloads, in their order, with all its columns.
 
@@ -170,7 +171,7 @@ def upsert_protected(
     first non-blank value counts for protected ones (once set they stay).  An old
     protected value stays when it is not blank.  With ``only_blank`` ordinary columns are
     filled only where the old value is blank.  New rows follow the last row number in
-    payload order.
+    payload order; ``last_row`` gives it where ``register`` is only a part.
     """
     protected = L.PROTECTED_COLUMNS if protected is None else protected
     guarded = [c for c in columns if c in protected]
@@ -199,7 +200,7 @@ def upsert_protected(
         F.when(F.col("_ord").isNotNull(), "updated").otherwise("kept").alias("action"),
     )
     fresh = position(changes.filter("target_row is null"), [], "_ord", "_place")
-    last = register.agg(F.coalesce(F.max("_row_number"), F.lit(1)).alias("m")).scalar()
+    last = register.agg(F.coalesce(F.max("_row_number"), F.lit(1)).alias("m")).scalar() if last_row is None else F.lit(last_row)
     kinds = dict(register.dtypes)
 
     def created(c: str) -> Column:

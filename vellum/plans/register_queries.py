@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -17,8 +18,10 @@ from vellum.operators import validation as V
 from vellum.plans.adapters import (
     SQL_REGISTER, SQL_TASKS, as_of, number_of, register, sql_number, table, tasks,
 )
-from vellum.plans.registry import query
+from vellum.plans.registry import CHECKS, query
+from vellum.session import shared_folder
 from vellum.sources.files import event_log_rows, project_to_schema
+from vellum.sources.snapshots import read_snapshot, upsert_version, write_snapshot
 from vellum.streaming.requests import accepted_sights, static_code
 from vellum.streaming.requests import daily_once as once_a_day
 from vellum.streaming.requests import request_audit as audit
@@ -137,6 +140,18 @@ def upsert_protected(spark, folder):
     return G.upsert_protected(register(spark, folder), _payloads(spark, folder), _UPSERT_COLUMNS)
 
 
+@query(CHECKS["upsert_protected"].replace("SELECT u.*,", "SELECT u.* EXCLUDE (action),"))
+def upsert_buckets(spark, folder):
+    """The same payloads into a register held in buckets, in two batches: each writes a version."""
+    root = f"{shared_folder(spark)}/register-{uuid.uuid4().hex}"
+    write_snapshot(register(spark, folder), root, 0)
+    payloads = _payloads(spark, folder)
+    half = payloads.agg(F.expr("(min(ord) + max(ord)) div 2")).first()[0] or 0
+    for batch, rows in enumerate((payloads.filter(F.col("ord") <= half), payloads.filter(F.col("ord") > half))):
+        upsert_version(rows, root, _UPSERT_COLUMNS, "orders", batch, buckets=64)
+    return read_snapshot(spark, root)
+
+
 @query(
     f"""{WITH}, {_UPSERT} SELECT u._row_number, CASE WHEN u.action = 'updated' AND r.title <> '' THEN r.title ELSE u.title END AS title, u.action
     FROM upserted u LEFT JOIN register r ON u._row_number = r._row_number"""

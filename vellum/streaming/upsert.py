@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vellum.operators.documents import write_gate_code
-from vellum.operators.register import rejected_payloads, upsert_protected
+from vellum.operators.register import rejected_payloads
 from vellum.operators.sequences import MAX_ATTEMPTS, MIN_ATTEMPT, STABLE_READS
-from vellum.sources.snapshots import is_committed, latest_version, read_snapshot, write_snapshot
+from vellum.sources.buckets import BUCKETS
+from vellum.sources.snapshots import is_committed, read_snapshot, upsert_version
 
 
 def upsert_batch(
@@ -21,8 +22,10 @@ def upsert_batch(
     prepare: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
     stream: str = "",
     rejected: Callable[[DataFrame, int], None] | None = None,
+    buckets: int = BUCKETS,
 ):
-    """``foreachBatch`` function: gated payloads of a micro-batch make the next version.
+    """``foreachBatch`` function: gated payloads of a micro-batch make the next version, in the
+    buckets of the register that they touch.
 
     ``prepare(payloads, register)`` may match references and fill relation columns first.
     A batch of ``stream`` that was committed before is skipped, so a retried batch changes
@@ -35,15 +38,13 @@ def upsert_batch(
         spark = batch.sparkSession
         if is_committed(spark, root, stream, batch_id):
             return
-        version = latest_version(spark, root) + 1
-        register = read_snapshot(spark, root)
-        payloads = prepare(batch, register) if prepare else batch
+        payloads = prepare(batch, read_snapshot(spark, root)) if prepare else batch
         coded = payloads.withColumn("code", write_gate_code())
         passed = coded.filter("code = ''").drop("code")
         if rejected:
             gated = coded.filter("code <> ''").withColumn("action", F.lit("rejected"))
             rejected(gated.unionByName(rejected_payloads(passed), allowMissingColumns=True), batch_id)
-        write_snapshot(upsert_protected(register, passed, columns).drop("action"), root, version, stream, batch_id)
+        upsert_version(passed, root, columns, stream, batch_id, buckets)
 
     return run
 
