@@ -209,3 +209,26 @@ def test_redaction_of_objects_and_lists(value):
     got = value(jsonx.redact_json, texts)
     assert not any("S" + str(n) in (t or "") for n in range(1, 8) for t in got)
     assert got[0].endswith('"n":1.50}') and got[3].endswith('"k":true}') and got[4] is None
+
+
+def test_redaction_reads_brackets_and_strings(value):
+    """No Python is run; brackets in strings do not count, and long lists are one pass."""
+    items = ",".join(f'{{"id":{i},"v":"]}}\\""}}' for i in range(30_000))
+    deep = '"x"'
+    for _ in range(25):
+        deep = f"[{deep}]"
+    texts = [
+        '{"token":{"a":"}]","b":[1,{"c":"\\\\"}]},"k":[1, 2]}', f'{{"session":[{items}],"k":1}}', f'{{"token":{deep},"k":1}}',
+        '{"a":[{"COOKIE" : [ ] , "k":null}, {"secret":{}}]}', '{"note":"\\"token\\": {\\"a\\":1}"}', "", f'{{"k":[{items}]}}',
+    ]
+    got = value(jsonx.redact_json, texts)
+    assert got[:2] == ['{"token":"[REDACTED]","k":[1, 2]}', '{"session":"[REDACTED]","k":1}']
+    assert got[2] == '{"token":"[REDACTED]"' and got[3] == '{"a":[{"COOKIE" : "[REDACTED]" , "k":null}, {"secret":"[REDACTED]"}]}'
+    assert got[4:] == texts[4:]
+
+
+def test_event_log_runs_without_python(spark):
+    from vellum.plans import QUERIES
+
+    plan = QUERIES["event_log"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

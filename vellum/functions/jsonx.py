@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import re
-from decimal import Decimal
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +10,7 @@ from vellum import labels as L
 from vellum.functions.text import col
 
 _FIRST = ["$", "$.data", "$.result", "$.result.data"]
+NESTED = 20
 _SECOND = ["$", "$.data", "$.data.data", "$.result", "$.result.data"]
 
 
@@ -38,45 +34,34 @@ def unwrap_records(df: DataFrame, json_col: str, keep: list[str], nested_data: b
     )
 
 
-def redact_json(c, keys: list[str] | None = None) -> Column:
-    """Values of sensitive keys in JSON text are replaced, whatever their type and depth.
-
-    Scalars are replaced by pattern. Only texts where such a key holds an object or a list are read
-    as JSON; if they are none, everything from the opening bracket on is replaced.
-    """
-    names = "|".join(keys or L.SENSITIVE_KEYS)
-    key = rf'(?i)("\s*(?:{names})\s*"\s*:\s*)'
-    barred = frozenset(k.lower() for k in (keys or L.SENSITIVE_KEYS))
-
-    @F.pandas_udf("string")
-    def rebuilt(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else _without_secrets(t, barred, key))
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
 
-    nested = F.regexp_like(col(c), F.lit(key + r"[\[{]"))
-    text = F.when(nested, rebuilt(F.when(nested, col(c)))).otherwise(col(c))
-    scalar = r'("(?:[^"\\]|\\.)*+"|-?[0-9][0-9.eE+\-]*|true|false|null)'
-    return F.regexp_replace(text, key + scalar, f'$1"{L.REDACTED}"')
 
+def _balanced(depth: int = NESTED) -> str:
+    """Pattern of an object or a list with at most ``depth`` levels of brackets, strings read as such.
 
-def _without_secrets(text: str, barred: frozenset[str], key: str) -> str:
-    """One JSON text with the values of barred keys replaced."""
-
-    def pairs(items):
-        return {k: L.REDACTED if k.strip().lower() in barred else v for k, v in items}
+    Every repetition is possessive: one pass, without backtracking and without recursion per item.
+    """
+    plain = rf'[^\[\]{{}}"]++|{_STRING}'
+    pattern = rf"[\[{{](?:{plain})*+[\]}}]"
+    for _ in range(depth - 1):
+        pattern = rf"[\[{{](?:{plain}|{pattern})*+[\]}}]"
+    return pattern
 
-    try:
-        return _compact(json.loads(text, object_pairs_hook=pairs, parse_float=Decimal))
-    except (ValueError, RecursionError):
-        return re.sub(key + r"[\[{].*", lambda m: f'{m[1]}"{L.REDACTED}"', text, flags=re.S)
 
+def redact_json(c, keys: list[str] | None = None) -> Column:
+    """Values of sensitive keys in JSON text are replaced, whatever their type and depth.
 
-def _compact(value) -> str:
-    """JSON text without blanks; decimal numbers as they were read."""
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_compact(v)}" for k, v in value.items()) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(_compact, value)) + "]"
-    return str(value) if isinstance(value, Decimal) else json.dumps(value, ensure_ascii=False)
+    A value is a scalar or a whole object or list, found by its brackets. What cannot be read as a value, because
+    brackets do not close or are more than ``NESTED`` deep, is replaced from its opening bracket to the
+    end of the text. All else stays as it is written.
+    """
+    names = "|".join(keys or L.SENSITIVE_KEYS)
+    key = rf'(?is)("\s*(?:{names})\s*"\s*:\s*)'
+    scalar = rf"{_STRING}|-?[0-9][0-9.eE+\-]*|true|false|null"
+    hidden = f'$1"{L.REDACTED}"'
+    text = F.regexp_replace(col(c), f"{key}(?:{scalar}|{_balanced()})", hidden)
+    return F.regexp_replace(text, key + r"[\[{].*", hidden)
 
 
 def redact_struct(name: str, schema: T.DataType, keys: list[str] | None = None) -> Column:
