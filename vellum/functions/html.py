@@ -11,24 +11,31 @@ from vellum import labels as L
 from vellum.functions.text import BLANKS, col, contains_any, normalize_text
 from vellum.functions.urls import resolve_url
 
-_HREF = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-_ANCHOR = rf"""(?is)<a\s[^>]*?{_HREF}[^>]*>(.*?)</a>"""
+_HREF = r"""href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_TAG = rf"""<a\s[^>]*?{_HREF}[^>]*>"""
 _ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
+#: Names of entities and their code points, as one text to look them up in.
+_NAMED = "&" + "&".join(f"{k};{v}" for k, v in name2codepoint.items()) + "&"
+
+
 def _entity(e: Column) -> Column:
     """The character of one entity; unknown ones stay as they are."""
-    number = F.coalesce(
-        F.when(F.regexp_like(e, F.lit("^&#[xX]")), F.conv(F.regexp_extract(e, "^&#[xX](.*);$", 1), 16, 10)),
-        F.when(F.startswith(e, F.lit("&#")), F.regexp_extract(e, "^&#(.*);$", 1)),
-        F.try_element_at(F.create_map(*[F.lit(x) for k, v in name2codepoint.items() for x in (f"&{k};", str(v))]), e),
-    ).cast("int")
+    at = F.instr(F.lit(_NAMED), e)
+    named = F.substring_index(F.substring(F.lit(_NAMED), at + F.length(e), F.lit(8)), "&", 1)
+    number = (
+        F.when(F.regexp_like(e, F.lit("^&#[xX]")), F.conv(F.regexp_extract(e, "^&#[xX](.*);$", 1), 16, 10))
+        .when(F.startswith(e, F.lit("&#")), F.regexp_extract(e, "^&#(.*);$", 1))
+        .when(at > 0, named)
+        .cast("int")
+    )
     known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
     return F.when(known, F.decode(F.unhex(F.lpad(F.hex(number), 8, F.lit("0"))), "UTF-32")).otherwise(e)
 
 
 def unescape(c) -> Column:
-    """Decimal, hexadecimal and named entities to characters, in one pass."""
+    """Decimal, hexadecimal and named entities to characters, in one pass; texts without ``&`` are left alone."""
 
     def decoded(text: Column) -> Column:
         between = F.split(text, _ENTITY, -1)
@@ -36,8 +43,8 @@ def unescape(c) -> Column:
         whole = F.zip_with(between, found, lambda b, e: F.concat(b, F.coalesce(e, F.lit(""))))
         return F.when(F.contains(text, F.lit("&")), F.array_join(whole, "")).otherwise(text)
 
-    # The text is bound once, however often it is named.
-    return F.get(F.transform(F.array(col(c)), decoded), F.lit(0))
+    # An expression is bound once, however often it is named; a column needs no binding.
+    return decoded(F.col(c)) if isinstance(c, str) else F.get(F.transform(F.array(c), decoded), F.lit(0))
 
 
 def strip_tags(c) -> Column:
@@ -70,16 +77,23 @@ def page_title(c) -> Column:
 def html_links(pages: DataFrame, keep: list[str]) -> DataFrame:
     """One row per anchor: its order on the page, absolute address and visible text.
 
-    The ``html`` column is dropped here, so that no later shuffle carries it.
+    One pass over the page cuts out the anchors; address and text are then read from the
+    start tag alone and from what follows it.  The ``html`` column is dropped here, so that no
+    later shuffle carries it.
     """
-    anchors = F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(0))
+    anchors = F.regexp_extract_all("html", F.lit(rf"(?is){_TAG}.*?</a>"), F.lit(0))
     rows = pages.select(*keep, F.col("url").alias("page_url"), F.posexplode(anchors).alias("pos", "a"))
-    href = F.concat(*(F.regexp_extract("a", _ANCHOR, g) for g in (1, 2, 3)))
-    return rows.select(
+    tagged = rows.withColumn("_tag", F.regexp_extract("a", rf"(?is)^{_TAG}", 0))
+    quoted = F.regexp_extract("_tag", rf"(?is){_HREF}", 1)
+    read = tagged.select(
+        *keep, "page_url", "pos", F.regexp_replace(quoted, r"""^["']|["']$""", "").alias("_href"),
+        strip_tags(F.expr("substring(a, length(_tag) + 1, length(a) - length(_tag) - 4)")).alias("_text"),
+    )
+    return read.select(
         *keep,
         (F.col("pos") + 1).cast("long").alias("ord"),
-        resolve_url("page_url", unescape(href)).alias("url"),
-        normalize_text(unescape(strip_tags(F.regexp_extract("a", _ANCHOR, 4)))).alias("text"),
+        resolve_url("page_url", unescape("_href")).alias("url"),
+        normalize_text(unescape("_text")).alias("text"),
     )
 
 
