@@ -53,6 +53,30 @@ def test_register_csv(spark, tmp_path):
     assert df.columns == ["_row_number", *L.SHEET_LABELS] and [(r["_row_number"], r["number"], r["title"]) for r in df.orderBy("_row_number").collect()] == [(2, "1/2020/A1", ""), (3, "", "")]
 
 
+def test_unreadable_files_and_rows_are_kept_apart(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    dump(tmp_path / "in" / "a.json", {"documents": [{"url": "u1"}], "fields": []})
+    dump(tmp_path / "in" / "b.json", {"documents": {"url": "u2"}, "fields": []})
+    dump(tmp_path / "in" / "c.json", [1])
+    (tmp_path / "in" / "d.json").write_text('{"documents": [')
+    (tmp_path / "in" / "e.json").write_text(" ")
+    frames = files.read_listing_result(spark, str(tmp_path / "in"))
+    assert [r["url"] for r in frames["documents"].collect()] == ["u1"]
+    reasons = {r["source"][-6:]: r["reason"] for r in frames["quarantine"].collect()}
+    assert reasons == {"b.json": "wrong type: documents", "c.json": "not an object", "d.json": "not JSON", "e.json": "blank"}
+    batch = dump(tmp_path / "b.json", {"payloads": [{"Số hiệu": "1"}, 7], "results": []})
+    assert [r["reason"] for r in files.read_payload_batch(spark, batch)["quarantine"].collect()] == ["wrong type: payloads"]
+    inside = spark.createDataFrame([('{"results": [{"url": "u", "send_attempt": "many"}]}',), ('{"results": [{"url": "u", "send_attempt": 2}]}',)], "text string")
+    assert sorted(r["_fault"] or "" for r in files.batch_rows(inside).collect()) in (["", "wrong type inside"], ["", "wrong type: results"])
+    (tmp_path / "r.csv").write_text('_rowNumber,Số hiệu,Tên văn bản\n2,1/2020/A1,"a ""b"",\nc"\nx,2/2020/A1,t\n4,3\n', encoding="utf-8")
+    path = str(tmp_path / "r.csv")
+    assert [(r["_row_number"], r["title"]) for r in files.read_register(spark, path).collect()] == [(2, 'a "b",\nc')]
+    assert sorted(r["reason"] for r in files.register_quarantine(spark, path).collect()) == ["cells do not match the header", "no row number"]
+    (tmp_path / "n.csv").write_text("Số hiệu\n1\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="_rowNumber"):
+        files.read_register(spark, str(tmp_path / "n.csv"))
+
+
 def test_sheet_columns(spark, tmp_path):
     assert files.sheet_columns(spark) == list(L.SHEET_LABELS.values())
     assert files.sheet_columns(spark, dump(tmp_path / "o.json", {"sheet_columns": ["A ", "", "B"]})) == ["A", "B"]

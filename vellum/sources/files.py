@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 from vellum import labels as L
 from vellum.functions.jsonx import log_text, redact_json
 from vellum.functions.text import clean_text
+from vellum.sources.quarantine import file_texts, parsed, parsed_csv, quarantined, readable, with_fault
+
+#: Key under which files hold a field's display name.
+NAME_KEY = "ten_linh_vuc"
 
 DOCUMENT = T.StructType(
     [
@@ -105,7 +109,6 @@ SNAPSHOT_SCHEMA = T.StructType(
         T.StructField("count", T.LongType()),
         T.StructField("headings", T.ArrayType(T.StringType())),
         T.StructField("examples", T.ArrayType(T.StringType())),
-        T.StructField("_corrupt_record", T.StringType()),
     ]
 )
 _INTERNAL_DOCUMENT = {
@@ -114,16 +117,6 @@ _INTERNAL_DOCUMENT = {
 }
 
 
-def read_optional(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """JSON at ``path``, or an empty frame when nothing is there."""
-    try:
-        return spark.read.schema(schema).options(**options).json(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
 def _named(schema: T.DataType, name_key: str) -> T.DataType:
     """The schema with the key of a field's display name next to every field code."""
     if isinstance(schema, T.ArrayType):
@@ -142,50 +135,112 @@ def _internal(df: DataFrame, name_key: str) -> DataFrame:
     return df.withColumnsRenamed({**_INTERNAL_DOCUMENT, name_key: "field_name"})
 
 
-def read_listing_result(spark: SparkSession, path: str, name_key: str = "ten_linh_vuc") -> dict[str, DataFrame]:
-    """Crawl result as flat frames: ``documents``, ``fields``, ``pages``.
-
-    ``name_key`` is the key under which the files hold a field's display name.
-    """
-    raw = spark.read.schema(_named(LISTING_SCHEMA, name_key)).option("multiLine", True).json(path)
-    branches = raw.select(F.posexplode("fields").alias("branch", "f")).select("branch", "f.*")
+def shape_listing(raw: DataFrame, keep: list[str] | None = None, name_key: str = NAME_KEY) -> dict[str, DataFrame]:
+    """Crawl results, one per row, as flat frames ``documents``, ``fields``, ``pages`` with the columns ``keep``."""
+    keep = keep or []
+    branches = raw.select(*keep, F.posexplode("fields").alias("branch", "f")).select(*keep, "branch", "f.*")
     fields = branches.withColumns({"document_count": F.size("documents"), "page_count": F.size("pages_crawled")})
     return {
-        "documents": _internal(raw.select(F.inline_outer("documents")).filter("url is not null"), name_key),
+        "documents": _internal(raw.select(*keep, F.inline_outer("documents")).filter("url is not null"), name_key),
         "fields": _internal(fields.drop("documents", "pages_crawled"), name_key),
-        "pages": _internal(branches.select("branch", "ma_linh_vuc", F.inline("pages_crawled")), name_key),
+        "pages": _internal(branches.select(*keep, "branch", "ma_linh_vuc", F.inline("pages_crawled")), name_key),
     }
 
 
-def read_listing_debug(spark: SparkSession, path: str, name_key: str = "ten_linh_vuc") -> DataFrame:
-    """Debug pages, one row each; a missing file gives no rows."""
-    raw = read_optional(spark, path, _named(DEBUG_SCHEMA, name_key), multiLine=True)
-    fields = raw.select(F.inline("fields"))
-    return _internal(fields.select("ma_linh_vuc", name_key, F.inline("debug_pages")), name_key)
+def shape_listing_debug(raw: DataFrame, keep: list[str] | None = None, name_key: str = NAME_KEY) -> DataFrame:
+    """Debug pages, one row each."""
+    keep = keep or []
+    fields = raw.select(*keep, F.inline("fields"))
+    return _internal(fields.select(*keep, "ma_linh_vuc", name_key, F.inline("debug_pages")), name_key)
 
 
-def read_payload_batch(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Submission file as ``payloads`` (internal names), ``results`` and request ``rows``."""
-    raw = read_optional(spark, path, BATCH_SCHEMA, multiLine=True)
+def shape_batch(raw: DataFrame, keep: list[str] | None = None) -> dict[str, DataFrame]:
+    """Submission files as ``payloads`` (internal names), ``results`` and request ``rows``."""
+    keep = keep or []
     back = {label: name for name, label in L.SHEET_LABELS.items()}
     return {
-        "payloads": raw.select(F.inline("payloads")).withColumnsRenamed(back),
-        "results": raw.select(F.posexplode("results").alias("ord", "r"), "dry_run").select("ord", "r.*", "dry_run"),
-        "rows": raw.select(F.explode("rows").alias("row")),
+        "payloads": raw.select(*keep, F.inline("payloads")).withColumnsRenamed(back),
+        "results": raw.select(*keep, F.posexplode("results").alias("ord", "r"), "dry_run").select(*keep, "ord", "r.*", "dry_run"),
+        "rows": raw.select(*keep, F.explode("rows").alias("row")),
     }
 
 
+def shape_register(raw: DataFrame, columns: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Sheet rows with internal names, the target columns and the stored row number."""
+    back = {label: name for name, label in L.SHEET_LABELS.items()}
+    named = raw.withColumnsRenamed({**back, "_rowNumber": "_row_number"})
+    kept = project_to_schema(named, columns or list(L.SHEET_LABELS), extra=[*(keep or []), "_row_number"])
+    return kept.withColumn("_row_number", F.col("_row_number").cast("long"))
+
+
+def listing_rows(texts: DataFrame, name_key: str = NAME_KEY) -> DataFrame:
+    return parsed(texts, _named(LISTING_SCHEMA, name_key))
+
+
+def listing_debug_rows(texts: DataFrame, name_key: str = NAME_KEY) -> DataFrame:
+    return parsed(texts, _named(DEBUG_SCHEMA, name_key))
+
+
+def batch_rows(texts: DataFrame) -> DataFrame:
+    return parsed(texts, BATCH_SCHEMA)
+
+
+def snapshot_rows(texts: DataFrame) -> DataFrame:
+    """Lines of a missing-reference snapshot; one without a key is a fault."""
+    return with_fault(parsed(texts, SNAPSHOT_SCHEMA), F.col("_parsed.key").isNull(), "no key")
+
+
+def register_rows(texts: DataFrame, header: list[str]) -> DataFrame:
+    """CSV lines of a register sheet; one without a whole row number is a fault."""
+    rows = parsed_csv(texts, header)
+    return with_fault(rows, F.col("_parsed")["_rowNumber"].try_cast("long").isNull(), "no row number")
+
+
+def read_listing_result(spark: SparkSession, path: str, name_key: str = NAME_KEY) -> dict[str, DataFrame]:
+    """Crawl result as flat frames: ``documents``, ``fields``, ``pages``, and the ``quarantine``.
+
+    ``name_key`` is the key under which the files hold a field's display name.
+    """
+    rows = listing_rows(file_texts(spark, path), name_key)
+    return {**shape_listing(readable(rows, []), name_key=name_key), "quarantine": quarantined(rows, ["source"])}
+
+
+def read_listing_debug(spark: SparkSession, path: str, name_key: str = NAME_KEY) -> DataFrame:
+    """Debug pages, one row each; a missing file gives no rows."""
+    return shape_listing_debug(readable(listing_debug_rows(file_texts(spark, path, required=False), name_key), []), name_key=name_key)
+
+
+def read_payload_batch(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Submission file as ``payloads`` (internal names), ``results``, request ``rows`` and the ``quarantine``."""
+    rows = batch_rows(file_texts(spark, path, required=False))
+    return {**shape_batch(readable(rows, [])), "quarantine": quarantined(rows, ["source"])}
+
+
 def read_register(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Register sheet (CSV with header, or Parquet) with internal names and stored row numbers.
 
-    The row number is a column of the file; it is never taken from partition order.
+    The row number is a column of the file; it is never taken from partition order.  Cells may hold line
+    breaks; rows that do not fit the header are in ``register_quarantine``.
     """
-    raw = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
-    back = {label: name for name, label in L.SHEET_LABELS.items()}
-    named = raw.withColumnsRenamed({**back, "_rowNumber": "_row_number"})
-    columns = columns or list(L.SHEET_LABELS)
-    kept = project_to_schema(named, columns, extra=["_row_number"])
-    return kept.withColumn("_row_number", F.col("_row_number").cast("long"))
+    if not path.endswith(".csv"):
+        return shape_register(spark.read.parquet(path), columns)
+    return shape_register(_sheet(spark, path).filter("_fault is null"), columns)
+
+
+def register_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a register's CSV that ``read_register`` leaves out, with the reason."""
+    return _sheet(spark, path).filter("_fault is not null").select(F.col("_fault").alias("reason"), F.col("_corrupt_record").alias("text"))
+
+
+def _sheet(spark: SparkSession, path: str) -> DataFrame:
+    reader = spark.read.options(header=True, multiLine=True, escape='"')
+    header = reader.csv(path).columns
+    if "_rowNumber" not in header:
+        raise ValueError(f"no column _rowNumber in {path}")
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, "_corrupt_record"]])
+    rows = reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+    fault = F.when(F.col("_corrupt_record").isNotNull(), "cells do not match the header")
+    return with_fault(rows.withColumn("_fault", fault), F.col("_rowNumber").try_cast("long").isNull(), "no row number")
 
 
 def project_to_schema(df: DataFrame, columns: list[str], extra: list[str] | None = None) -> DataFrame:
@@ -213,18 +268,18 @@ def sheet_columns(spark: SparkSession, path: str | None = None) -> list[str]:
 def read_text_or_none(spark: SparkSession, path: str) -> str | None:
     try:
         row = spark.read.option("wholetext", True).text(path).first()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return row[0] if row else None
 
 
 def read_previous_snapshot(spark: SparkSession, path: str | None) -> DataFrame:
     """Missing references of the run before; a missing file or broken lines give no rows."""
-    plain = T.StructType(SNAPSHOT_SCHEMA.fields[:-1])
     if path is None:
-        return spark.createDataFrame([], plain)
-    raw = read_optional(spark, path, SNAPSHOT_SCHEMA, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
-    return raw.filter("key is not null and _corrupt_record is null").drop("_corrupt_record")
+        return spark.createDataFrame([], SNAPSHOT_SCHEMA)
+    return readable(snapshot_rows(file_texts(spark, path, lines=True, required=False)), [])
 
 
 def write_report_csv(df: DataFrame, report: str, path: str) -> None:
