@@ -1,5 +1,6 @@
 """Readers, writers and snapshots on files of a temporary folder."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -9,6 +10,7 @@ from vellum import labels as L
 from vellum.operators.register import upsert_protected
 from vellum.sources import config, files, snapshots
 from vellum.sources.buckets import read_manifest, row_bucket, touched_buckets
+from vellum.sources.missing_store import read_history, read_missing, write_missing_snapshot
 from vellum.sources.snapshots import latest_version, read_snapshot, upsert_version, write_snapshot
 
 
@@ -189,3 +191,52 @@ def test_rows_and_payloads_agree_on_the_bucket(spark):
     for i, n in enumerate(numbers):
         found = touched_buckets(spark.createDataFrame([(n,)], "number string"), 64)
         assert (own[i] in found) if (n or "").strip() else found == []
+
+
+def test_missing_store_rebuilds_any_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("vellum.sources.missing_store.BASE_EVERY", 3)
+    root = str(tmp_path / "missing")
+    runs = {f"2026-01-0{d}": {k: (k * d if k == 4 else k) for k in range(10) if (k + d) % 3 or k == 4} for d in range(1, 9)}
+    runs["2026-01-05"] = {}
+    rows = [(d, f"K{k}", f"N{k}", n) for d, keys in runs.items() for k, n in keys.items()]
+    frame = spark.createDataFrame(rows, "run string, key string, number string, count long")
+    days = spark.createDataFrame([(d,) for d in runs], "run string")
+    write_missing_snapshot(frame.filter("run <= '2026-01-04'"), root, "run")  # several runs at once
+    for day in sorted(runs)[4:]:  # then one by one; a run without keys is named
+        write_missing_snapshot(frame.filter(F.col("run") == day), root, "run", days.filter(F.col("run") == day))
+    write_missing_snapshot(frame, root, "run", days)  # nothing new
+    history = {r["version"]: r for r in read_history(spark, root).collect()}
+    assert len(history) == 8
+    for version, day in enumerate(sorted(runs), 1):
+        want = sorted((f"K{k}", f"N{k}", n) for k, n in runs[day].items())
+        assert sorted(tuple(r) for r in read_missing(spark, root, version).select("key", "number", "count").collect()) == want
+        before = set(runs[sorted(runs)[version - 2]]) if version > 1 else set()
+        now = set(runs[day])
+        r = history[version]
+        assert (r["run_ts"], r["current_missing"], r["previous_missing"]) == (day, len(now), len(before))
+        assert (r["new_missing"], r["resolved_missing"], r["persistent_missing"]) == (len(now - before), len(before - now), len(now & before))
+        assert r["net_delta"] == len(now) - len(before)
+    stored = spark.read.parquet(f"{root}/changes")
+    assert stored.filter("state = 'new'").count() == sum(r["new_missing"] for r in history.values())
+    assert stored.filter("version = 2 and key = 'K4'").first()["state"] == "changed"
+    assert stored.filter("version = 2 and key = 'K0'").count() == 0  # as it was: not written
+    assert read_missing(spark, str(tmp_path / "none")) is None
+
+
+def test_state_reads_only_the_kept_dates(spark, tmp_path):
+    from vellum.operators.reports import keep_newest_dates, merge_state, save_state
+
+    start, path = dt.date(2026, 1, 1), str(tmp_path / "state")
+    rows = [(start + dt.timedelta(days=d), f"T{t}", "p", d) for d in range(40) for t in range(2)]
+    save_state(spark.createDataFrame(rows, "sent_date date, task_id string, pic string, days int"), path)
+    state = spark.read.parquet(path)
+    today = spark.createDataFrame([(5, "T0", "q", 9), (6, "T7", "q", 8)], "_row_number long, task_id string, pic string, days_overdue int")
+    merged = merge_state(state, today, F.lit(start + dt.timedelta(days=39)), 5)
+    got = sorted((str(r["sent_date"]), r["task_id"], r["pic"]) for r in merged.collect())
+    days = [str(start + dt.timedelta(days=d)) for d in range(35, 40)]
+    assert got == sorted([(d, t, "p") for d in days for t in ("T0", "T1") if (d, t) != (days[-1], "T0")] + [(days[-1], "T0", "q"), (days[-1], "T7", "q")])
+    assert keep_newest_dates(state, "sent_date", 3).count() == 6 and keep_newest_dates(state.limit(0), "sent_date").count() == 0
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    whole = merged._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(sent_date" in whole and "subquery" in whole.split("PartitionFilters: [isnotnull(sent_date")[1][:200]

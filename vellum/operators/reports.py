@@ -172,16 +172,26 @@ def state_rows(processed: DataFrame, as_of: Column) -> DataFrame:
 
 
 def merge_state(state: DataFrame, processed: DataFrame, as_of: Column, dates: int = L.STATE_DATES_KEPT) -> DataFrame:
-    """State with today's entries replaced per task, and only the newest dates kept."""
+    """State with today's entries replaced per task, and only the newest dates kept.
+
+    Which dates those are follows from the date columns alone, before the entries are compared.
+    """
     today = state_rows(processed, as_of)
-    old = state.join(today.select("sent_date", "task_id"), ["sent_date", "task_id"], "left_anti")
-    return keep_newest_dates(old.unionByName(today), "sent_date", dates)
+    least = _least_kept(state.select("sent_date").unionByName(today.select("sent_date")), "sent_date", dates)
+    kept = state.filter(F.col("sent_date") >= least)
+    old = kept.join(today.select("sent_date", "task_id"), ["sent_date", "task_id"], "left_anti")
+    return old.unionByName(today.filter(F.col("sent_date") >= least))
+
+
+def _least_kept(dates_frame: DataFrame, date: str, dates: int) -> Column:
+    """The least of the newest ``dates`` distinct dates, one value found before the rows are read."""
+    newest = dates_frame.select(date).distinct().orderBy(F.desc(date)).limit(dates)
+    return newest.agg(F.min(date)).scalar()
 
 
 def keep_newest_dates(state: DataFrame, date: str, dates: int = L.STATE_DATES_KEPT) -> DataFrame:
-    """Rows of the newest ``dates`` distinct dates; that short list is safe to broadcast."""
-    newest = state.select(date).distinct().orderBy(F.desc(date)).limit(dates)
-    return state.join(F.broadcast(newest), date, "left_semi")
+    """Rows of the newest ``dates`` distinct dates; on a state kept by date only their partitions are read."""
+    return state.filter(F.col(date) >= _least_kept(state, date, dates))
 
 
 def save_state(state: DataFrame, path: str) -> None:

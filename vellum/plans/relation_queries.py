@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vellum import labels as L
@@ -14,6 +16,8 @@ from vellum.plans.adapters import (
     page_edges, register, sql_number, sql_percent, table,
 )
 from vellum.plans.registry import query
+from vellum.session import shared_folder
+from vellum.sources.missing_store import write_missing_snapshot
 
 WITH = f"WITH {SQL_REGISTER}, {SQL_EDGES}"
 OFFICIAL = ", ".join(f"'{h}'" for h in L.OFFICIAL_COLUMN_BY_HEADING)
@@ -392,11 +396,11 @@ def missing_delta_summary(spark, folder):
     WHERE d IN (SELECT d FROM days) GROUP BY d"""
 )
 def run_history(spark, folder):
-    """One history row per day, against the day before."""
-    counts = X.delta_summary(_delta(spark, folder), ["run"]).filter("current_missing > 0")
-    return counts.select(
-        F.date_format("run", "yyyy-MM-dd").alias("run_ts"), F.col("current_missing").alias("missing"), F.col("new_missing").alias("new"),
-        F.col("resolved_missing").alias("resolved"), F.col("persistent_missing").alias("persistent"), F.col("net_delta").alias("net"),
+    """One history row per day, against the day before: all days go through the store of missing keys."""
+    history = write_missing_snapshot(_runs(spark, folder), f"{shared_folder(spark)}/missing-{uuid.uuid4().hex}", "run")
+    return history.select(
+        "run_ts", F.col("current_missing").alias("missing"), F.col("new_missing").alias("new"), F.col("resolved_missing").alias("resolved"),
+        F.col("persistent_missing").alias("persistent"), F.col("net_delta").alias("net"),
     )
 
 

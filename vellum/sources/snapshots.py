@@ -84,8 +84,3 @@ def upsert_version(
     write_buckets(rows, root, version, manifest, touched, buckets)
     commit(spark, root, version, stream, batch)
     return version
-
-
-def write_missing_snapshot(rollup: DataFrame, root: str, version: int) -> None:
-    """Missing references of a run as a version of their own."""
-    write_snapshot(rollup, root, version)
