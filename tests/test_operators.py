@@ -456,3 +456,19 @@ def test_transfer_and_upsert_keep_columns_and_numbers(spark):
     staging = old.withColumn("number", F.lit("5/2020/TT-B")).withColumn("_row_number", F.lit(2).cast("long"))
     _, moved = register.transfer(staging, old, F.lit("now"))
     assert [(r["_row_number"], r["extra"]) for r in moved.collect()] == [(8, "kept")]
+
+
+def test_report_blocks(spark):
+    from vellum.operators.report_lines import Block, report_lines, run_report
+
+    rows = spark.createDataFrame([(i, f"r{i}") for i in (3, 1, 2, 9)], "ord long, text string")
+    text = [F.col("text"), F.when(F.col("ord") == 2, F.concat(F.lit("  more "), F.col("n").cast("string")))]
+    blocks = [
+        Block(head=["A"]), Block(rows, text, ["ord"], ["list"], [""], cap=3), Block(rows, text, ["ord"]), Block(rows.limit(0), text, ["ord"], ["never"], cap=3),
+        Block(rows.limit(0), text, ["ord"], ["always"], cap=3, always=True), Block(rows.limit(0), text, ["ord"], cap=3, otherwise="nothing"),
+    ]
+    got = [(r["section"], r["line"]) for r in report_lines(spark, blocks).orderBy("section", "ord").collect()]
+    assert got == [(1, "A"), (2, "list"), (2, "r1"), (2, "r2"), (2, "  more 2"), (2, "r3"), (2, ""), (3, "r1"), (3, "r2"), (3, "  more 2"), (3, "r3"), (3, "r9"), (5, "always"), (6, "nothing")]
+    run = spark.createDataFrame([("t", False)], "created_at string, ok boolean")
+    lines = [r["line"] for r in report_lines(spark, run_report(spark, "R", {"run": run})).orderBy("section", "ord").collect()]
+    assert L.REPORT_TEXTS["production"] in lines and L.REPORT_TEXTS["conclusion"] in lines and "Kết luận: CHƯA ĐẠT" in lines

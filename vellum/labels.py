@@ -359,3 +359,57 @@ EXPIRY_SIMULATED = "Đã mô phỏng xóa (DRY_RUN)"
 EXPIRY_DELETED = "Đã xóa theo lịch"
 EXPIRY_NOTE = "Hệ thống tự động quét từ nội dung văn bản mới"
 EXPIRY_YES, EXPIRY_NO = "CÓ", "KHÔNG"
+
+# --- fixed values: lines of the run report and of the readable listing ----------------
+REPORT_RULE, LISTING_RULE = "=" * 100, "=" * 80
+REPORT_DASHES, LISTING_DASHES = "-" * 100, "-" * 80
+REPORT_OK, REPORT_NOT_OK = "ĐẠT", "CHƯA ĐẠT"
+REPORT_TEXTS = {
+    "created": "Thời gian tạo báo cáo: ",
+    "verdict": "Kết luận: ",
+    "config": "CẤU HÌNH",
+    "config_errors": "Lỗi cấu hình:",
+    "config_none": "Không phát hiện lỗi cấu hình nghiêm trọng.",
+    "config_warnings": "Cảnh báo cấu hình:",
+    "production": "CHỈ SỐ PRODUCTION",
+    "by_heading": "Match coverage theo nhóm quan hệ:",
+    "delta": "Missing delta so với lần chạy trước:",
+    "new_missing": "Missing mới phát sinh:",
+    "top_missing": "Top missing refs cần ưu tiên bổ sung VBQPPL:",
+    "conclusion": "KẾT LUẬN",
+    "errors": "Lỗi cần xử lý:",
+    "no_errors": "Không có lỗi nghiêm trọng.",
+    "warnings": "Cảnh báo:",
+}
+REPORT_DELTA = [
+    ("current_missing", "- Missing hiện tại: ", " số hiệu unique"),
+    ("previous_missing", "- Missing lần trước: ", " số hiệu unique"),
+    ("new_missing", "- Missing mới: ", ""),
+    ("resolved_missing", "- Missing đã được xử lý: ", ""),
+    ("persistent_missing", "- Missing còn tồn tại: ", ""),
+    ("net_delta", "- Net delta: ", ""),
+]
+#: Lists of the run report: name, heading, lines of an item as (label, column).
+REPORT_LISTS = [
+    ("invalid", "STEP07", "STEP07 - Document không đạt filter:",
+     [("- ", "title"), ("  Loại: ", "doc_type"), ("  Số hiệu: ", "doc_number"), ("  URL: ", "url"), ("  Lỗi: ", "problems")]),
+    ("warning", "STEP07", "STEP07 - Document cảnh báo:", [("- ", "title"), ("  URL: ", "url"), ("  Cảnh báo: ", "problems")]),
+    ("payload_invalid", "STEP08", "STEP08 - Payload không hợp lệ:",
+     [("- ", "name"), ("  Loại: ", "doc_type"), ("  URL: ", "url"), ("  Lỗi: ", "problems")]),
+    ("result_error", "STEP08", "STEP08 - Result lỗi:",
+     [("- URL: ", "url"), ("  Status: ", "status"), ("  Message: ", "message"), ("  Error: ", "error"), ("  Response: ", "response")]),
+    ("no_match_report", "STEP08", "STEP08 - Sent nhưng thiếu match_report:", [("- URL: ", "url"), ("  Response: ", "response")]),
+    ("relation_missing", "STEP08", "STEP08 - Quan hệ pháp lý chưa có trong danh mục:",
+     [("- URL: ", "url"), ("  Missing relationships: ", "missing_relations")]),
+]
+LISTING_TEXTS = {
+    "run": [("created_at", "Thời gian chạy: "), ("run_mode", "Run mode: "), ("fields", "Tổng số lĩnh vực đã xử lý: "), ("documents", "Tổng số URL văn bản: ")],
+    "field": [
+        ("field_name", "Lĩnh vực: "), ("field_code", "Mã lĩnh vực: "), ("status", "Trạng thái: "), ("announced", "Số văn bản công bố trên trang đầu: "),
+        ("page_count", "Số trang đã crawl: "), ("document_count", "Số URL văn bản thu được: "),
+    ],
+    "pages": "CHI TIẾT THEO TRANG",
+    "documents": "DANH SÁCH URL",
+    "untitled": "(không có tiêu đề)",
+    "document": [("doc_type", "   Loại nhận diện: "), ("doc_number", "   Số hiệu nhận diện: "), ("page_index", "   Trang nguồn: "), ("url", "   URL: ")],
+}
