@@ -18,6 +18,7 @@ from vellum.plans.adapters import (
 from vellum.plans.registry import query
 from vellum.session import shared_folder
 from vellum.sources.missing_store import write_missing_snapshot
+from vellum.sources.staging import staged
 
 WITH = f"WITH {SQL_REGISTER}, {SQL_EDGES}"
 OFFICIAL = ", ".join(f"'{h}'" for h in L.OFFICIAL_COLUMN_BY_HEADING)
@@ -275,7 +276,7 @@ def _items(spark, folder):
     WHERE EXISTS (SELECT 1 FROM heads h WHERE h.doc = i.doc AND h.top <= i.top AND abs(h.left_ - i.left_) <= 240)"""
 )
 def nearest_heading(spark, folder):
-    items = _items(spark, folder)
+    items = staged(_items(spark, folder))  # read as items and as headings
     found = X.nearest_heading(X.item_candidates(items, ["doc"]), X.heading_candidates(items, ["doc"]), ["doc"], ["ord"])
     return found.select("doc", "ord", F.col("text").alias("item"), "heading")
 

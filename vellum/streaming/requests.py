@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vellum import labels as L
 from vellum.operators.skew import lookup_join
-from vellum.sources.staging import staged
+from vellum.sources.staging import staged, staged_count
 
 TTL_SECONDS, FUTURE_SKEW_SECONDS, MAX_BODY_BYTES = 300, 30, 1_000_000
 
@@ -48,10 +48,12 @@ def _sight_links(valid: DataFrame, ttl: int) -> DataFrame:
     placed = seconds.withColumn("_off", off).withColumn("_span", (F.col("arrival_s") - F.col("_off")) / width)
     sent = placed.select("*", F.explode(F.array(*map(F.lit, range(3)))).alias("_from")).withColumn("_span", F.col("_span") + F.col("_from"))
     span = Window.partitionBy("request_id", "_span")
-    later = span.orderBy("_off").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    later = span.orderBy(F.desc("_off")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     own, near, far = (F.col("_from") == k for k in range(3))
-    before = (F.min(F.when(own, F.col("_off"))).over(span) < F.col("_off")) | F.coalesce(F.max(F.when(near, F.col("_off"))).over(span) > F.col("_off"), F.lit(False))
-    marked = sent.withColumn("_starts", own & ~before)
+    first, latest = F.min(F.when(own, F.col("_off"))).over(span), F.max(F.when(near, F.col("_off"))).over(span)
+    marked = sent.withColumns({"_first": first, "_latest": latest})
+    starts = own & (F.col("_first") == F.col("_off")) & ~F.coalesce(F.col("_latest") > F.col("_off"), F.lit(False))
+    marked = marked.withColumn("_starts", starts).drop("_first", "_latest")
     sight = F.when(own, F.struct("arrival_s", "ord", F.col("_starts").alias("starts")))
     found = marked.withColumn("_next", F.when(near, F.min(sight).over(later)).when(far, F.min(sight).over(span)))
     rows = found.groupBy("request_id", "arrival_s", "ord").agg(
@@ -71,12 +73,12 @@ def accepted_sights(valid: DataFrame, ttl: int = TTL_SECONDS) -> DataFrame:
     """
     links = staged(_sight_links(valid, ttl))
     steps = []
-    jump = links.filter("next is not null").select("request_id", "arrival_s", "next")
-    while not jump.isEmpty():
+    jump, rows = staged_count(links.filter("next is not null").select("request_id", "arrival_s", "next"))
+    while rows:
         steps.append(jump)
         onward = jump.select("request_id", F.col("arrival_s").alias("_to"), F.col("next").alias("_then"))
         reached = jump.withColumn("_to", F.col("next.arrival_s")).join(onward, ["request_id", "_to"])
-        jump = staged(reached.select("request_id", "arrival_s", F.col("_then").alias("next")))
+        jump, rows = staged_count(reached.select("request_id", "arrival_s", F.col("_then").alias("next")))
     taken = links.filter("starts").select("request_id", "arrival_s", "ord")
     for step in reversed(steps):
         both = F.array_compact(F.array(F.struct("arrival_s", "ord"), F.col("next")))
