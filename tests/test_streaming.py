@@ -172,6 +172,21 @@ def test_convergence_stream_counts_skipped_and_split_reads(spark, tmp_path):
     assert pick(got) == pick(want) == [(1, 4, 1)]
 
 
+def test_convergence_stream_stops_at_the_expected_number(spark, tmp_path, rocks):
+    """A page that reaches its announced number stops at once, as in the batch rule."""
+    rng = random.Random(3)
+    reads = [
+        {"page": p, "attempt": k, "item": f"i{rng.randint(0, 9)}", "n": (0, 3, 5, 99)[p % 4]} for k in range(1, 9) for p in range(12) for _ in range(rng.randint(0, 3))
+    ]
+    by_attempt = [[r for r in reads if r["attempt"] == k] for k in range(1, 9)]
+    folder = files(tmp_path, "exp", [by_attempt[0], [*by_attempt[1], *by_attempt[2]], *by_attempt[3:]])
+    schema = "page long, attempt int, item string, n long"
+    got = drain(U.convergence_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder), expected="n"), tmp_path, "exp")
+    want = snapshot_convergence(spark.read.schema(schema).json(folder), ["page"], "item", expected="n").filter("converged")
+    pick = lambda df: sorted((r["page"], r["stop_attempt"], r["merged_count"]) for r in df.collect())
+    assert pick(got) == pick(want) and any(r[1] < 4 for r in pick(want))
+
+
 def test_daily_once_takes_the_local_day(spark, tmp_path):
     alerts = [{"task_id": "a", "event_ts": f"2026-01-01T{t}:00Z"} for t in ("16:30", "16:45", "17:30")]
     stream = spark.readStream.schema("task_id string, event_ts timestamp").json(files(tmp_path, "local", [alerts]))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -60,9 +59,10 @@ def stream_upsert(stream: DataFrame, root: str, columns: list[str], checkpoint:
 
 
 class _Convergence(StatefulProcessor):
-    """Per page: items seen, reads so far, length of the unchanged streak.
+    """Per page: items seen, reads so far, length of the unchanged streak, and whether the page has stopped.
 
-    Numbers that were skipped count as unchanged reads; a read that arrives in pieces counts once.
+    Numbers that were skipped count as unchanged reads; a read that arrives in pieces counts once. What a page has seen goes
+    when it stops; only the mark that it has stopped is kept.
     """
 
     def __init__(self, max_attempts: int):
@@ -72,12 +72,14 @@ class _Convergence(StatefulProcessor):
         self.items = handle.getMapState("items", "item string", "seen boolean")
         self.reads = handle.getValueState("reads", "attempt int, merged long, stable int, done boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         attempt, merged, stable, done = self.reads.get() if self.reads.exists() else (0, 0, 0, False)
         by_attempt: dict[int, set[str]] = {}
-        for frame in rows:
-            for number, item in zip(frame["attempt"], frame["item"]):
-                by_attempt.setdefault(int(number), set()).add(item)
+        expected = 0
+        for row in rows if not done else ():
+            by_attempt.setdefault(row["attempt"], set()).add(row["item"])
+            expected = max(expected, row["expected"] or 0)
+        result = Row("page", "stop_attempt", "merged_count")
         for number in sorted(by_attempt):
             if done or number > self.max_attempts:
                 break
@@ -93,23 +95,26 @@ class _Convergence(StatefulProcessor):
                 elif number > attempt:
                     stable += 1
                 attempt, merged = max(attempt, number), merged + len(fresh)
-                done = stable >= STABLE_READS and attempt >= MIN_ATTEMPT
+                done = (stable >= STABLE_READS and attempt >= MIN_ATTEMPT) or 0 < expected <= merged
             if done:
-                yield pd.DataFrame({"page": [key[0]], "stop_attempt": [attempt], "merged_count": [merged]})
+                self.items.clear()
+                yield result(key[0], attempt, merged)
         self.reads.update((attempt, merged, stable, done))
 
     def close(self) -> None:
         pass
 
 
-def convergence_stream(stream: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def convergence_stream(stream: DataFrame, max_attempts: int = MAX_ATTEMPTS, expected: str | None = None) -> DataFrame:
     """Stream of pages that have converged; input rows ``(page, attempt, item)``.
 
+    ``expected`` names a column with the number that a page announces: a page that has reached it stops with that read.
     A page is read at most ``max_attempts`` times, so the reads of one page in a micro-batch are few.
     Needs the RocksDB state store.
     """
-    rows = stream.select(F.col("page").cast("long"), F.col("attempt").cast("int"), F.col("item").cast("string"))
-    return rows.groupBy("page").transformWithStateInPandas(
+    announced = F.col(expected).cast("long") if expected else F.lit(None).cast("long")
+    rows = stream.select(F.col("page").cast("long"), F.col("attempt").cast("int"), F.col("item").cast("string"), announced.alias("expected"))
+    return rows.groupBy("page").transformWithState(
         statefulProcessor=_Convergence(max_attempts),
         outputStructType="page long, stop_attempt int, merged_count long",
         outputMode="Append",
