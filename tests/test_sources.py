@@ -55,6 +55,20 @@ def test_register_csv(spark, tmp_path):
     assert df.columns == ["_row_number", *L.SHEET_LABELS] and [(r["_row_number"], r["number"], r["title"]) for r in df.orderBy("_row_number").collect()] == [(2, "1/2020/A1", ""), (3, "", "")]
 
 
+def test_field_entries_and_unknown_filters(spark, tmp_path):
+    one = {"enabled": True, "ma_linh_vuc": ["a", " b "], "ten_linh_vuc": "A", "list_url": "u", "filters": {"doc_type_ids_to_crawl": ["21"]}}
+    path = dump(tmp_path / "c.json", one)
+    row = config.read_field_rows(spark, path).first()
+    assert (row["enabled"], row["field_codes"], row["field_names"], row["doc_type_ids"]) == (True, ["a", "b"], ["A"], ["21"])
+    listed = dump(tmp_path / "d.json", {"own": [one, {**one, "enabled": "true"}, 7]})
+    assert [r["enabled"] for r in config.read_field_rows(spark, listed, fields_key="own").orderBy("ord").collect()] == [True, False]
+    assert config.expand_fields(config.read_field_rows(spark, listed, "own")).count() == 1
+    other = dump(tmp_path / "e.json", {"filters": {"my_fields": ["x"]}})
+    with pytest.raises(ValueError, match="my_fields"):
+        config.read_scan_config(spark, other)
+    assert config.read_scan_config(spark, other, "my_fields").required_fields == ["x"]
+
+
 def test_unreadable_files_and_rows_are_kept_apart(spark, tmp_path):
     (tmp_path / "in").mkdir()
     dump(tmp_path / "in" / "a.json", {"documents": [{"url": "u1"}], "fields": []})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vellum.plans.adapters import number_of, sql_number, table
 from vellum.plans.registry import query
 from vellum.sources import files as S
+from vellum.sources.config import expand_fields, field_rows
 from vellum.sources.quarantine import quarantined, readable
 
 
@@ -132,6 +133,31 @@ def snapshot_lines(spark, folder):
     return rows.select("key", "number", "count", F.col("headings")[0].alias("heading"))
 
 
+# --- rule files -----------------------------------------------------------------------------------
+@query(
+    """WITH f AS (SELECT s_suppkey AS k, unnest(range(0, CASE WHEN s_suppkey % 4 = 0 THEN 1 ELSE 2 END)) AS i FROM supplier WHERE s_suppkey % 6 <> 5),
+      e AS (SELECT k, i, 'https://list.example.org/a.html?n=' || k AS u, CASE WHEN (k + i) % 3 = 0 THEN ['21', '11'] ELSE ['10'] END AS ids FROM f WHERE (k + i) % 5 <> 0)
+    SELECT k AS s_suppkey, i::INT AS ord, CASE WHEN k % 2 = 0 THEN 'a|b' ELSE 'a' END AS codes, d AS crawl_doc_type_id, u || '&DocTypeId=' || d AS list_url FROM (SELECT *, unnest(ids) AS d FROM e)"""
+)
+def field_entries(spark, folder):
+    """Rule files from the suppliers: a list of fields, or one field; some are no JSON."""
+    k = F.col("s_suppkey")
+
+    def entry(i: int):
+        n = k + i
+        ids = F.when(n % 3 == 0, F.array(F.lit("21"), F.lit("11")))
+        codes = F.when(k % 2 == 0, F.to_json(F.array(F.lit("a"), F.lit("b")))).otherwise('"a"')
+        filters = F.to_json(F.struct(ids.alias("doc_type_ids_to_crawl"), F.array(F.lit(" Luật "), F.lit("Công văn")).alias("accepted_doc_types")))
+        enabled = F.when(n % 5 != 0, "true").when(k % 2 == 0, "false").otherwise('"true"')
+        url = F.concat(F.lit("https://list.example.org/a.html?n="), _text("s_suppkey"))
+        return F.concat(F.lit('{"enabled":'), enabled, F.lit(',"ma_linh_vuc":'), codes, F.lit(',"list_url":"'), url, F.lit('","filters":'), filters, F.lit("}"))
+
+    listed = F.concat(F.lit('{"fields":['), entry(0), F.lit(","), entry(1), F.lit(',"x"]}'))
+    text = F.when(k % 6 == 5, '{"fields":[').when(k % 4 == 0, entry(0)).otherwise(listed)
+    rows = field_rows(table(spark, folder, "supplier").select("s_suppkey", text.alias("text")), ["s_suppkey"])
+    return expand_fields(rows).select("s_suppkey", "ord", F.array_join("field_codes", "|").alias("codes"), "crawl_doc_type_id", "list_url")
+
+
 # --- what cannot be read ------------------------------------------------------------------------
 def _faults(name: str, key: str, table_name: str, wrong: str) -> str:
     return f"""SELECT '{name}' AS reader, {key} AS id, CASE {key} % 12 WHEN 3 THEN 'not JSON' WHEN 5 THEN 'not an object' WHEN 7 THEN 'blank' ELSE '{wrong}' END AS reason

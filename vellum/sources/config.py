@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from vellum import labels as L
 from vellum.functions.text import clean_text
 from vellum.functions.urls import build_page_url, set_query_param
+from vellum.sources.files import NAME_KEY
+from vellum.sources.quarantine import file_texts
 
 _STRINGS = T.ArrayType(T.StringType())
 _FILTER_FIELDS = [
@@ -63,8 +65,48 @@ class RuleSet:
         return list(dict.fromkeys(w for w in words if w))
 
 
+def field_rows(texts: DataFrame, keep: list[str], fields_key: str = "fields", name_key: str = NAME_KEY, text: str = "text") -> DataFrame:
+    """Field entries of rule files, one row each, as ``expand_fields`` takes them.
+
+    A file lists its fields under ``fields_key``, or is one entry itself if it has a field code. Codes and display
+    names may be one text or a list; only ``true`` enables an entry.  Texts that are no JSON objects give no rows.
+    """
+    v = F.try_parse_json(text)
+    listed = F.filter(F.coalesce(F.try_variant_get(v, f"$['{fields_key}']", "array<variant>"), F.array().cast("array<variant>")), lambda f: F.startswith(F.schema_of_variant(f), F.lit("OBJECT")))
+    own = F.when(F.try_variant_get(v, "$.ma_linh_vuc", "variant").isNotNull(), F.array(v)).otherwise(F.array().cast("array<variant>"))
+    entries = texts.select(*keep, F.posexplode(F.when(F.size(listed) > 0, listed).otherwise(own)).alias("ord", "_f"))
+
+    def texts_of(path: str) -> Column:
+        many, one = F.try_variant_get("_f", path, "array<string>"), F.try_variant_get("_f", path, "string")
+        values = F.coalesce(many, F.when(one.isNotNull(), F.array(one)), F.array().cast("array<string>"))
+        return F.filter(F.transform(values, clean_text), lambda x: x != "")
+
+    kind = F.schema_of_variant(F.try_variant_get("_f", "$.enabled", "variant"))
+    return entries.select(
+        *keep,
+        "ord",
+        F.coalesce((kind == "BOOLEAN") & F.try_variant_get("_f", "$.enabled", "boolean"), F.lit(False)).alias("enabled"),
+        texts_of("$.ma_linh_vuc").alias("field_codes"),
+        texts_of(f"$['{name_key}']").alias("field_names"),
+        F.coalesce(F.try_variant_get("_f", "$.list_url", "string"), F.lit("")).alias("list_url"),
+        texts_of("$.filters.doc_type_ids_to_crawl").alias("doc_type_ids"),
+        texts_of("$.filters.accepted_doc_types").alias("accepted_doc_types"),
+    )
+
+
+def read_field_rows(spark: SparkSession, path: str, fields_key: str = "fields", name_key: str = NAME_KEY) -> DataFrame:
+    """Field entries of the rule file; a missing file raises."""
+    return field_rows(file_texts(spark, path), [], fields_key, name_key)
+
+
 def read_scan_config(spark: SparkSession, path: str, field_key: str = "required_field_contains") -> RuleSet:
-    """One small JSON object; a missing file raises."""
+    """One small JSON object; a missing file raises, and so do filter lists that are not known, as under
+    another ``field_key``."""
+    names = F.map_keys(F.from_json(F.get_json_object("text", "$.filters"), "map<string,string>"))
+    given = file_texts(spark, path).select(names.alias("n")).first()
+    unknown = sorted(set((given["n"] if given else None) or []) - {field_key, *_FILTER_FIELDS})
+    if unknown:
+        raise ValueError(f"unknown filter lists in {path}: {', '.join(unknown)}")
     row = spark.read.schema(config_schema(field_key)).option("multiLine", True).json(path).first()
     if row is None:
         raise ValueError(f"no configuration in {path}")
