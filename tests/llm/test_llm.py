@@ -494,6 +494,24 @@ def test_shards_fit(spark, tmp_path):
     assert shards.assign(docs.limit(0)).count() == 0
 
 
+def test_written_shards_keep_the_limit_and_their_places(spark, tmp_path):
+    rows = [(7, "x" * 1000, i % 90) for i in range(600)] + [(i, "y" * 100, 0) for i in range(50)]
+    docs = spark.createDataFrame(rows, TEXTS + ", more int")
+    read = []
+    for n, frame in enumerate((docs, docs.repartition(7).orderBy(F.desc("more")))):
+        shards.write_shards(frame, str(tmp_path / f"w{n}"), limit=40_000)
+        read.append([tuple(r) for r in spark.read.parquet(str(tmp_path / f"w{n}")).select("_shard", "doc_id", "more", F.octet_length("text")).collect()])
+    assert sorted(read[0]) == sorted(read[1]) and len(read[0]) == len(rows)
+    size = Counter()
+    for shard, _, _, n_bytes in read[0]:
+        size[shard] += n_bytes
+    assert max(size.values()) <= 40_000
+    want = Counter()
+    for r in shards.assign(docs, limit=40_000).collect():
+        want[r["shard"].replace("/", "-")] += r["n_bytes"]
+    assert size == {f"s{k}": v for k, v in want.items()}
+
+
 # --- pipeline ---
 def test_pipeline_stages(spark):
     import corpus_pipeline

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import staged
+from vellum.operators.skew import running_sum
 
 LIMIT = 4 << 20
 BITS = 60
@@ -80,11 +81,22 @@ def assign(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col
 
 
 def write_shards(docs: DataFrame, folder: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """All columns of ``docs`` as Parquet, one folder per shard (``_shard=...``)."""
+    """All columns of ``docs`` as Parquet, one folder per shard (``_shard=...``).
+
+    Where rows repeated with id and text need several shards, equal rows are counted, numbered in the order of a
+    hash of all columns, and dealt to the shards in turn: as even as ``assign``, and the same
+    whenever a task or the whole is run again. Columns must be of types that can be grouped.
+    """
     own = assign(docs, limit, id_col, text_col)
-    # Several shards only where rows repeat.
-    places = staged(own.groupBy(F.col("h").alias("_h")).agg(F.collect_set("shard").alias("_shards")))
+    base = F.substring_index("shard", "/", 1)
+    places = staged(own.groupBy(F.col("h").alias("_h")).agg(F.min(base).alias("_base"), F.max("pieces").alias("_pieces")))
+    names = docs.columns
     rows = docs.withColumn("_h", row_hash(id_col, text_col)).join(places, "_h")
-    n = F.pmod(F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()), F.size("_shards")).cast("int")
-    shard = F.concat(F.lit("s"), F.regexp_replace(F.get("_shards", n), "/", "-"))
-    rows.withColumn("_shard", shard).select(*docs.columns, "_shard").repartition("_shard").write.partitionBy("_shard").parquet(folder)
+    name = F.concat(F.lit("s"), F.col("_base"))
+    single = rows.filter("_pieces = 1").select(*names, name.alias("_shard"))
+    order = F.pmod(F.xxhash64(*names), F.lit(1 << 40))
+    equal = rows.filter("_pieces > 1").groupBy(*names, "_h", "_base", "_pieces").agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = running_sum(staged(equal.withColumn("_order", order)), ["_h"], "_order", F.col("_copies"), "_end")
+    each = numbered.withColumn("_n", F.explode(F.sequence(F.col("_end") - F.col("_copies"), F.col("_end") - 1)))
+    many = each.select(*names, F.concat(name, F.lit("-"), (F.col("_n") % F.col("_pieces")).cast("string")).alias("_shard"))
+    single.unionByName(many).repartition("_shard").write.partitionBy("_shard").parquet(folder)
