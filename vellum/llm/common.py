@@ -18,11 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends, lost executors lose nothing."""
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -214,7 +214,35 @@ def sweeps(
 
 # --- parts ------------------------------------------------------------------------------------
 
-SENT = "part int, docs binary, train binary, sizes binary, words binary, contexts binary"
+#: names: the distinct words and contexts of a blob; rest: which of its k documents are for training, their numbers of
+#: tokens, and the places in ``names`` of its n words and of their contexts, packed.
+SENT = "part int, docs binary, names binary, rest binary, n int, k int"
+#: Tokens that are dealt to the parts at once: the more, the fewer names are sent again.
+DEALT = 1_500_000
+
+
+def _runs(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``tokens`` of more rows at once."""
+    held, first, size = [], 0, 0
+    for start, found, starts in tokens(texts):
+        if not held:
+            first = start
+        held.append((found, starts))
+        size += len(found)
+        if size >= DEALT:
+            yield first, *_joined(held)
+            held, size = [], 0
+    if held:
+        yield first, *_joined(held)
+
+
+def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.concatenate([np.diff(starts) for _, starts in held])
+    return np.concatenate([found for found, _ in held]), np.r_[0, np.cumsum(sizes)]
+
+
+def _code_type(names: int) -> type:
+    return np.uint16 if names <= 1 << 16 else np.uint32
 
 
 def _send(rows: DataFrame, hot: Heavy, parts: int) -> DataFrame:
@@ -225,7 +253,7 @@ def _send(rows: DataFrame, hot: Heavy, parts: int) -> DataFrame:
         hot = known.value
         for batch in batches:
             doc, train = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            for first, found, starts in tokens(batch.column(2)):
+            for first, found, starts in _runs(batch.column(2)):
                 context = contexts_of(found)
                 row = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
                 own, rest = mix(found.view(np.uint64)), np.arange(len(found))
@@ -243,13 +271,14 @@ def _send(rows: DataFrame, hot: Heavy, parts: int) -> DataFrame:
                     own = rest[order[ends[p] : ends[p + 1]]]
                     if len(own):
                         docs, sizes = np.unique(row[own], return_counts=True)
-                        out.append((p, doc[first + docs].tobytes(), train[first + docs].tobytes(),
-                                    sizes.astype(np.int32).tobytes(), found[own].tobytes(), context[own].tobytes()))
+                        names, codes = np.unique(np.r_[found[own], context[own]], return_inverse=True)
+                        rest_of = train[first + docs].tobytes() + sizes.astype(np.int32).tobytes() + codes.astype(_code_type(len(names))).tobytes()
+                        out.append((p, doc[first + docs].tobytes(), names.tobytes(), pa.compress(rest_of, "zstd", asbytes=True), len(own), len(docs)))
                 if out:
                     columns = list(zip(*out))
+                    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-                        ["part", "docs", "train", "sizes", "words", "contexts"],
+                        [pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "docs", "names", "rest", "n", "k"]
                     )
 
     return rows.select("row", "train", "text").mapInArrow(run, SENT)
@@ -289,12 +318,20 @@ PACKED_TYPES = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("v", pa.int6
 
 def _pack(hot: Heavy, buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        def column(name, kind):
-            return np.concatenate([np.frombuffer(b.as_buffer(), kind) for b in table.column(name)])
-
-        docs, train, sizes = column("docs", np.int64), column("train", bool), column("sizes", np.int32)
+        docs, train, sizes, words, contexts = [], [], [], [], []
+        for own_docs, own_names, rest, n, k in zip(*(table.column(c) for c in ("docs", "names", "rest", "n", "k"))):
+            n, k, names = n.as_py(), k.as_py(), np.frombuffer(own_names.as_buffer(), np.int64)
+            kind = np.dtype(_code_type(len(names)))
+            raw = np.frombuffer(pa.decompress(rest.as_buffer(), 5 * k + 2 * n * kind.itemsize, "zstd"), np.uint8)
+            docs.append(np.frombuffer(own_docs.as_buffer(), np.int64))
+            train.append(raw[:k].view(bool))
+            sizes.append(raw[k : 5 * k].copy().view(np.int32))
+            codes = raw[5 * k :].copy().view(kind)
+            words.append(names[codes[:n]])
+            contexts.append(names[codes[n:]])
+        docs, train, sizes, words, contexts = map(np.concatenate, (docs, train, sizes, words, contexts))
         part, learn = table.column("part")[0].as_py(), np.repeat(train, sizes)
-        own = _contents(part, column("words", np.int64), column("contexts", np.int64), hot, buckets, None, learn, docs, sizes)
+        own = _contents(part, words, contexts, hot, buckets, None, learn, docs, sizes)
         return pa.Table.from_pylist([own], PACKED_TYPES)
 
     return run
@@ -568,7 +605,7 @@ def score(
     parts = 1 + size // 6 // part  # at six bytes a token
     buckets = contexts or parts
     hot = heavy(keyed, size // 6, parts)
-    packed = staged(_send(keyed, hot, parts).groupBy("part").applyInArrow(_pack(hot, buckets), PACKED))
+    packed = staged(_send(keyed, hot, parts).groupBy("part").applyInArrow(_pack(hot, buckets), PACKED), "zstd")
     every, top = packed, None
     if len(hot.keys):
         top = _contents(-1, hot.word, hot.context, hot, buckets, _heavy_pairs(keyed, hot))
