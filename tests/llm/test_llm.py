@@ -3,6 +3,7 @@
 import hashlib
 import re
 import sys
+import time
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -110,6 +111,19 @@ def test_private_keys_are_masked_whole(spark):
         assert [(x["start"], x["ord"], x["end"], x["kind"]) for x in r["spans"]] == plain_secrets(r["text"])
 
 
+def test_secrets_of_long_hostile_texts(spark):
+    """Unclosed key headers and many matches take time in proportion, and texts never move."""
+    head = "-----BEGIN RSA PRIVATE KEY-----"
+    rows = [(1, f"{head}\nQUJD x\n" * 8000), (2, "token=abcdefgh, " * 8000), (3, f"{head}\n" + "a-b " * 30_000), (4, f"{head}\nA-b: c\n" * 300 + "-----END RSA PRIVATE KEY-----")]
+    frame = spark.createDataFrame(rows, TEXTS)
+    found = secrets.find_secrets(frame)
+    start = time.time()
+    for r in found.collect():
+        assert [(x["start"], x["ord"], x["end"], x["kind"]) for x in r["spans"]] == plain_secrets(r["text"])
+    assert time.time() - start < 20
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_secrets_without_trigrams_and_empty(spark):
     only = (secrets.RULES[2],)
     assert secrets.find_secrets(spark.createDataFrame([(1, "f" * 24)], TEXTS), only).first()["spans"]

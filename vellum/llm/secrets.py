@@ -1,9 +1,9 @@
 """Secret scan through a trigram inverted index.
 
-Each rule's regex is turned into a Boolean trigram query (OR of ANDs). The index holds postings
-(trigram, row) for the trigrams that some query names; postings are intersected per clause, and
-only rows that satisfy a rule's query are read with its regex. A rule without mandatory trigrams is
-scanned on every row.
+Each rule's regex is turned into a Boolean trigram query (OR of ANDs). The index holds, for every row, its postings
+of the trigrams that some query names; they are made and intersected per clause where the row is read, so
+that no text leaves its task, and only rows that satisfy a rule's query are read with its regex. A rule without
+mandatory trigrams is scanned on every row.
 
 Cases: a null text is read as empty. Repeated rows and null ids keep one output row each. Spans are
 code points, end exclusive. All matches of a kind are leftmost and do not overlap; matches shorter
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 from re import _constants as sre
 from re import _parser
 
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_STRINGS, MAX_CLASS = 64, 8
+BLOCK = 128
 SPAN = "array<struct<start:int,ord:int,end:int,kind:string>>"
 
 
@@ -50,11 +52,12 @@ RULES = (
     Rule("access", "AKIA[A-Z0-9]{16,}"),
     Rule("hex", "[0-9a-f]{24,}"),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", base=False),
-    # To the matching END line; without one, over what follows of base64 and line ends. Classes only: a
-    # repeated group would take stack for each line of a long text.
+    # To the matching END line; without one, over what follows of base64 and line ends. Five dashes end the run, so
+    # that a key without an END is read to the next BEGIN only. Classes and a bounded group: a group repeated
+    # without bound would take stack for each line of a long text.
     Rule(
         "private_key",
-        "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=,:.\\x5c\\x20\\t\\r\\n-]*?-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:\\x5c[rn]|[\\r\\n])[A-Za-z0-9+/=\\x5c\\r\\n]*)?",
+        "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=,:.\\x5c\\x20\\t\\r\\n]*(?:-{1,4}[A-Za-z0-9+/=,:.\\x5c\\x20\\t\\r\\n]+){0,40}-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:\\x5c[rn]|[\\r\\n])[A-Za-z0-9+/=\\x5c\\r\\n]*)?",
         base=False,
     ),
 )
@@ -143,68 +146,73 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
 # --- index and postings ----------------------------------------------------------------------
 
 
-def postings(rows: DataFrame, trigrams: list[str]) -> DataFrame:
-    """(row, trigram) for each of the trigrams that a row's text holds. rows: row, text."""
-    low = rows.select("row", F.lower("text").alias("low"))
-    held = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams)))
-    return low.select("row", F.explode(held).alias("trigram"))
-
-
-def candidates(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame | None:
-    """(row, kinds): the rules whose trigram query a row satisfies. None if no rule has one."""
-    terms = [
-        (rule.kind, n, t, len(clause))
-        for rule in rules
-        for n, clause in enumerate(trigram_query(rule.pattern))
-        for t in clause
-    ]
-    if not terms:
-        return None
-    # As many rows as the rules' clauses have trigrams, whatever the size of the data.
-    query = rows.sparkSession.createDataFrame(terms, "kind string, clause int, trigram string, need int")
-    # A row is one key, so its postings meet in one small group; no posting list passes one task.
-    return (
-        postings(rows, sorted({t[2] for t in terms}))
-        .distinct()
-        .join(F.broadcast(query), "trigram")
-        .groupBy("row", "kind", "clause", "need")
-        .count()
-        .filter("count = need")
-        .groupBy("row")
-        .agg(F.collect_set("kind").alias("kinds"))
-    )
+def held_trigrams(low: Column, rules: tuple[Rule, ...]) -> Column:
+    """A row's postings: those trigrams of the rules' queries that its lower-cased text holds."""
+    terms = sorted({t for rule in rules for clause in trigram_query(rule.pattern) for t in clause})
+    held = [F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in terms]
+    return F.array_compact(F.array(*held)) if held else F.array().cast("array<string>")
+
+
+def satisfied(held: Column, rule: Rule) -> Column:
+    """Whether the postings hold all trigrams of some clause of the rule's query."""
+    clauses = [F.size(F.array_except(F.array(*map(F.lit, sorted(c))), held)) == 0 if c else F.lit(True) for c in trigram_query(rule.pattern)]
+    return reduce(lambda x, y: x | y, clauses)
 
 
 # --- verification ----------------------------------------------------------------------------
 
 
 def _spans(n: int, rule: Rule) -> Column:
-    """Spans from the matches m, the pieces between them p and the tested groups g."""
-    step = F.aggregate(
-        F.sequence(F.lit(0), F.size(f"m{n}") - 1),
-        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
-        lambda acc, i: F.struct(
-            (acc["at"] + F.length(F.get(f"p{n}", i)) + F.length(F.get(f"m{n}", i))).alias("at"),
-            F.when(
-                F.length(F.get(f"g{n}", i)) >= rule.least,
+    """Spans from the matches m, the pieces between them p and the tested groups g.
+
+    Places are summed in blocks of ``BLOCK`` matches and then over the blocks, so that no list is copied
+    once per match of a long text.
+    """
+    many = F.size(f"m{n}")
+    lengths = F.transform(
+        F.sequence(F.lit(0), many - 1),
+        lambda i: F.struct(
+            F.length(F.get(f"p{n}", i)).alias("gap"), F.length(F.get(f"m{n}", i)).alias("own"), F.length(F.get(f"g{n}", i)).alias("tested")
+        ),
+    )
+
+    def placed(block: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,tested:int>>").alias("out"))
+        return F.aggregate(
+            block,
+            none,
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + x["own"]).alias("at"),
                 F.concat(
                     acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + F.length(F.get(f"p{n}", i))).alias("start"),
-                            F.lit(n).alias("ord"),
-                            (acc["at"] + F.length(F.get(f"p{n}", i)) + F.length(F.get(f"m{n}", i))).alias("end"),
-                            F.lit(rule.kind).alias("kind"),
-                        )
-                    ),
+                    F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["own"]).alias("end"), x["tested"].alias("tested"))),
+                ).alias("out"),
+            ),
+        )
+
+    starts = F.sequence(F.lit(0), F.floor((many - 1) / BLOCK).cast("int"))
+    # The lengths are bound once for all blocks.
+    blocks = F.flatten(F.transform(F.array(lengths), lambda all_: F.transform(starts, lambda b: placed(F.slice(all_, b * BLOCK + 1, BLOCK)))))
+
+    def joined(parts: Column) -> Column:
+        before = F.aggregate(
+            parts,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"],
+        )
+        return F.flatten(
+            F.zip_with(
+                parts,
+                before,
+                lambda x, at: F.transform(
+                    F.filter(x["out"], lambda s: s["tested"] >= rule.least),
+                    lambda s: F.struct((s["start"] + at).alias("start"), F.lit(n).alias("ord"), (s["end"] + at).alias("end"), F.lit(rule.kind).alias("kind")),
                 ),
             )
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.size(f"m{n}") > 0, step).otherwise(F.array().cast(SPAN))
+        )
+
+    return F.when(many > 0, F.flatten(F.transform(F.array(blocks), joined))).otherwise(F.array().cast(SPAN))
 
 
 def find_secrets(
@@ -221,21 +229,11 @@ def find_secrets(
     """
     rest = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"), rest.alias("rest"))
-    # Two rows with one hash only share their candidate rules; the regex decides on each text.
-    rows = rows.withColumn("row", F.xxhash64("id", "text"))
-    found = candidates(rows, rules)
-    if found is None:
-        rows = rows.withColumn("kinds", F.array().cast("array<string>"))
-    else:
-        rows = rows.join(found, "row", "left")
+    low = rows.withColumn("low", F.lower("text"))
+    held = low.select("id", "text", "rest", held_trigrams(F.col("low"), rules).alias("held"))
     none = F.array().cast("array<string>")
-    parts = []
-    for n, rule in enumerate(rules):
-        hit = F.col("text").rlike(rule.pattern)
-        if all(trigram_query(rule.pattern)):
-            hit = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)) & hit
-        parts.append(hit.alias(f"h{n}"))
-    rows = rows.select("id", "text", "rest", *parts)
+    parts = [(satisfied(F.col("held"), rule) & F.col("text").rlike(rule.pattern)).alias(f"h{n}") for n, rule in enumerate(rules)]
+    rows = held.select("id", "text", "rest", *parts)
     parts = []
     for n, rule in enumerate(rules):
         pattern = F.lit(rule.pattern)
