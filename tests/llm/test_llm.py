@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent / "tools"))
 
 from check import compare, connection  # noqa: E402
 
-from vellum.llm import bpe, chat, decontaminate, graph, jaccard, lm, quality, repeats, secrets, shards, topk  # noqa: E402
+from vellum.llm import bpe, chat, common, decontaminate, graph, jaccard, lm, quality, repeats, secrets, shards, topk  # noqa: E402
 from vellum.llm.queries import CHECKS, QUERIES  # noqa: E402
 from vellum.plans import CHECKS as ALL_CHECKS  # noqa: E402
 from vellum.plans import QUERIES as ALL_QUERIES  # noqa: E402
@@ -336,6 +336,18 @@ def test_hits_equal_brute_force(spark):
     assert rows_of(decontaminate.digest(decontaminate.scan(clashing(spark, DOCS), items.limit(0)))) == plain_hits(DOCS, [])
 
 
+def test_hits_beyond_the_broadcast_bound(spark, monkeypatch):
+    """Windows are shuffled as places and hashes; the words are compared in the document."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    plans = []
+    monkeypatch.setattr(decontaminate, "staged", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or common.staged(df))
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert rows_of(decontaminate.digest(decontaminate.scan(clashing(spark, DOCS), items))) == plain_hits(DOCS, ITEMS)
+    assert rows_of(decontaminate.digest(decontaminate.scan(clashing(spark, DOCS), items.limit(0)))) == plain_hits(DOCS, [])
+    joined = [line for plan in plans for line in plan.splitlines() if "Join" in line and "h#" in line and "words" in line]
+    assert len(plans) == 6 and not joined
+
+
 def test_clean_removes_documents_or_spans(spark):
     docs, items = clashing(spark, DOCS), spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontaminate.clean(docs, items)

@@ -4,8 +4,9 @@ Words are read after lower-casing A-Z. A window is ``size`` consecutive words of
 shorter item with at least one word is one window. Document windows are hashed inside the scan,
 looked up in the set of benchmark windows and compared word by word, so a hash never decides alone.
 
-The window set is broadcast only while it has at most ``BROADCAST_WINDOWS`` windows (counted);
-beyond that the same join runs without the hint, on the window's hash.
+The window set is broadcast only while it takes at most ``BROADCAST_BYTES`` (counted). Beyond that the
+windows of the documents are shuffled by their hash, as places only; the few that are found come back to
+their documents, where the words are compared. Both ways give the same rows.
 
 Cases: null texts have no words. Repeated rows and null ids give one output row each. Items without
 words, and null item ids, are never listed; windows of an item with a null id still count as hits.
@@ -17,11 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import ascii_lower
+from vellum.llm.common import ascii_lower, staged
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SIZE = 10
-BROADCAST_WINDOWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
 def words(text: Column) -> Column:
@@ -36,8 +37,8 @@ def _hash_at(size: int) -> Column:
     )
 
 
-def windows(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(h, size, gram, items): the distinct windows with the ids of their items."""
+def placed_windows(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(item, size, h, gram): every window of every item."""
     items = benchmark.select(F.col(id_col).alias("item"), words(F.col(text_col)).alias("words")).filter(
         F.size("words") > 0
     )
@@ -50,50 +51,56 @@ def windows(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", tex
     hashed = F.lit(None).cast("long")
     for n in range(1, size + 1):
         hashed = F.when(F.col("size") == n, _hash_at(n)).otherwise(hashed)
-    return (
-        at.select("item", "size", hashed.alias("h"), F.slice("words", F.col("i") + 1, F.col("size")).alias("gram"))
-        .groupBy("h", "size", "gram")
-        .agg(F.collect_set("item").alias("items"))
+    return at.select("item", "size", hashed.alias("h"), F.slice("words", F.col("i") + 1, F.col("size")).alias("gram"))
+
+
+def windows(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(h, size, gram, items): the distinct windows with the ids of their items."""
+    return placed_windows(benchmark, size, id_col, text_col).groupBy("h", "size", "gram").agg(F.collect_set("item").alias("items"))
+
+
+def _places(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """The rows with every place ``i`` from -1 and the hash ``h`` of the ``n`` words there."""
+    at = rows.select("*", F.explode(F.sequence(F.lit(-1), F.size("words") - 1)).alias("i"))
+    if len(sizes) == 1:
+        return at.select("*", F.lit(sizes[0]).alias("n"), _hash_at(sizes[0]).alias("h"))
+    pairs = F.array(*(F.struct(F.lit(n).alias("n"), _hash_at(n).alias("h")) for n in sizes))
+    return at.select(*rows.columns, "i", F.inline(pairs))
+
+
+def _per_row_shuffled(rows: DataFrame, placed: DataFrame, sizes: list[int]) -> DataFrame:
+    """(id, row, row2, n_words, copies, found, items) with the windows shuffled by hash, without their words."""
+    placed = staged(placed.distinct())
+    grams = placed.select("h", F.col("size").alias("n"), "gram").distinct()
+    at = _places(rows, sizes).select("row", "row2", "i", "n", "h").filter("h is not null")
+    hits = at.join(placed.select("h", F.col("size").alias("n")).distinct(), ["h", "n"]).join(grams, ["h", "n"])
+    # The windows of one document that have a benchmark window's hash.
+    asked = staged(hits.groupBy("row", "row2").agg(F.collect_set(F.struct("i", "n", "h", "gram")).alias("asked")))
+    own = rows.select("row", "row2", "words").join(asked, ["row", "row2"])
+    equal = F.filter("asked", lambda c: F.slice("words", c["i"] + 1, c["n"]) == c["gram"])
+    sure = staged(own.select("row", "row2", equal.alias("sure")).filter(F.size("sure") > 0).dropDuplicates(["row", "row2"]))
+    spans = F.array_sort(F.array_distinct(F.transform("sure", lambda c: F.struct(c["i"].alias("i"), (c["i"] + c["n"]).alias("end")))))
+    listed = sure.select("row", "row2", F.explode("sure").alias("c")).select("row", "row2", "c.h", F.col("c.n").alias("size"), "c.gram")
+    items = listed.join(placed, ["h", "size", "gram"]).groupBy("row", "row2").agg(F.collect_set("item").alias("items"))
+    counted = rows.groupBy("id", "row", "row2").agg(F.max(F.size("words")).alias("n_words"), F.count(F.lit(1)).alias("copies"))
+    joined = counted.join(sure.select("row", "row2", spans.alias("found")), ["row", "row2"], "left").join(items, ["row", "row2"], "left")
+    kind = placed.schema["item"].dataType.simpleString()
+    return joined.withColumns(
+        {"found": F.coalesce("found", F.array().cast("array<struct<i:int,end:int>>")), "items": F.coalesce("items", F.array().cast(f"array<{kind}>"))}
     )
 
 
-def scan(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    size: int = SIZE,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-) -> DataFrame:
-    """(id, row, n_words, spans, items) for every row; spans are merged [start, end) word places.
+def _per_row(rows: DataFrame, grams: DataFrame, sizes: list[int]) -> DataFrame:
+    """The same with the window set in every task: the text is read once, and only found windows leave it.
 
-    ``row`` is a hash of id and text. Other columns of the inputs are left out.
+    Place -1 stands for the document itself, so that documents without hits keep a row.
     """
-    grams = windows(benchmark, size, item_col, item_text_col)
-    stats = grams.groupBy("size").count().collect()  # at most ``size`` rows
-    sizes = sorted((r["size"] for r in stats), reverse=True) or [size]
-    if sum(r["count"] for r in stats) <= BROADCAST_WINDOWS:
-        grams = F.broadcast(grams)
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        F.xxhash64(id_col, text_col).alias("row"),
-        F.xxhash64(F.lit("second"), text_col, id_col).alias("row2"),
-        words(F.col(text_col)).alias("words"),
-    )
-    # Place -1 stands for the document itself, so that documents without hits keep a row and the
-    # text is read once.
-    at = rows.select("id", "row", "row2", "words", F.explode(F.sequence(F.lit(-1), F.size("words") - 1)).alias("i"))
-    if len(sizes) == 1:
-        at = at.select("*", F.lit(sizes[0]).alias("n"), _hash_at(sizes[0]).alias("h"))
-    else:
-        pairs = F.array(*(F.struct(F.lit(n).alias("n"), _hash_at(n).alias("h")) for n in sizes))
-        at = at.select("id", "row", "row2", "words", "i", F.inline(pairs))
+    at = _places(rows, sizes)
     # The words are compared as two inequalities: an equality would become a join key and be
     # computed for every window, not only for those whose hash is found.
     own = F.slice(at["words"], at["i"] + 1, at["n"])
     same = (at["h"] == grams["h"]) & (own >= grams["gram"]) & (own <= grams["gram"])
-    seen = at.join(grams, same, "left").select(
+    seen = at.join(F.broadcast(grams), same, "left").select(
         "id",
         "row",
         "row2",
@@ -112,6 +119,37 @@ def scan(
             F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
         )
     )
+    # Each size of the set gave one "self" row.
+    return per_row.select("id", "row", "row2", "n_words", "found", "items", (F.col("copies") / len(sizes)).cast("int").alias("copies"))
+
+
+def scan(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    size: int = SIZE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """(id, row, n_words, spans, items) for every row; spans are merged [start, end) word places.
+
+    ``row`` is a hash of id and text. Other columns of the inputs are left out.
+    """
+    placed = placed_windows(benchmark, size, item_col, item_text_col)
+    each = F.octet_length(F.array_join("gram", " ")) + 64
+    stats = placed.groupBy("size").agg(F.sum(each).alias("bytes")).collect()  # at most ``size`` rows
+    sizes = sorted((r["size"] for r in stats), reverse=True) or [size]
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.xxhash64(id_col, text_col).alias("row"),
+        F.xxhash64(F.lit("second"), text_col, id_col).alias("row2"),
+        words(F.col(text_col)).alias("words"),
+    )
+    if sum(r["bytes"] for r in stats) <= BROADCAST_BYTES:
+        per_row = _per_row(rows, windows(benchmark, size, item_col, item_text_col), sizes)
+    else:
+        per_row = _per_row_shuffled(rows, placed, sizes)
     state = F.array().cast("array<struct<start:int,end:int>>")
     merged = F.aggregate(
         "found",
@@ -131,12 +169,10 @@ def scan(
             ),
         ).otherwise(F.concat(acc, F.array(F.struct(x["i"].alias("start"), x["end"].alias("end"))))),
     )
-    # Rows repeated with id and text came together above; they part again here. Each size of the
-    # set gave one "self" row.
-    copies = (F.col("copies") / len(sizes)).cast("int")
-    return per_row.select(
-        F.col("id").alias(id_col), "row", "n_words", merged.alias("spans"), "items",
-        F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
+    # Rows repeated with id and text came together above; they part again here.
+    spans = per_row.select("id", "row", "n_words", merged.alias("spans"), "items", F.col("copies").cast("int").alias("copies"))
+    return spans.select(
+        F.col("id").alias(id_col), "row", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")
     ).drop("_copy")
 
 
