@@ -582,6 +582,15 @@ def payload_gates(spark, folder):
     )
 
 
+@query(
+    f"""WITH {SQL_REGISTER}, {_PAYLOADS} SELECT id, CASE WHEN number = '' THEN 'Bỏ qua vì thiếu Số hiệu.' WHEN doc_type = 'Quyết định' THEN 'Bỏ qua vì Loại văn bản không dùng: Quyết định'
+      WHEN doc_type NOT IN ('Bộ luật', 'Luật', 'Nghị định', 'Thông tư') THEN 'Bỏ qua vì Loại văn bản không thuộc nhóm dùng cho VBQPPL_Nhap: ' || doc_type ELSE '' END AS message FROM payloads"""
+)
+def gate_messages(spark, folder):
+    rows = _payloads(spark, folder).withColumn("gate_code", D.write_gate_code())
+    return rows.select("id", D.write_gate_message().alias("message"))
+
+
 @query(
     """SELECT event_type, k, count(*) AS n, count(*) FILTER (WHERE event_type IN ('error', 'signup') OR k IN (408, 409, 425, 429)) AS retryable FROM (
       SELECT event_type, 400 + regexp_extract(props, '[0-9]+')::INT AS k FROM events) GROUP BY 1, 2"""

@@ -301,6 +301,15 @@ def expired_scan(spark, folder):
     return _scan(spark, folder).select("old_number", "new_number", "new_title", "reason", "applied_date", "status", "is_partial")
 
 
+@query(
+    f"""WITH {_SCAN} SELECT '2024-01-01' AS detected_at, old_number, '' AS old_title, new_number, new_title, reason, applied_date, status, CASE WHEN is_partial THEN '{L.EXPIRY_YES}' ELSE '{L.EXPIRY_NO}' END AS is_partial,
+      'TRUE' AS dry_run, '' AS deleted_at, '' AS row_json, '{L.EXPIRY_NOTE}' AS note FROM scan"""
+)
+def expiry_log(spark, folder):
+    """The scan in the columns of the log, but the sentence."""
+    return E.expiry_log_rows(_scan(spark, folder), F.lit("2024-01-01")).drop("sentence")
+
+
 @query(
     f"""WITH {_SCAN} SELECT old_number, count(*) AS log_rows FROM scan WHERE old_number <> '' AND status IN ('Chờ xóa tự động', 'Chưa xóa - chưa đến ngày hết hiệu lực')
       AND (applied_date = '' OR strptime(nullif(applied_date, ''), '%d/%m/%Y') <= TIMESTAMP '2025-01-01') GROUP BY 1"""
@@ -474,6 +483,18 @@ def task_state(spark, folder):
     return state.select("_row_number", "outcome", "updates.sync_status", "updates.current_pic", "updates.current_checkpoint")
 
 
+@query(
+    "WITH t AS (" + CHECKS["task_state"] + """)
+    SELECT _row_number AS row_number, c AS "column", v AS value FROM (SELECT _row_number, unnest(['sync_status', 'current_pic', 'current_checkpoint']) AS c,
+      unnest([sync_status, current_pic, current_checkpoint]) AS v FROM t) WHERE v IS NOT NULL"""
+)
+def state_updates(spark, folder):
+    """The task states as cell updates; sync time and due date are left to ``task_state``'s own tests."""
+    rows, heads, active = _state(spark, folder)
+    cells = K.update_rows(K.task_state_join(rows, heads, active, F.lit("now")))
+    return cells.filter(~F.col("column").isin("last_sync", "next_due")).select("row_number", "column", "value")
+
+
 @query(f"""WITH {_STATE} SELECT _row_number, CASE WHEN o_orderstatus = 'O' OR pc IS NULL THEN 'Đã xóa task Planner' ELSE '' END AS sync_status, CASE WHEN o_orderstatus <> 'O' AND pc IS NULL THEN 'now' ELSE '' END AS last_sync FROM joined""")
 def deleted_tasks(spark, folder):
     rows, heads, _ = _state(spark, folder)
