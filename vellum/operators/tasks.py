@@ -224,20 +224,18 @@ def enrich_task(
     cleaned = tasks.withColumns(
         {"_pic": clean_text("current_pic"), "_step": clean_text("current_checkpoint"), "_due": clean_text("next_due")}
     )
-    split = cleaned.withColumns({"_a": F.split("_step", r"\|"), "_b": F.split("_pic", r"\|")})
-    read = split.withColumn("_cells", F.when(F.size("_a") >= 4, F.col("_a")).otherwise(F.col("_b"))).drop("_a", "_b")
+    read = cleaned.withColumns(
+        {"_title": F.coalesce(X.parse_checklist_title("_step"), X.parse_checklist_title("_pic")), "_cells": F.split("_pic", r"\|")}
+    )
+    title, parsed = F.col("_title"), F.col("_title").isNotNull()
     cell = lambda n: clean_text(F.get("_cells", F.lit(n)))
-    parsed = F.size("_cells") >= 4
     can_split = (F.size("_cells") >= 2) if fallback_split else F.lit(False)
-    rest = F.array_join(F.slice("_cells", 4, F.size("_cells")), "|")
-    written = F.when(parsed, clean_text(F.regexp_replace(rest, r"\s*\|\s*", " | "))).otherwise(F.lit(""))
-    due = F.when(parsed, F.regexp_extract(F.get("_cells", F.lit(2)), X.DUE_TEXT, 1))
     rows = read.withColumns(
         {
-            "department": F.when(parsed | can_split, cell(0)).otherwise(F.lit("")),
-            "pic": F.when(parsed, first_text(cell(1), "_pic")).when(can_split, cell(1)).otherwise(F.col("_pic")),
-            "checkpoint": first_text(written, "_step"),
-            "due_date": F.coalesce(day_of(due), date_of("_due")),
+            "department": F.when(parsed, title["department"]).when(can_split, cell(0)).otherwise(F.lit("")),
+            "pic": F.when(parsed, first_text(title["pic"], "_pic")).when(can_split, cell(1)).otherwise(F.col("_pic")),
+            "checkpoint": first_text(F.coalesce(title["step"], F.lit("")), "_step"),
+            "due_date": F.coalesce(day_of(title["due_text"]), date_of("_due")),
             "is_completed": clean_text("sync_status").isin(completed or L.REPORT_COMPLETED),
         }
     )
@@ -248,4 +246,4 @@ def enrich_task(
             "days_overdue": F.when(F.col("is_overdue"), F.date_diff(as_of, "due_date")).otherwise(F.lit(0)),
             "due_text": format_day("due_date"),
         }
-    ).drop("_cells", "_pic", "_step", "_due")
+    ).drop("_title", "_cells", "_pic", "_step", "_due")
