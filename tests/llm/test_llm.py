@@ -538,6 +538,18 @@ def test_written_shards_keep_the_limit_and_their_places(spark, tmp_path):
     assert size == {f"s{k}": v for k, v in want.items()}
 
 
+def test_empty_tables_give_empty_results(spark):
+    import public_tokenizers
+
+    none = spark.createDataFrame([], TEXTS + ", lang string, source string, n_chars long")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert jaccard.join(none).count() == jaccard.keep_one(none).count() == lm.score(none).count() == 0
+    assert bpe.digest(bpe.decode(bpe.encode(none, path), path)).count() == 0
+    assert chat.digest(chat.read_back(chat.formatted(chat.to_turns(chat.as_records(turns))))).count() == 0
+    assert jaccard.keep_one(none).columns == none.columns
+
+
 # --- pipeline ---
 def test_pipeline_stages(spark):
     import corpus_pipeline

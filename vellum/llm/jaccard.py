@@ -22,7 +22,8 @@ change the order and thus the cost, never the result. All sets are whole sets of
 
 Cases: null and empty texts have no set and are linked with nothing; so are rows with a null id,
 whose class is null. Repeated rows are in one class. An id with several texts has one row for each,
-and a class for each set.
+and a class for each set. Ids must be whole numbers, or texts of such; others raise. An empty table has no classes.
+Shingles and sets are told apart by 64-bit hashes, so the join is exact up to their collisions.
 """
 
 from __future__ import annotations

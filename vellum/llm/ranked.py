@@ -165,7 +165,8 @@ def cells(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
         for batch in batches:
             id_type = batch.schema.field(0).type
             for row, data, at in chunks(batch.column(1)):
-                hashes, first, length, bounds, low = word_places(data, at, _BLANK)
+                hashes, first, bounds, low, word = word_places(data, at, _BLANK)
+                length = np.add.reduceat(word, first, dtype=np.int64) if len(first) else first
                 n = np.diff(bounds)
                 term = vocab.find(hashes, first, length, low)
                 owner = np.repeat(np.arange(len(n)), n)[term >= 0]

@@ -20,7 +20,7 @@ judged on the input and never cross documents; occurrences may overlap and may l
 Hashes of texts, k-grams and contexts have 64 bits.
 
 Cases: null and empty texts have no bytes and keep none. Repeated rows and null ids give one row each;
-texts shorter than ``LENGTH`` stay whole.
+texts shorter than ``LENGTH`` stay whole. Ids that are not whole numbers raise.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ pieces of about ``PIECE`` vectors by blocks of about ``BLOCK`` queries.
 Cases: vectors that are null or hold a null, NaN or infinite component take no part, as query or
 candidate. Shorter vectors count as filled up with zeros; empty ones score 0. Repeated rows are
 candidates as often as they occur; a query that is repeated with the same vector is answered once. A
-query's own id is never its candidate. Null ids take no part. Scores outside 64 bits stop at its
+query's own id is never its candidate. Null ids take no part; ids that are not whole numbers raise. Scores outside 64 bits stop at its
 ends. Empty inputs give no rows.
 """
 

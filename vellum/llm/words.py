@@ -67,7 +67,7 @@ def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, np.ndarra
 
 
 def word_places(data: np.ndarray, at: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, ...]:
-    """(hash, first byte and length of each word, where the words of each row start, lower-cased bytes)."""
+    """(hash and first byte of each word, where the words of each row start, lower-cased bytes, which bytes are words)."""
     low = _LOWER[data]
     word = ~blank[low]
     start = word.copy()
@@ -77,20 +77,19 @@ def word_places(data: np.ndarray, at: np.ndarray, blank: np.ndarray = _SPACE) ->
     first = np.flatnonzero(start)
     bounds = np.searchsorted(first, at)
     if not len(first):
-        return np.zeros(0, np.uint64), first, first, bounds, low
+        return np.zeros(0, np.uint64), first, bounds, low, word
     place = np.zeros(len(data), np.int32)
     place[first] = first
     place = np.arange(len(data), dtype=np.int32) - np.maximum.accumulate(place)
     place[~word] = 0
     value = (low + np.uint64(1)) * _POWERS.up_to(int(place.max()) + 1)[place]
     value[~word] = 0
-    length = np.add.reduceat(word, first, dtype=np.int64)
-    return mix(np.add.reduceat(value, first)), first, length, bounds, low
+    return mix(np.add.reduceat(value, first)), first, bounds, low, word
 
 
 def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, where the words of each row start)."""
-    hashes, _, _, bounds, _ = word_places(data, at)
+    hashes, _, bounds, _, _ = word_places(data, at)
     return hashes, bounds
 
 
