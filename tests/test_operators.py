@@ -1,6 +1,7 @@
 """Operators on small hand-built frames: ties, blanks, duplicates, heavy keys, properties."""
 
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -472,3 +473,28 @@ def test_report_blocks(spark):
     run = spark.createDataFrame([("t", False)], "created_at string, ok boolean")
     lines = [r["line"] for r in report_lines(spark, run_report(spark, "R", {"run": run})).orderBy("section", "ord").collect()]
     assert L.REPORT_TEXTS["production"] in lines and L.REPORT_TEXTS["conclusion"] in lines and "Kết luận: CHƯA ĐẠT" in lines
+
+
+# --- texts stand in a plan once -------------------------------------------------------------
+def _copies(df, word):
+    return df._jdf.queryExecution().optimizedPlan().toString().lower().count(word)
+
+
+PAYLOAD = "doc_type string, title string, doc_number string, url string, number_on_page string"
+
+
+def _payload(spark, data):
+    """Payload rows without relations; the page says only its number."""
+    blank = {c: F.lit("") for c in [*L.OFFICIAL_COLUMNS, "field_name", "field_code", "source_list_url", "mapped_field", "sequence_id", "scanned_at", "basis_text", "basis_hint", "relation_note"]}
+    info = F.struct(F.col("number_on_page").alias("number"), *[F.lit("").alias(c) for c in ("title", "doc_type", "effective_date")])
+    df = spark.createDataFrame(data, PAYLOAD).withColumns({**blank, "has_relations": F.lit(False), "info": info})
+    return documents.build_payload(df, "N")
+
+
+def test_payload_reads_each_text_once(spark):
+    got = _payload(spark, [("Luật", "a  b", " 1/2020/TT-GDĐT ", "u1", "9"), ("", "", "", "u2", "2/2021/nd-cp"), ("", "", "", "u3", None), (None, None, None, None, None)])
+    ids = [hashlib.md5(x.encode()).hexdigest()[:16] for x in ("1/2020/TT-GDĐT", "2/2021/nd-cp", "u3")]
+    assert rows(got, "url", "id", "number", "title") == [
+        ("", "", "", ""), ("u1", ids[0], "1/2020/TT-BGDĐT", "a b"), ("u2", ids[1], "2/2021/NĐ-CP", ""), ("u3", ids[2], "", ""),
+    ]
+    assert _copies(got, "regexp_replace") <= 40  # was 166

@@ -39,14 +39,24 @@ def clean_text(c) -> Column:
 def normalize_text(c) -> Column:
     """Non-breaking spaces to spaces, runs of blanks and of newlines to one, stripped."""
     text = F.translate(F.coalesce(col(c), F.lit("")), "\u00a0", " ")
-    text = F.regexp_replace(text, r"[ \t]+", " ")
+    text = F.regexp_replace(text, r"[ \t]{2,}|\t", " ")  # a single space is one already
     text = F.regexp_replace(text, r"\n{2,}", "\n")
     return F.btrim(text, F.lit(BLANKS))
 
 
+def once(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once per row, however often the body names it.
+
+    A Column named n times stands n times in the plan; where such Columns feed each other the
+    copies multiply, so that a projection outgrows what the JVM compiles.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def first_text(*cols) -> Column:
     """The first argument that is not blank, else blank."""
-    return F.coalesce(*[F.nullif(col(c), F.lit("")) for c in cols], F.lit(""))
+    *before, last = [col(c) for c in cols]
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in before], last, F.lit(""))
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
@@ -65,7 +75,7 @@ def first_hit(text: Column, words: list[str]) -> Column:
     """The first word, in list order, that occurs in the text; NULL when none does."""
     if not words:
         return F.lit(None).cast("string")
-    return F.coalesce(*[F.when(F.contains(text, F.lit(w)), F.lit(w)) for w in words])
+    return once(text, lambda t: F.coalesce(*[F.when(F.contains(t, F.lit(w)), F.lit(w)) for w in words]))
 
 
 def clean_keyword(c) -> Column:
@@ -120,13 +130,9 @@ def canonical_number(c) -> Column:
     text = F.upper(normalize_text(c))
     text = F.regexp_replace(text, r"\s*/\s*", "/")
     text = F.regexp_replace(text, r"\s*-\s*", "-")
-    parts = F.split(text, "/")
-    suffix = F.element_at(parts, -1)
-    head = F.substring(text, F.lit(1), F.length(text) - F.length(suffix))
-    text = F.when(
-        (F.size(parts) >= 3) & suffix.isin(L.CIRCULAR_SUFFIX_VARIANTS),
-        F.concat(head, F.lit(L.CIRCULAR_SUFFIX)),
-    ).otherwise(text)
+    variants = "|".join(re.escape(v) for v in L.CIRCULAR_SUFFIX_VARIANTS)
+    # one pattern, so that the text stands in the plan once: a third or later part that is a variant
+    text = F.regexp_replace(text, rf"(?s)^([^/]*/.*/)(?:{variants})\z", f"$1{L.CIRCULAR_SUFFIX}")
     text = F.regexp_replace(text, r"/N[DĐ][- ]*CP$", "/NĐ-CP")
     return F.regexp_replace(text, r"/QH\s*(\d+)$", "/QH$1")
 
@@ -173,8 +179,8 @@ def document_type(c, types: list[str] | None = None) -> Column:
 
 
 def stable_id(number, url) -> Column:
-    seed = first_text(number, url)
-    return F.when(seed == "", F.lit("")).otherwise(F.substring(F.md5(seed), 1, 16))
+    seed = F.coalesce(F.nullif(col(number), F.lit("")), F.nullif(col(url), F.lit("")))
+    return F.coalesce(F.substring(F.md5(seed), 1, 16), F.lit(""))
 
 
 def sequence_id(n) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vellum import labels as L
 from vellum.functions.text import (
     canonical_number, clean_text, contains_any, document_number, first_hit, first_text,
-    inferred_relation_status, normalize_text, relation_status, stable_id,
+    inferred_relation_status, normalize_text, once, relation_status, stable_id,
 )
 from vellum.sources.config import RuleSet
 
@@ -34,17 +34,16 @@ def _value_after(lines: Column, at: Column) -> Column:
     return F.when(at > 0, value).otherwise(F.lit(""))
 
 
-def _date_in(lines: Column, *words: str) -> Column:
-    def dated(x: Column) -> Column:
-        return contains_any(F.lower(x), list(words)) & F.regexp_like(x, F.lit(L.DATE_PATTERN))
-
-    return F.coalesce(F.regexp_extract(_first_line(lines, dated), L.DATE_PATTERN, 1), F.lit(""))
+def _date_in(dated: Column, *words: str) -> Column:
+    """The date of the first line, of those with a date, that holds one of the words."""
+    line = _first_line(dated, lambda x: contains_any(F.lower(x), list(words)))
+    return F.coalesce(F.regexp_extract(line, L.DATE_PATTERN, 1), F.lit(""))
 
 
 def document_fields(df: DataFrame, lines: str, out: str = "info") -> DataFrame:
     """Number, title, type, issuer, dates, field and validity from the lines of a page.
 
-    Number, title and label places are columns of their own, worked out once per page.
+    Number, title, label places and lines with a date are columns of their own, worked out once per page.
     """
     c = F.col(lines)
     read = df.withColumns({"_low": F.transform(c, F.lower), "_no": document_number(F.array_join(c, "\n"))})
@@ -57,6 +56,7 @@ def document_fields(df: DataFrame, lines: str, out: str = "info") -> DataFrame:
     placed = read.withColumns(
         {
             **{f"_at_{name}": _line_with("_low", label) for name, label in _LABELS.items()},
+            "_dated": F.filter(c, lambda x: F.regexp_like(x, F.lit(L.DATE_PATTERN))),
             "_title": F.coalesce(_first_line(c, titled), F.get(c, F.lit(0)), F.lit("")),
         }
     )
@@ -70,12 +70,12 @@ def document_fields(df: DataFrame, lines: str, out: str = "info") -> DataFrame:
         F.col("_title").alias("title"),
         kind.alias("doc_type"),
         value["issuer"].alias("issuer"),
-        _date_in(c, "ban hành").alias("issued"),
-        _date_in(c, "hiệu lực", "áp dụng").alias("effective_date"),
+        _date_in(F.col("_dated"), "ban hành").alias("issued"),
+        _date_in(F.col("_dated"), "hiệu lực", "áp dụng").alias("effective_date"),
         value["field"].alias("field"),
         value["validity"].alias("validity"),
     )
-    return placed.withColumn(out, fields).drop("_low", "_no", "_title", *[f"_at_{name}" for name in _LABELS])
+    return placed.withColumn(out, fields).drop("_low", "_no", "_title", "_dated", *[f"_at_{name}" for name in _LABELS])
 
 
 def map_field(df: DataFrame, mapping: DataFrame, column: str, out: str) -> DataFrame:
@@ -100,9 +100,10 @@ def build_payload(df: DataFrame, source_name: str, include_note: bool = False) -
     Needs listing ``doc_type, title, doc_number, url, field_name, field_code,
     source_list_url``, page struct ``info``, ``mapped_field``, the relation columns
     ``basis … relation_note``, ``has_relations``, ``sequence_id`` and ``scanned_at``.
+    The number, which id and number column share, is worked out first.
     """
-    info = F.col("info")
-    number = first_text(normalize_text("doc_number"), normalize_text(info["number"]))
+    info, number = F.col("info"), F.col("_payload_number")
+    df = df.withColumn("_payload_number", first_text(normalize_text("doc_number"), normalize_text(info["number"])))
     hint = F.coalesce(F.col("basis_hint"), F.lit(""))
     hints = F.size(F.filter(F.split(hint, "\n"), lambda x: clean_text(x) != ""))
     note = F.concat(

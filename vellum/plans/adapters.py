@@ -42,6 +42,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows dealt to all cores: a file of few bytes a row is read by few tasks, however much
+    work its rows are."""
+    spark = rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(tasks)
+
+
 def as_of() -> Column:
     return F.lit(AS_OF)
 

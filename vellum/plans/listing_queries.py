@@ -13,7 +13,7 @@ from vellum.operators import sequences as S
 from vellum.operators.dedup import keyword_union, merge_first, merge_sources
 from vellum.plans.adapters import (
     LISTING_RULES, SQL_LINKS, SQL_LISTING, SQL_PAGE_EDGES, SQL_REGISTER, links, listing, number_of,
-    page_edges, register, sql_number, sql_pick, table,
+    page_edges, register, spread, sql_number, sql_pick, table,
 )
 from vellum.plans.registry import query
 from vellum.sources.config import config_issues as find_config_issues
@@ -506,7 +506,7 @@ def _page_lines():
       substr(status_date, 1, 10) AS effective_date, field, 'Còn hiệu lực' AS validity FROM register"""
 )
 def document_fields(spark, folder):
-    rows = register(spark, folder).select("_row_number", _page_lines().alias("lines"))
+    rows = spread(register(spark, folder)).select("_row_number", _page_lines().alias("lines"))
     return D.document_fields(rows, "lines").select("_row_number", "info.*")
 
 
@@ -529,7 +529,7 @@ def page_document_fields(spark, folder):
 
 
 def _payloads(spark, folder):
-    lined = D.document_fields(register(spark, folder).withColumn("lines", _page_lines()), "lines")
+    lined = D.document_fields(spread(register(spark, folder)).withColumn("lines", _page_lines()), "lines")
     rows = lined.withColumns({"doc_number": F.lower("number"), "mapped_field": F.col("field"), "_t": F.col("title")})
     shaped = rows.withColumns(
         {
