@@ -498,3 +498,10 @@ def test_payload_reads_each_text_once(spark):
         ("", "", "", ""), ("u1", ids[0], "1/2020/TT-BGDĐT", "a b"), ("u2", ids[1], "2/2021/NĐ-CP", ""), ("u3", ids[2], "", ""),
     ]
     assert _copies(got, "regexp_replace") <= 40  # was 166
+
+
+def test_gate_message_reads_each_text_once(spark):
+    df = spark.createDataFrame([("1", "Luật", "x VBHN", "1", None), ("2", "Luật", None, "1", "cong-van")], "id string, doc_type string, title string, number string, url string")
+    said = df.withColumn("gate_code", documents.write_gate_code()).select("id", documents.write_gate_message().alias("m"))
+    assert [m.split(": ")[1] for _, m in rows(said, "id", "m")] == ["vbhn", "cong-van"]
+    assert _copies(said, "lower(") <= 4

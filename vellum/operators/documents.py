@@ -186,8 +186,12 @@ def write_gate_code() -> Column:
 def write_gate_message() -> Column:
     """Text for the gate code: what was missing, the type, or the first keyword found."""
     title, url = F.lower(F.coalesce("title", F.lit(""))), F.lower(F.coalesce("url", F.lit("")))
-    word = F.coalesce(
-        *[F.when(F.contains(title, F.lit(w)) | F.contains(url, F.lit(w)), F.lit(w)) for w in L.WRITE_GATE_KEYWORDS], F.lit("")
+    word = once(
+        F.struct(title.alias("title"), url.alias("url")),
+        lambda t: F.coalesce(
+            *[F.when(F.contains(t["title"], F.lit(w)) | F.contains(t["url"], F.lit(w)), F.lit(w)) for w in L.WRITE_GATE_KEYWORDS],
+            F.lit(""),
+        ),
     )
     return (
         F.when(F.col("gate_code") == "MISSING_SO_HIEU", "Bỏ qua vì thiếu Số hiệu.")
