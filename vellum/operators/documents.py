@@ -148,24 +148,28 @@ def payload_required_message(required: list[str] | None = None) -> Column:
 
 def payload_skip_reason(rules: RuleSet) -> Column:
     """First rule that keeps a payload from being sent, with the hit; blank to send."""
-    kind, number = normalize_text("doc_type"), normalize_text("number")
     clean = lambda words: [w for w in (x.strip().lower() for x in words) if w]
     accepted = rules.accepted_doc_types or L.ACCEPTED_DOC_TYPES
     by_title = first_hit(F.lower(normalize_text("title")), clean(rules.title_keywords))
     by_url = first_hit(F.lower(normalize_text("url")), [*L.HARD_BLOCKED_URL_KEYWORDS, *clean(rules.url_keywords)])
-    low = F.lower(number)
-    by_number = F.coalesce(
-        *[F.when(F.contains(low, F.lit(w.strip().lower())), F.lit(w.strip())) for w in rules.number_keywords if w.strip()],
-        F.lit(None).cast("string"),
+    words = [w.strip() for w in rules.number_keywords if w.strip()]
+    by_number = once(
+        F.lower(normalize_text("number")),
+        lambda low: F.coalesce(*[F.when(F.contains(low, F.lit(w.lower())), F.lit(w)) for w in words], F.lit(None).cast("string")),
     )
-    return (
-        F.when(kind == "", F.lit("missing_doc_type"))
+    # without a hit the concat is NULL, and later texts are read only then
+    by_words = F.coalesce(
+        F.concat(F.lit("exclude_title_keywords:"), by_title),
+        F.concat(F.lit("exclude_url_keywords:"), by_url),
+        F.concat(F.lit("exclude_so_hieu_keywords:"), by_number),
+        F.lit(""),
+    )
+    return once(
+        normalize_text("doc_type"),
+        lambda kind: F.when(kind == "", F.lit("missing_doc_type"))
         .when(~kind.isin(accepted), F.concat(F.lit("not_in_accepted_doc_types:"), kind))
         .when(kind.isin(rules.skip_doc_types), F.concat(F.lit("skip_doc_types:"), kind))
-        .when(by_title.isNotNull(), F.concat(F.lit("exclude_title_keywords:"), by_title))
-        .when(by_url.isNotNull(), F.concat(F.lit("exclude_url_keywords:"), by_url))
-        .when(by_number.isNotNull(), F.concat(F.lit("exclude_so_hieu_keywords:"), by_number))
-        .otherwise("")
+        .otherwise(by_words),
     )
 
 

@@ -155,7 +155,7 @@ def _url_errors(url: Column, rules: RuleSet, lead: str) -> list[Column]:
     return [
         F.when(token != "", _joined(f"{lead}excluded_path:", token)),
         F.when(~required, F.lit(f"{lead}not_in_required_paths")),
-        F.when(blocked.isNotNull(), _joined(f"{lead}blocked_url_keyword:", blocked)),
+        _joined(f"{lead}blocked_url_keyword:", blocked),  # NULL without a hit
     ]
 
 
@@ -164,8 +164,8 @@ def _text_errors(title: Column, number: Column, rules: RuleSet, lead: str) -> li
     by_title = first_hit(F.lower(clean_text(title)), [w for w in words if w])
     by_number = first_hit(F.upper(clean_text(number)), [w.strip().upper() for w in rules.number_keywords if w.strip()])
     return [
-        F.when(by_title.isNotNull(), _joined(f"{lead}title_keyword:", by_title)),
-        F.when(by_number.isNotNull(), _joined(f"{lead}number_keyword:", by_number)),
+        _joined(f"{lead}title_keyword:", by_title),
+        _joined(f"{lead}number_keyword:", by_number),
     ]
 
 
