@@ -520,3 +520,16 @@ def test_gate_message_reads_each_text_once(spark):
     said = df.withColumn("gate_code", documents.write_gate_code()).select("id", documents.write_gate_message().alias("m"))
     assert [m.split(": ")[1] for _, m in rows(said, "id", "m")] == ["vbhn", "cong-van"]
     assert _copies(said, "lower(") <= 4
+
+
+def test_digest_reads_the_due_date_once(spark):
+    cells = [(1, "An | 1/5/2026"), (2, "b"), (None, "c"), (3, "b")]
+    data = [(n, f"n{n}", "t", f"T{i}", "", "D | p@x | Hạn hoàn thành: 1/5/2026 | s" if n == 3 else "", "p@x" if n != 3 else c, "2026-05-0%dT17:00:00Z" % (i + 1)) for i, (n, c) in enumerate(cells)]
+    df = spark.createDataFrame(data, "_row_number long, number string, title string, task_id string, sync_status string, current_checkpoint string, current_pic string, next_due string")
+    side = spark.createDataFrame([(f"T{i}", f"u{i}") for i in range(4)], "task_id string, task_url string")
+    alerts = reports.overdue_alerts(df.join(side, "task_id"), F.lit(D(2026, 5, 20)))
+    lines = reports.digest_lines(alerts, F.lit(D(2026, 5, 20)), "short")
+    got = rows(lines, "pic", "line_ord", "row_ord", "html")
+    assert [r[:2] for r in got if r[1] in (-(2**62), 2**62)] == [("p@x", -(2**62)), ("p@x", 2**62)]
+    assert "p@x () — 4 task" in got[0][3].replace("</b>", "").replace("(D)", "()") and len(got) == 6
+    assert _copies(lines, "gettimestamp") <= 4  # two readings of two spellings: for the heads and for the lines

@@ -77,24 +77,25 @@ def _part(text: Column, n: int) -> Column:
     return clean_text(F.split_part(text, F.lit("|"), F.lit(n)))
 
 
-def _has_four(text: Column) -> Column:
+def has_four(text: Column) -> Column:
     return F.regexp_like(text, F.lit(r"^(?s:[^|]*\|){3}"))
 
 
 def parse_checklist_title(c) -> Column:
     """Struct of department, pic, due text and step; NULL below four parts."""
-    text = col(c)
+    return F.when(has_four(col(c)), checklist_parts(col(c)))
+
+
+def checklist_parts(text: Column) -> Column:
+    """The struct of ``parse_checklist_title`` for a text known to have four parts."""
     due = F.regexp_extract(F.split_part(text, F.lit("|"), F.lit(3)), DUE_TEXT, 1)
     rest = clean_text(F.regexp_replace(text, r"^(?s:[^|]*\|){3}", ""))
     step = F.regexp_replace(rest, r"\s*\|\s*", " | ")
-    return F.when(
-        _has_four(text),
-        F.struct(
-            _part(text, 1).alias("department"),
-            _part(text, 2).alias("pic"),
-            due.alias("due_text"),
-            clean_text(step).alias("step"),
-        ),
+    return F.struct(
+        _part(text, 1).alias("department"),
+        _part(text, 2).alias("pic"),
+        due.alias("due_text"),
+        clean_text(step).alias("step"),
     )
 
 
@@ -104,7 +105,7 @@ def parse_checklist_item(c) -> Column:
     third = F.split_part(text, F.lit("|"), F.lit(3))
     due = F.when(F.contains(third, F.lit(":")), clean_text(F.regexp_replace(third, r"^[^:]*:", ""))).otherwise(F.lit(""))
     return F.when(
-        _has_four(text),
+        has_four(text),
         F.struct(
             _part(text, 1).alias("department"),
             _part(text, 2).alias("pic"),

@@ -108,10 +108,19 @@ def person_digest(alerts: DataFrame) -> DataFrame:
 
     The tasks themselves stay in rows, see ``digest_lines``.
     """
-    first = F.min(F.struct("_row_number", "department"))["department"]
-    return alerts.groupBy("pic").agg(
-        F.count(F.lit(1)).alias("tasks"), F.sum("days_overdue").alias("days"), first.alias("department")
-    ).orderBy(F.desc("days"), "pic")
+    return _person_totals(alerts).orderBy(F.desc("days"), "pic")
+
+
+def _person_totals(alerts: DataFrame) -> DataFrame:
+    """Numbers are added up per person and department first, which needs no sort of the alerts; the
+    first department (no row number before the least) is taken from those groups."""
+    row = F.when(F.count_if(F.col("_row_number").isNull()) == 0, F.min("_row_number"))
+    groups = alerts.groupBy("pic", "department").agg(
+        F.count(F.lit(1)).alias("_tasks"), F.sum("days_overdue").alias("_days"), row.alias("_row")
+    )
+    return groups.groupBy("pic").agg(
+        F.sum("_tasks").alias("tasks"), F.sum("_days").alias("days"), F.min(F.struct("_row", "department"))["department"].alias("department")
+    )
 
 
 def _escape(c: Column) -> Column:
@@ -135,7 +144,7 @@ def digest_lines(alerts: DataFrame, as_of: Column, kind: str = "person") -> Data
     style = alert_level("days_overdue")
     name = _escape(short_text("title", 40))
     step, due = _escape(F.col("checkpoint")), F.col("due_text")
-    heads = person_digest(alerts)
+    heads = _person_totals(alerts)
     who, dept, count = _escape(F.col("pic")), _escape(F.col("department")), F.col("tasks").cast("string")
     if kind == "person":
         head = F.concat(F.lit("<h3>⚠️ Bạn có "), count, F.lit(" văn bản quá hạn trên Planner ("), day, F.lit(")</h3><ul>"))
@@ -159,9 +168,9 @@ def digest_lines(alerts: DataFrame, as_of: Column, kind: str = "person") -> Data
         raise ValueError(f"unknown digest kind {kind}")
     lines = alerts.select("pic", (-F.col("days_overdue")).cast("long").alias("line_ord"), F.col("_row_number").alias("row_ord"), body.alias("html"))
     low, high = F.lit(-(2**62)).cast("long"), F.lit(2**62).cast("long")
-    first = heads.select("pic", low.alias("line_ord"), F.lit(0).cast("long").alias("row_ord"), head.alias("html"))
-    last = heads.select("pic", high.alias("line_ord"), F.lit(0).cast("long").alias("row_ord"), tail.alias("html"))
-    return first.unionByName(lines).unionByName(last)
+    zero = F.lit(0).cast("long").alias("row_ord")
+    ends = F.array(F.struct(low.alias("line_ord"), zero, head.alias("html")), F.struct(high.alias("line_ord"), zero, tail.alias("html")))
+    return heads.select("pic", F.inline(ends)).unionByName(lines)
 
 
 def state_rows(processed: DataFrame, as_of: Column) -> DataFrame:

@@ -219,15 +219,18 @@ def enrich_task(
     """Department, person, step, due date, completed, overdue and days overdue per row.
 
     The checkpoint is read as a checklist title first, then the person column; with
-    ``fallback_split`` a person cell ``department | person`` is split.
+    ``fallback_split`` a person cell ``department | person`` is split.  The due date leaves an
+    explode of one entry: a filter on it stays above, and does not take the date's whole reading,
+    once per mention, down into the join the rows come from.
     """
     cleaned = tasks.withColumns(
         {"_pic": clean_text("current_pic"), "_step": clean_text("current_checkpoint"), "_due": clean_text("next_due")}
     )
-    read = cleaned.withColumns(
-        {"_title": F.coalesce(X.parse_checklist_title("_step"), X.parse_checklist_title("_pic")), "_cells": F.split("_pic", r"\|")}
-    )
-    title, parsed = F.col("_title"), F.col("_title").isNotNull()
+    listed = [F.when(X.has_four(F.col(c)), F.col(c)) for c in ("_step", "_pic")]
+    read = cleaned.withColumns({"_list": F.coalesce(*listed), "_cells": F.split("_pic", r"\|")})
+    title, parsed = X.checklist_parts(F.col("_list")), F.col("_list").isNotNull()
+    read = read.withColumn("_written", title["due_text"])
+    read = read.withColumn("due_date", F.explode(F.array(F.coalesce(day_of("_written"), date_of("_due")))))
     cell = lambda n: clean_text(F.get("_cells", F.lit(n)))
     can_split = (F.size("_cells") >= 2) if fallback_split else F.lit(False)
     rows = read.withColumns(
@@ -235,7 +238,6 @@ def enrich_task(
             "department": F.when(parsed, title["department"]).when(can_split, cell(0)).otherwise(F.lit("")),
             "pic": F.when(parsed, first_text(title["pic"], "_pic")).when(can_split, cell(1)).otherwise(F.col("_pic")),
             "checkpoint": first_text(F.coalesce(title["step"], F.lit("")), "_step"),
-            "due_date": F.coalesce(day_of(title["due_text"]), date_of("_due")),
             "is_completed": clean_text("sync_status").isin(completed or L.REPORT_COMPLETED),
         }
     )
@@ -246,4 +248,4 @@ def enrich_task(
             "days_overdue": F.when(F.col("is_overdue"), F.date_diff(as_of, "due_date")).otherwise(F.lit(0)),
             "due_text": format_day("due_date"),
         }
-    ).drop("_title", "_cells", "_pic", "_step", "_due")
+    ).drop("_list", "_written", "_cells", "_pic", "_step", "_due")
