@@ -276,6 +276,27 @@ def test_keep_one_decides_by_row(spark):
     assert rows_of(jaccard.keep_one(spark.createDataFrame(rows, TEXTS))) == sorted(rows[:2], key=repr)
 
 
+def test_staged_leaves_no_shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {str(p) for d in manager.localDirs() for p in Path(d.toString()).rglob("shuffle_*")}
+    before, setting = files(), spark.conf.get(common.CLEANUP, None)
+    rows = common.staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    deadline = time.time() + 20
+    while files() - before and time.time() < deadline:  # executors are told, not waited for
+        time.sleep(0.2)
+    assert not files() - before
+    assert rows.count() == 7 and spark.conf.get(common.CLEANUP, "false") == (setting or "false")
+
+
+def test_sets_travel_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SENT", 1000)
+    blobs, own = jaccard._Blobs(40), jaccard.mix(np.arange(20_000, dtype=np.uint64))
+    for node in range(4):
+        blobs.add(own[node::4], node, 5000)
+    sizes = [sum(map(len, b.column(1).to_pylist())) for b in jaccard._blob_batches(blobs)]
+    assert sum(sizes) == 20 * 20_000 and len(sizes) > 10 and max(sizes) < 8 * 1000 + 20 * 1000
+
+
 def test_link_region_needs_triangle_bound():
     rng = np.random.default_rng(5)
     base = np.arange(100, dtype=np.uint64)

@@ -50,10 +50,12 @@ AT_ONCE = 64
 #: A region whose cut makes more rows than this many times its own is joined in blocks.
 MOST_COPIES = 3
 #: Shingles a part of the shuffle holds, about.
-PART = 2_000_000
+PART = 750_000
 #: One text in SAMPLE, chosen by hash, tells which shingles are frequent: those in 3 sampled sets.
 SAMPLE, TIMES, FREQUENT = 8, 3, 1 << 20
-FLUSH = 1_500_000
+FLUSH = 500_000
+#: Bytes of text that are cut at once, and shingles that a batch of sets holds, about: a worker keeps what it once used.
+CUT, SENT = 500_000, 500_000
 
 
 def linked(inter, union):
@@ -67,7 +69,7 @@ def first_shingles(n):
 
 def text_sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, int]]:
     """(row, sorted distinct shingles, node) of every text with words."""
-    for first, data, at in chunks(texts):
+    for first, data, at in chunks(texts, CUT):
         hashes, bounds = shingle_hashes(*word_hashes(data, at), SIZE)
         for r in range(len(at) - 1):
             if bounds[r] < bounds[r + 1]:
@@ -169,7 +171,13 @@ _BLOB = {"part": pa.int32(), "blob": pa.binary()}
 
 
 def _blob_batches(blobs: _Blobs) -> Iterator[pa.RecordBatch]:
-    rows = list(blobs.out())
+    rows, held = [], 0
+    for row in blobs.out():
+        rows.append(row)
+        held += len(row[1])
+        if held > 8 * SENT:
+            yield _batch({"part": [r[0] for r in rows], "blob": [r[1] for r in rows]}, _BLOB)
+            rows, held = [], 0
     if rows:
         yield _batch({"part": [r[0] for r in rows], "blob": [r[1] for r in rows]}, _BLOB)
 
@@ -217,7 +225,7 @@ def candidates(docs: DataFrame, text_col: str, frequent: np.ndarray, parts: int,
                 often = held_in(own, known.value)
                 rare, reach = own[~often], first_shingles(len(own))
                 # A negative size marks a node whose first shingles reach the frequent ones.
-                blobs.add(rare[:reach], node, -len(own) if len(rare) < reach else len(own))
+                blobs.add(rare[:reach].copy(), node, -len(own) if len(rare) < reach else len(own))
                 if blobs.held > FLUSH or len(blobs.nodes) > FLUSH:
                     yield from _flush(blobs)
         yield from _flush(blobs)
@@ -392,6 +400,7 @@ def _cut(members: DataFrame, regions: list[int], next_region: int) -> tuple[Data
         pivots, names = sent.value
         for batch in batches:
             out: dict[str, list] = {k: [] for k in kinds}
+            held = 0
 
             def put(region, node, shingles, a=None, b=None):
                 for k, v in zip(kinds, (region, node, shingles, a, b)):
@@ -417,6 +426,10 @@ def _cut(members: DataFrame, regions: list[int], next_region: int) -> tuple[Data
                         put(names[region, k], node, mine)
                 if home >= 0 and least >= 1 - RADIUS - 1e-9:
                     put(names[region, -1], node, mine)
+                held += len(own) * (1 + int((away[: max(home, 0)] <= least + 2 * RADIUS + 1e-9).sum()))
+                if held > SENT:
+                    yield _batch(out, kinds)
+                    out, held = {k: [] for k in kinds}, 0
             yield _batch(out, kinds)
 
     rows = members.filter(F.col("region").isin(regions)).select("region", "node", "shingles")
@@ -526,11 +539,15 @@ def _sets_of_nodes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"node": pa.int64(), "shingles": pa.list_(pa.int64())}
         for batch in batches:
-            asked, out = batch.column(0).to_pylist(), {"node": [], "shingles": []}
+            asked, out, held = batch.column(0).to_pylist(), {"node": [], "shingles": []}, 0
             for r, own, node in text_sets(batch.column(1)):
                 if node == asked[r]:  # an id may have other texts
                     out["node"].append(node)
                     out["shingles"].append(own.view(np.int64))
+                    held += len(own)
+                if held > SENT:
+                    yield _batch(out, kinds)
+                    out, held = {"node": [], "shingles": []}, 0
             yield _batch(out, kinds)
 
     return texts.mapInArrow(run, "node bigint, shingles array<bigint>").dropDuplicates(["node"])
