@@ -486,6 +486,33 @@ def test_lm_every_word_is_a_context(spark):
     assert -1 < whole.score.sum() / whole.n_tokens.sum() < 0
 
 
+def test_lm_parts_are_read_in_place(spark):
+    rows = spark.range(100).select((F.col("id") % 10).cast("int").alias("part"), "id")
+    packed = common.staged_by(rows, "part", 10)
+    both = packed.groupBy("part").cogroup(spark.range(10).select(F.col("id").cast("int").alias("part")).groupBy("part"))
+    joined = both.applyInArrow(lambda x, y: x.select(["part"]).slice(0, 1), "part int")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1  # of the other side only
+    assert rows_of(packed) == rows_of(rows) and joined.count() == 10
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+
+
+def test_lm_names_a_document_to_one_part(spark):
+    rows = spark.createDataFrame([(i, i % 2 == 0, " ".join(f"w{(i * j) % 500}" for j in range(60))) for i in range(200)], "row long, train boolean, text string")
+    none = np.zeros(0, np.int64)
+    sent = lm._send(rows.coalesce(1), lm.Heavy(none, none, none), 8)
+    assert sent.select("part").distinct().count() == 8
+    assert sent.agg(F.sum(F.octet_length("docs"))).first()[0] == 8 * 200
+
+
+def test_lm_repeated_rows_in_several_runs(spark):
+    rows = [(i % 30, " ".join(f"w{(i % 30 * j) % 70}" for j in range(1 + i % 30))) for i in range(120)]
+    one = lm.score(spark.createDataFrame(rows, TEXTS).coalesce(1), part=300)
+    four = lm.score(spark.createDataFrame(rows, TEXTS).repartition(4), part=300)
+    columns = ["doc_id", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6)]
+    assert rows_of(one.select(*columns)) == rows_of(four.select(*columns)) and four.count() == 120
+
+
 def test_lm_heavy_words_and_pairs(spark):
     rng = np.random.default_rng(11)
     rows = [(i, " ".join(["hot pair" if rng.random() < 0.4 else f"hot v{rng.integers(9)}" if rng.random() < 0.3 else f"w{rng.integers(200)}" for _ in range(30)])) for i in range(200)]

@@ -27,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import staged
+from vellum.llm.common import staged, staged_by
 from vellum.llm.words import chunks, mix, word_hashes
 
 #: At most so many words and pairs, about, are heavy.
@@ -214,9 +215,10 @@ def sweeps(
 
 # --- parts ------------------------------------------------------------------------------------
 
-#: names: the distinct words and contexts of a blob; rest: which of its k documents are for training, their numbers of
-#: tokens, and the places in ``names`` of its n words and of their contexts, packed.
-SENT = "part int, docs binary, names binary, rest binary, n int, k int"
+#: run: the rows that were dealt at once; docs: all of them, sent with one part only; names: the distinct words and
+#: contexts of a blob; rest: which of its k documents are for training, their numbers of tokens, their places in the run
+#: as steps, and the places in ``names`` of its n words and of their contexts, packed.
+SENT = "part int, run bigint, docs binary, names binary, rest binary, n int, k int"
 #: Tokens that are dealt to the parts at once: the more, the fewer names are sent again.
 DEALT = 1_500_000
 
@@ -245,12 +247,17 @@ def _code_type(names: int) -> type:
     return np.uint16 if names <= 1 << 16 else np.uint32
 
 
+def _run_key(rows: np.ndarray, task: int, run: int) -> int:
+    own = mix(rows.view(np.uint64) + mix(np.arange(len(rows), dtype=np.uint64))).sum(dtype=np.uint64)
+    return int(mix(mix(np.array([own ^ np.uint64(task)], np.uint64)) + np.uint64(run)).view(np.int64)[0])
+
+
 def _send(rows: DataFrame, hot: Heavy, parts: int) -> DataFrame:
     """Tokens but those of heavy pairs, by part: words and contexts, document by document."""
     known = rows.sparkSession.sparkContext.broadcast(hot)  # at most some HEAVY words and pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = known.value
+        hot, runs = known.value, 0
         for batch in batches:
             doc, train = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
             for first, found, starts in _runs(batch.column(2)):
@@ -267,32 +274,40 @@ def _send(rows: DataFrame, hot: Heavy, parts: int) -> DataFrame:
                 order = np.argsort(part, kind="stable")
                 ends = np.searchsorted(part[order], np.arange(parts + 1))
                 out = []
+                # Told by task and number, so that rows which come again are a run of their own, and by content, so
+                # that a task which runs again over other rows cannot be mistaken.
+                run = _run_key(doc[first : first + len(starts) - 1], TaskContext.get().partitionId(), runs)
+                runs += 1
                 for p in range(parts):
                     own = rest[order[ends[p] : ends[p + 1]]]
                     if len(own):
                         docs, sizes = np.unique(row[own], return_counts=True)
                         names, codes = np.unique(np.r_[found[own], context[own]], return_inverse=True)
-                        rest_of = train[first + docs].tobytes() + sizes.astype(np.int32).tobytes() + codes.astype(_code_type(len(names))).tobytes()
-                        out.append((p, doc[first + docs].tobytes(), names.tobytes(), pa.compress(rest_of, "zstd", asbytes=True), len(own), len(docs)))
+                        steps = np.diff(docs, prepend=0).astype(np.int32)
+                        rest_of = train[first + docs].tobytes() + sizes.astype(np.int32).tobytes() + steps.tobytes() + codes.astype(_code_type(len(names))).tobytes()
+                        out.append([p, run, None, names.tobytes(), pa.compress(rest_of, "zstd", asbytes=True), len(own), len(docs)])
                 if out:
+                    out[run % len(out)][2] = doc[first : first + len(starts) - 1].tobytes()
                     columns = list(zip(*out))
-                    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+                    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "docs", "names", "rest", "n", "k"]
+                        [pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "run", "docs", "names", "rest", "n", "k"]
                     )
 
     return rows.select("row", "train", "text").mapInArrow(run, SENT)
 
 
 #: Contents of a part. ends: where the contexts of each bucket end; shared, heavy: places of the heavy
-#: words among the part's words and among all heavy words.
+#: words among the part's words and among all heavy words; docs: places of the documents in their runs, as steps; runs,
+#: each: the runs and how many documents of them; homes, held, rows: the runs of which all rows are kept here, how many, which.
 KINDS = {"word": np.int32, "context": np.int32, "count": np.int32, "names": np.int64, "ends": np.int32, "shared": np.int32, "heavy": np.int32,
-         "docs": np.int64, "sizes": np.int32, "pairs": np.int32}
+         "docs": np.int32, "sizes": np.int32, "pairs": np.int32, "runs": np.int64, "each": np.int32, "homes": np.int64, "held": np.int32, "rows": np.int64}
 PACKED = "part int, n bigint, v bigint, seen bigint, words bigint, " + ", ".join(f"{k} binary" for k in KINDS)
 SEATED = ("word", "context", "count", "names", "ends", "shared", "heavy")
+DEALT_OUT = ("docs", "sizes", "runs", "each", "homes", "held", "rows")
 
 
-def _contents(part: int, words: np.ndarray, contexts: np.ndarray, hot: Heavy, buckets: int, count=None, learn=None, docs=(), sizes=()) -> dict:
+def _contents(part: int, words: np.ndarray, contexts: np.ndarray, hot: Heavy, buckets: int, count=None, learn=None, dealt=()) -> dict:
     """A packed part, from its pairs with counts, or from its tokens and which of them are training ones."""
     found, word = np.unique(words, return_inverse=True)
     names, context = np.unique(contexts, return_inverse=True)
@@ -309,7 +324,7 @@ def _contents(part: int, words: np.ndarray, contexts: np.ndarray, hot: Heavy, bu
     total[shared] = 0
     ends = np.searchsorted(bucket[order], np.arange(buckets), "right")
     out = {"word": word, "context": context, "count": count, "names": names[order], "ends": ends, "shared": shared, "heavy": at[shared],
-           "docs": docs, "sizes": sizes, "pairs": pair if learn is not None else ()}
+           "pairs": pair if learn is not None else ()} | dict(zip(DEALT_OUT, dealt or ((),) * len(DEALT_OUT)))
     return {"part": part, "n": int(count.sum()), "v": int((total > 0).sum()), "seen": int((count > 0).sum()), "words": len(found)} | {k: np.asarray(out[k]).astype(t).tobytes() for k, t in KINDS.items()}
 
 
@@ -319,20 +334,23 @@ PACKED_TYPES = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("v", pa.int6
 def _pack(hot: Heavy, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         docs, train, sizes, words, contexts = [], [], [], [], []
-        for own_docs, own_names, rest, n, k in zip(*(table.column(c) for c in ("docs", "names", "rest", "n", "k"))):
+        for own_names, rest, n, k in zip(*(table.column(c) for c in ("names", "rest", "n", "k"))):
             n, k, names = n.as_py(), k.as_py(), np.frombuffer(own_names.as_buffer(), np.int64)
             kind = np.dtype(_code_type(len(names)))
-            raw = np.frombuffer(pa.decompress(rest.as_buffer(), 5 * k + 2 * n * kind.itemsize, "zstd"), np.uint8)
-            docs.append(np.frombuffer(own_docs.as_buffer(), np.int64))
+            raw = np.frombuffer(pa.decompress(rest.as_buffer(), 9 * k + 2 * n * kind.itemsize, "zstd"), np.uint8)
             train.append(raw[:k].view(bool))
             sizes.append(raw[k : 5 * k].copy().view(np.int32))
-            codes = raw[5 * k :].copy().view(kind)
+            docs.append(raw[5 * k : 9 * k].copy().view(np.int32))
+            codes = raw[9 * k :].copy().view(kind)
             words.append(names[codes[:n]])
             contexts.append(names[codes[n:]])
         docs, train, sizes, words, contexts = map(np.concatenate, (docs, train, sizes, words, contexts))
+        runs, each = table.column("run").to_numpy(), table.column("k").to_numpy()
+        kept = [(r, np.frombuffer(x.as_buffer(), np.int64)) for r, x in zip(runs, table.column("docs")) if x.is_valid]
+        rows = np.concatenate([np.zeros(0, np.int64), *(x for _, x in kept)])
         part, learn = table.column("part")[0].as_py(), np.repeat(train, sizes)
-        own = _contents(part, words, contexts, hot, buckets, None, learn, docs, sizes)
-        return pa.Table.from_pylist([own], PACKED_TYPES)
+        dealt = (docs, sizes, runs, each, [r for r, _ in kept], [len(x) for _, x in kept], rows)
+        return pa.Table.from_pylist([_contents(part, words, contexts, hot, buckets, None, learn, dealt)], PACKED_TYPES)
 
     return run
 
@@ -499,39 +517,42 @@ def _pair_values(own: dict[str, np.ndarray], done: dict[str, np.ndarray], n: int
 
 
 SCORED = "row bigint, known bigint, base double, score double"
+RUN_SUMS = ["run", "rows", "steps", "known", "base", "score"]
 
 
-def _score_parts(packed: DataFrame, totals: DataFrame, start: World, later: World, rounds: int, n: int, v: int, heavy_count: np.ndarray, parts: int) -> DataFrame:
+def _score_parts(packed: DataFrame, totals: DataFrame, start: World, later: World, rounds: int, n: int, v: int, heavy_count: np.ndarray) -> DataFrame:
     """What the tokens of all parts add to each document."""
 
     def run(left: pa.Table, got: pa.Table) -> pa.Table:
         own = _read(left, 0)
         values = _pair_values(own, _all_sweeps(own, got, start, later, rounds), n, v, heavy_count)
         starts = np.r_[0, np.cumsum(own["sizes"])[:-1]]
-        each = [np.add.reduceat(x[own["pairs"]], starts, dtype=float) for x in values]
-        docs, back = np.unique(own["docs"], return_inverse=True)
-        known, own_base, own_score = (np.bincount(back, x, len(docs)) for x in each)
-        # Packed by bucket of documents: a part and a bucket exchange one row.
-        sums = (known.astype(np.uint32), own_base, own_score.astype(np.float32))
-        bucket = (mix(docs.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        ends = np.searchsorted(bucket[order], np.arange(parts + 1))
-        full = np.flatnonzero(np.diff(ends))
-        blobs = [[x[order[ends[b] : ends[b + 1]]].tobytes() for b in full] for x in (docs, *sums)]
-        return pa.table([pa.array(full.astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["bucket", "row", "known", "base", "score"])
+        known, own_base, own_score = (np.add.reduceat(x[own["pairs"]], starts, dtype=float) for x in values)
+        # Packed by run: a part and a run exchange one row, and the rows of a run one more.
+        sums = (own["docs"], known.astype(np.uint32), own_base, own_score.astype(np.float32))
+        cuts = np.r_[0, np.cumsum(own["each"])]
+        blobs = [[x[cuts[i] : cuts[i + 1]].tobytes() for i in range(len(own["each"]))] for x in sums]
+        sent = pa.table([pa.array(own["runs"]), pa.nulls(len(own["runs"]), pa.binary()), *(pa.array(b, pa.binary()) for b in blobs)], RUN_SUMS)
+        cuts = np.r_[0, np.cumsum(own["held"])]
+        rows = pa.array([own["rows"][cuts[i] : cuts[i + 1]].tobytes() for i in range(len(own["held"]))], pa.binary())
+        return pa.concat_tables([sent, pa.table([pa.array(own["homes"]), rows, *(pa.nulls(len(rows), pa.binary()) for _ in sums)], RUN_SUMS)])
 
     def add(table: pa.Table) -> pa.Table:
-        docs, *sums = (
-            np.concatenate([np.frombuffer(b.as_buffer(), kind) for b in table.column(name)])
-            for name, kind in (("row", np.int64), ("known", np.uint32), ("base", np.float64), ("score", np.float32))
-        )
-        docs, back = np.unique(docs, return_inverse=True)
-        known, base, score = (np.bincount(back, x, len(docs)) for x in sums)
-        return pa.table({"row": docs, "known": known.astype(np.int64), "base": base, "score": score})
-
-    mine = packed.select("part", "words", *SEATED, "docs", "sizes", "pairs").groupBy("part")
-    sent = mine.cogroup(totals.groupBy("part")).applyInArrow(run, "bucket int, row binary, known binary, base binary, score binary")
-    return sent.groupBy("bucket").applyInArrow(add, SCORED)
+        rows = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("rows") if x.is_valid]
+        if len(rows) != 1:
+            raise ValueError("a run of documents came back in another order; score a table that gives its rows in the same order again")
+        sums = np.zeros((3, len(rows[0])))
+        for steps, *own in zip(*(table.column(c) for c in RUN_SUMS[2:])):
+            if steps.is_valid:
+                at = np.cumsum(np.frombuffer(steps.as_buffer(), np.int32))
+                for x, values, kind in zip(sums, own, (np.uint32, np.float64, np.float32)):
+                    x[at] += np.frombuffer(values.as_buffer(), kind)  # a document once
+        return pa.table({"row": rows[0], "known": sums[0].astype(np.int64), "base": sums[1], "score": sums[2]})
+
+    mine = packed.select("part", "words", *SEATED, "pairs", *DEALT_OUT).groupBy("part")
+    sent = mine.cogroup(totals.groupBy("part")).applyInArrow(run, "run bigint, rows binary, steps binary, known binary, base binary, score binary")
+    each = sent.groupBy("run").applyInArrow(add, SCORED)
+    return each.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("known", "base", "score")))  # repeated rows may lie in several runs
 
 
 # --- heavy pairs ------------------------------------------------------------------------------
@@ -605,7 +626,7 @@ def score(
     parts = 1 + size // 6 // part  # at six bytes a token
     buckets = contexts or parts
     hot = heavy(keyed, size // 6, parts)
-    packed = staged(_send(keyed, hot, parts).groupBy("part").applyInArrow(_pack(hot, buckets), PACKED), "zstd")
+    packed = staged_by(_send(keyed, hot, parts).groupBy("part").applyInArrow(_pack(hot, buckets), PACKED), "part", parts, "zstd")
     every, top = packed, None
     if len(hot.keys):
         top = _contents(-1, hot.word, hot.context, hot, buckets, _heavy_pairs(keyed, hot))
@@ -619,10 +640,12 @@ def score(
     first = staged(_first_sweep(every, totals, start))
     root, tables = _after_first(first, len(hot.words))
     later = World(v, root, tables)
-    both = totals.unionByName(_summed(first.filter("kind = 1")))
+    again = _summed(first.filter("kind = 1"))
     values = (np.zeros(0),) * 3
     if top:
-        both = staged(both)
+        again = staged(again)
+    both = totals.unionByName(again)
+    if top:
         own = _read(pa.Table.from_pylist([top], PACKED_TYPES), 0)
         got = both.filter("part = -1").toArrow()  # totals of the contexts of heavy pairs
         at = _pair_values(own, _all_sweeps(own, got, start, later, rounds), n, v, heavy_count)
@@ -630,7 +653,7 @@ def score(
         keys = pair_keys(found[own["word"]], names[own["context"]])
         values = tuple(x[np.argsort(keys)].astype(float) for x in at)
     near = _score_heavy(keyed, hot, values)
-    far = _score_parts(packed, both.filter("part >= 0"), start, later, rounds, n, v, heavy_count, parts)
+    far = _score_parts(packed, both.filter("part >= 0"), start, later, rounds, n, v, heavy_count)
     own = near.groupBy("row").agg(
         F.count("*").alias("copies"), F.max("tokens").alias("tokens"), F.max("known").alias("known"), F.max("base").alias("base"), F.max("score").alias("score")
     )
