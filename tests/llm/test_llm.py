@@ -452,6 +452,15 @@ def test_bpe_equals_tiktoken(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_bpe_slices_hold_every_row_once():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n))], ["i"]) for n in (0, 1, 600)]
+    got = list(bpe.slices(iter(batches)))
+    assert max(b.num_rows for b in got) == 256
+    assert [i for b in got for i in b.column(0).to_pylist()] == [0, *range(600)]
+
+
 # --- 9: language model ---
 def test_lm_counts_and_learns(spark):
     rng = np.random.default_rng(9)

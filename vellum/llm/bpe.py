@@ -124,6 +124,15 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+#: Rows that are encoded or decoded at once: a worker keeps the memory it once used.
+SLICE = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(first, SLICE) for first in range(0, batch.num_rows, SLICE))
+
+
 def encode(
     docs: DataFrame, path: str, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text",
     keep: Iterable[str] = (),
@@ -140,7 +149,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index(text_col)
             ids = pa.array([own.encode(t.as_py()) for t in batch.column(at)], pa.binary())
             arrays = [a for n, a in enumerate(batch.columns) if n != at]
@@ -157,7 +166,7 @@ def decode(encoded: DataFrame, path: str, pattern: str | None = None, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             texts = pa.array([own.decode(t.as_py() or b"") for t in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [id_col, "token_ids", *keep, "decoded"])
 
