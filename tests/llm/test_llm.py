@@ -314,12 +314,86 @@ def test_link_region_needs_triangle_bound():
     assert classes(links) == classes(full)
 
 
+def edited(rng, base, copies, word):
+    """Copies of a text with one to three words changed, and the text."""
+    rows = [list(base) for _ in range(copies)]
+    for own in rows[1:]:
+        for _ in range(rng.integers(1, 4)):
+            own[rng.integers(0, len(own))] = word()
+    return [" ".join(x) for x in rows]
+
+
+def no_blocks(*args):
+    raise AssertionError("joined in all pairs of blocks")
+
+
+def test_clusters_of_copies_need_no_blocks(spark, monkeypatch):
+    # More nodes than a region holds, in clusters that have nothing to do with each other.
+    monkeypatch.setattr(jaccard, "_blocks", no_blocks)
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
+    texts = [t for _ in range(8) for t in edited(rng, [word() for _ in range(90)], 9, word)]
+    rows = list(enumerate(texts))
+    got = rows_of(jaccard.join(spark.createDataFrame(rows, TEXTS), small=3, region=12, part=3000))
+    assert got == plain_classes(rows)
+
+
+def test_one_cluster_is_cut_by_its_pivots(spark, monkeypatch):
+    # All are linked to all: what the pivots link needs no second look.
+    monkeypatch.setattr(jaccard, "_blocks", no_blocks)
+    base = np.arange(200)
+    nodes = [(0, i, np.r_[np.delete(base, i), 1000 + i].tolist()) for i in range(90)]
+    links = jaccard.voronoi_links(spark, spark.createDataFrame(nodes, "region long, node long, shingles array<long>"), 20)
+    assert {r["root"] for r in graph.components(links).collect()} == {0} and graph.components(links).count() == 90
+
+
+def test_cut_keeps_links_beside_clusters(spark):
+    # Some nodes are linked with members at the edge of a cluster only, or with none.
+    rng = np.random.default_rng(12)
+    sets = []
+    for c in range(3):
+        base = np.arange(60) + 1000 * c
+        for k in range(40):
+            own = rng.choice(base, 60 - rng.integers(0, 16), replace=False)
+            sets.append(np.sort(np.r_[own, rng.integers(10_000, 20_000, rng.integers(0, 9)), [5]]))
+    sets = [np.unique(s) for s in sets]
+    nodes = [(0, i, s.tolist()) for i, s in enumerate(sets)]
+    links = jaccard.voronoi_links(spark, spark.createDataFrame(nodes, "region long, node long, shingles array<long>"), 12)
+    full = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))]
+    want = graph.components(spark.createDataFrame(full, "a long, b long"))
+    assert rows_of(graph.components(links)) == rows_of(want) and 60 < want.count() < len(sets)
+
+
+def test_late_shingles_give_no_pair():
+    # Sets of 100 share at least 86 if linked, so a first shared one is among the first 15; EXTRA more may follow.
+    one = lambda place: jaccard._early_pairs(np.array([1, 2]), np.array([100, 100]), np.array([3, place]), np.array([0]), np.array([2]), 64)
+    assert [len(x) for x in one(14 + jaccard.EXTRA)] == [1] * 5 and [len(x) for x in one(15 + jaccard.EXTRA)] == [0] * 5
+
+
+def test_bit_rows_hold_what_sets_share():
+    rng = np.random.default_rng(13)
+    sets = [np.unique(rng.integers(0, 90, 60)).astype(np.uint64) for _ in range(40)]
+    flat, at = np.concatenate(sets), np.r_[0, np.cumsum([len(s) for s in sets])]
+    bits = jaccard._bit_rows(flat, at)
+    assert all(np.bitwise_count(bits[i] & bits[k]).sum() == len(np.intersect1d(sets[i], sets[k])) for i in range(40) for k in range(i))
+    apart = np.arange(40, dtype=np.uint64)
+    assert jaccard._bit_rows(apart, np.arange(0, 41, 4)) is None
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100), (None, 1), (60, 50)], "a long, b long")
     got = dict(tuple(r) for r in graph.components(links).collect())
     assert {got[i] for i in range(41)} == {0} and got[60] == 50 and 100 not in got
 
 
+def test_components_in_one_task_and_in_rounds(spark):
+    rng = np.random.default_rng(14)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1040)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    assert rows_of(graph.components(frame)) == rows_of(graph.components(frame, at_once=0))
+    assert "MapInArrow" in graph.components(frame)._jdf.queryExecution().toString()
+
+
 # --- 6: benchmark ---
 def plain_hits(rows, items, size=10):
     low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
